@@ -237,7 +237,8 @@ def _(spark, d):
 
 @query("sc_skill_vector", over_jobs("""
 SELECT id, array_to_string(list_transform((SELECT list(skill ORDER BY n DESC, skill) FROM (
-    SELECT unnest(extracted_skills) AS skill, count(*) AS n FROM jobs GROUP BY ALL ORDER BY n DESC, skill LIMIT 12)),
+    SELECT skill, count(*) AS n FROM (SELECT unnest(extracted_skills) AS skill FROM jobs) GROUP BY skill
+    ORDER BY n DESC, skill LIMIT 12)),
   lambda s: list_contains(extracted_skills, s)::INTEGER), '') AS bits FROM jobs"""))
 def _(spark, d):
     df = reports.skill_vector(jobs(spark, d), n=12)
