@@ -63,17 +63,17 @@ def whole_words(text: Column, lexicon: Sequence[str] | None = None,
         tokens = F.regexp_extract_all(low, F.lit(TOKEN), F.lit(0))
         words = F.array_intersect(F.array(*[F.lit(s) for s in simple]), tokens)
         found = F.concat(words, found)
-    return F.coalesce(F.array_sort(F.array_distinct(found)), F.array().cast("array<string>"))
+    return F.coalesce(F.sort_array(F.array_distinct(found)), F.array().cast("array<string>"))
 
 
 def substrings(text: Column, lexicon: Sequence[str] | None = None) -> Column:
     """Sorted skills contained anywhere in the text."""
     low = F.lower(text)
-    return F.array_sort(_hits([(s, low.contains(s)) for s in (lexicon or vocab.SKILLS_SHORT)]))
+    return F.sort_array(_hits([(s, low.contains(s)) for s in (lexicon or vocab.SKILLS_SHORT)]))
 
 
 def sorted_unique(skills: Column) -> Column:
-    return F.array_sort(F.array_distinct(skills))
+    return F.sort_array(F.array_distinct(skills))
 
 
 def flag_columns(skills: Column, names: Sequence[str], prefix: str = "skill_") -> list[Column]:

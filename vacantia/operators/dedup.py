@@ -78,4 +78,4 @@ def skill_gap(df: DataFrame, role: str, skills: str, has: str, lacks: str) -> Da
 def missing_skills(posting_skills: Column, own: Sequence[str]) -> Column:
     """Skills of a posting that a person does not have, sorted."""
     mine = F.array(*[F.lit(s) for s in own]).cast("array<string>")
-    return F.array_sort(F.array_except(posting_skills, mine))
+    return F.sort_array(F.array_except(posting_skills, mine))

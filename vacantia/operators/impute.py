@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import salary, text, vocab
 from ..shared import settle
-from .lookups import key_counts, lookup, with_median_cascade, with_support
+from .lookups import with_median_cascade, with_support
+from .skew import key_counts, lookup
 
 
 @dataclass(frozen=True)

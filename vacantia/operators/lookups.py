@@ -1,4 +1,4 @@
-"""Look-ups that stay even when one key holds a large share of the rows."""
+"""Look-ups of counts, support and medians per key."""
 
 from __future__ import annotations
 
@@ -8,59 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shared import settle
-from .quantiles import equals, exact_quantiles, same
-
-# A key is hot if it holds at least this share of the rows, so there are never
-# more than 1 / HOT_SHARE hot keys and their table is safe to broadcast.
-HOT_SHARE = 0.001
-SALTS = 1024
-
-
-def key_counts(rows: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
-
-
-def hot_keys(counts: DataFrame, n: str = "n") -> DataFrame:
-    """Keys with at least ``HOT_SHARE`` of the rows (at most 1 / HOT_SHARE of them)."""
-    total = counts.agg(F.sum(n)).scalar()
-    return counts.filter(F.col(n) >= F.lit(HOT_SHARE) * total)
-
-
-def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str],
-           counts: DataFrame | None = None, null_safe: bool = False) -> DataFrame:
-    """Left join of ``rows`` to a table that is unique by ``keys``.
-
-    Hot keys find their entry in a broadcast table of at most 1 / HOT_SHARE
-    rows.  Their rows then carry a salt without counterpart through the
-    ordinary join that serves all other keys, so no task gets many of them.
-
-    ``counts`` (keys, n) are the rows per key.  Give them when ``rows`` is the
-    result of earlier look-ups, so that the chain is not computed again.
-    Null keys find nothing unless ``null_safe``.
-    """
-    keys = list(keys)
-    extra = [c for c in table.columns if c not in keys]
-    hot = hot_keys(counts if counts is not None else key_counts(rows, keys)).select(*keys)
-    hashed = [c for c, t in rows.dtypes if not t.startswith("map")]
-
-    def renamed(df: DataFrame, mark: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(f"{mark}{c}") for c in [*keys, *extra]], F.lit(True).alias(f"{mark}found"))
-
-    def pairs(mark: str) -> list[tuple[str, str]]:
-        return [(k, f"{mark}{k}") for k in keys]
-
-    equal = same if null_safe else equals
-    found = hot.join(table, equal(hot, table, [(k, k) for k in keys]), "left")
-    served = found.select(*[hot[k] for k in keys], *[table[c] for c in extra])
-    served, rest = renamed(served, "_h_"), renamed(table, "_t_").withColumn("_t_salt", F.lit(0))
-
-    near = rows.join(F.broadcast(served), same(rows, served, pairs("_h_")), "left")
-    is_hot = F.col("_h_found").isNotNull()
-    salt = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(SALTS)) + 1
-    near = near.withColumn("_salt", F.when(is_hot, salt).otherwise(F.lit(0)).cast("int"))
-    both = near.join(rest, equal(near, rest, pairs("_t_")) & (near["_salt"] == rest["_t_salt"]), "left")
-    return both.select(*[near[c] for c in rows.columns],
-                       *[F.when(is_hot, F.col(f"_h_{c}")).otherwise(F.col(f"_t_{c}")).alias(c) for c in extra])
+from .quantiles import exact_quantiles
+from .skew import key_counts, lookup
 
 
 def with_group_size(df: DataFrame, key: str, out: str = "company_hiring_freq") -> DataFrame:

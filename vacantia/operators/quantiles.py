@@ -8,11 +8,12 @@ that holds the rank, and read the value off among that bucket's values only.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .skew import lookup, same
+
 # Buckets per unit of the logarithm.  A bucket spans 1/65536 of its value, so
 # amounts between a thousand and a billion fall into under a million buckets,
 # however many rows there are, and one bucket holds 15,000 different cents at
@@ -20,20 +21,6 @@ from pyspark.sql import functions as F
 LOG_STEPS = 1 << 16
 
 
-def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Null-safe equality of column pairs."""
-    return reduce(lambda a, b: a & b, [left[x].eqNullSafe(right[y]) for x, y in pairs])
-
-
-def _renamed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.withColumnsRenamed({c: f"_p_{c}" for c in cols})
-
-
-def equals(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    """Plain equality of column pairs; null equals nothing."""
-    return reduce(lambda a, b: a & b, [left[x] == right[y] for x, y in pairs])
-
-
 def _pick(rows: DataFrame, group: list[str], picks: DataFrame | None,
           probs: Sequence[float]) -> DataFrame:
     """For every wanted rank, the bucket ``_b`` of its group that holds it."""
@@ -76,10 +63,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
             .select(*keys, v.alias("_v"), n.cast("bigint").alias("_n"))
             .withColumn("_bucket", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * LOG_STEPS)))
 
-    picks = _pick(rows.withColumnRenamed("_bucket", "_b"), keys, None, probs).withColumnRenamed("_b", "_bucket")
     group = [*keys, "_bucket"]
-    chosen = picks.select(*group).distinct().withColumnsRenamed({c: f"_p_{c}" for c in group})
-    inside = rows.join(chosen, same(rows, chosen, [(c, f"_p_{c}") for c in group]), "left_semi")
+    picks = _pick(rows.withColumnRenamed("_bucket", "_b"), keys, None, probs).withColumnRenamed("_b", "_bucket")
+    chosen = picks.select(*group).distinct().withColumn("_wanted", F.lit(True))
+    if keys:
+        sizes = rows.groupBy(*group).agg(F.sum("_n").alias("n"))
+        inside = lookup(rows, chosen, group, sizes, null_safe=True).filter("_wanted")
+    else:
+        # Two buckets per quantile at most.
+        inside = rows.join(F.broadcast(chosen), "_bucket")
+    inside = inside.drop("_wanted")
     last = _pick(inside.withColumnRenamed("_v", "_b"), group, picks, probs)
 
     def pick(i: int, up: bool) -> Column:

@@ -16,9 +16,9 @@ from ..functions import vocab
 from ..functions.rules import band, rank_in
 from ..functions.skills import flag_columns
 from .filters import percentile_trim
-from .lookups import key_counts
 from .quantiles import exact_quantiles
 from .ranking import top_by_count, top_per_group
+from .skew import key_counts
 
 ONE = F.lit(1)
 
@@ -109,7 +109,7 @@ def skill_role_matrix(df: DataFrame, role: str = "search_role", skills: str = "e
             .orderBy(F.desc("n"), "skill").limit(n))
     # At most n names, in order.
     names = best.agg(F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "skill"))),
+        F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "skill"))),
         lambda s: s["skill"])).scalar()
     hits = (counts.filter(F.array_contains(names, F.col("skill"))).groupBy(role)
             .agg(F.map_from_entries(F.collect_list(F.struct("skill", "n"))).alias("_hits")))
@@ -334,7 +334,7 @@ def role_card(df: DataFrame, role: str = "search_role", skills: str = "extracted
     """One record per role: job count and its ``n`` commonest skills."""
     best = top_skills_per_role(df, role, skills, n, stop)
     lists = best.groupBy(role).agg(F.transform(
-        F.array_sort(F.collect_list(F.struct("rank", "skill"))), lambda s: s["skill"]).alias("top_skills"))
+        F.sort_array(F.collect_list(F.struct("rank", "skill"))), lambda s: s["skill"]).alias("top_skills"))
     return (key_counts(known(df, role), [role], "job_count").join(lists, role, "left")
             .select(role, F.coalesce("top_skills", F.array().cast("array<string>")).alias("top_skills"),
                     "job_count"))
@@ -369,7 +369,7 @@ def run_summary(df: DataFrame, generated_at: str, role: str = "standardized_role
     """One row: totals, role and seniority maps, mean skills, top skills per role."""
     best = top_skills_per_role(df, role, skills, n, None, skip_role=other)
     per_role = best.groupBy(role).agg(
-        F.map_from_entries(F.transform(F.array_sort(F.collect_list(F.struct("rank", "skill", "n"))),
+        F.map_from_entries(F.transform(F.sort_array(F.collect_list(F.struct("rank", "skill", "n"))),
                                        lambda s: F.struct(s["skill"], s["n"]))).alias("_top"))
     # A role without any skill still has its (empty) entry.
     roles = key_counts(known(df, role).filter(F.col(role) != other), [role]).join(per_role, role, "left")
@@ -400,7 +400,7 @@ def skill_vector(df: DataFrame, skills: str = "extracted_skills", n: int = 50,
     """0/1 array over the ``n`` commonest skills, in order of frequency."""
     best = top_skills(df, skills, n)
     names = best.agg(F.transform(
-        F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("n"), "skill"))),
+        F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "skill"))),
         lambda s: s["skill"])).scalar()
     return df.withColumn("_names", names).withColumn(out, F.transform(
         "_names", lambda s: F.array_contains(F.col(skills), s).cast("int"))).drop("_names")

@@ -1,6 +1,7 @@
 """All registered queries."""
 
-from . import queries_columns, queries_files, queries_filters, queries_reports, queries_scalars  # noqa: F401
+from . import (  # noqa: F401
+    queries_columns, queries_files, queries_filters, queries_reports, queries_scalars, queries_tables)
 from .queries_filters import role_profile
 from .registry import QUERIES, SQL
 

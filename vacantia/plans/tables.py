@@ -61,10 +61,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def recode(c: Column, values: dict[str, str]) -> Column:
-    out = None
-    for key, value in values.items():
-        out = F.when(c == key, value) if out is None else out.when(c == key, value)
-    return out
+    """Look a value up in a constant map."""
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), c)
 
 
 def recode_sql(expr: str, values: dict[str, str]) -> str:
@@ -94,7 +92,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     lines = _lines(spark, sf_dir)
     name = F.col("first.p_name")
-    skills = F.coalesce(F.array_sort(F.array_distinct(F.concat("heads", "tails"))),
+    skills = F.coalesce(F.sort_array(F.array_distinct(F.concat("heads", "tails"))),
                         F.array().cast("array<string>"))
     place = recode(F.col("n_name"), PLACE)
     return (orders

@@ -64,8 +64,9 @@ def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
     return names if any(n.strip() for n in names) else None
 
 
-def read_glob(spark: SparkSession, glob: str, source: str = "_source") -> DataFrame:
-    """All files of a glob as strings, with the file name, united by column name.
+def read_glob(spark: SparkSession, glob: str, source: str = "_source", row: str = "_row") -> DataFrame:
+    """All files of a glob as strings, with file name and a row number that
+    grows within a file, united by column name.
 
     Files are read together per distinct header.  Unreadable and empty files
     are skipped; it is an error if none is left.
@@ -81,7 +82,8 @@ def read_glob(spark: SparkSession, glob: str, source: str = "_source") -> DataFr
     for header, paths in groups.items():
         part = (spark.read.schema(_strings(header))
                 .options(header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE")
-                .csv(paths).withColumn(source, F.col("_metadata.file_name")))
+                .csv(paths).withColumns({source: F.col("_metadata.file_name"),
+                                          row: F.monotonically_increasing_id()}))
         part = _empty_to_null(part, header)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
