@@ -45,7 +45,7 @@ def semi_min_support(df: DataFrame, key: str, value: str, min_rows: int = 30) ->
 def grouped_medians(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
     """Medians by all keys, by all but the last, ..., and over everything.
 
-    One row per group with ``level`` = number of keys in use; unused keys are
+    One row per group with ``n_keys`` = number of keys in use; unused keys are
     null.  Groups with a null key are left out, as are null values.  All levels
     share one pass: equal rows are counted first and only the counts are
     expanded to the levels.
@@ -59,12 +59,12 @@ def grouped_medians(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame
         for k in used:
             usable = usable & F.col(k).isNotNull()
         levels.append(F.when(usable, F.struct(
-            F.lit(depth).alias("level"),
+            F.lit(depth).alias("n_keys"),
             *[(F.col(k) if k in used else F.lit(None).cast("string")).alias(k) for k in keys])))
     expanded = (counts
                 .select(value, "_n", F.explode(F.array_compact(F.array(*levels))).alias("_g"))
                 .select("_g.*", value, "_n"))
-    return exact_quantiles(expanded, value, [0.5], ["level", *keys], "_n", ["median"])
+    return exact_quantiles(expanded, value, [0.5], ["n_keys", *keys], "_n", ["median"])
 
 
 def with_median_cascade(df: DataFrame, value: str, keys: Sequence[str], out: str = "median") -> DataFrame:
@@ -79,10 +79,10 @@ def with_median_cascade(df: DataFrame, value: str, keys: Sequence[str], out: str
     counts = key_counts(df, keys)
     table, steps = counts, []
     for depth in range(len(keys), 0, -1):
-        level = medians.filter(F.col("level") == depth).select(*keys[:depth], F.col("median").alias(f"_m{depth}"))
+        level = medians.filter(F.col("n_keys") == depth).select(*keys[:depth], F.col("median").alias(f"_m{depth}"))
         table = table.join(level, keys[:depth], "left")
         # A median of zero counts as "not found", like an absent one.
         steps.append(F.nullif(F.col(f"_m{depth}"), F.lit(0.0)))
-    overall = medians.filter(F.col("level") == 0).select("median").scalar()
+    overall = medians.filter(F.col("n_keys") == 0).select("median").scalar()
     table = table.select(*keys, F.coalesce(*steps, overall).alias(out))
     return lookup(df, table, keys, counts, null_safe=True)

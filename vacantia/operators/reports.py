@@ -20,9 +20,6 @@ from .quantiles import exact_quantiles
 from .ranking import top_by_count, top_per_group
 from .skew import key_counts
 
-ONE = F.lit(1)
-
-
 def known(df: DataFrame, name: str) -> DataFrame:
     return df.filter(F.col(name).isNotNull())
 
@@ -67,8 +64,8 @@ def _skill_rows(df: DataFrame, skills: str, stop: str | None, any_case: bool, *k
 def top_skills(df: DataFrame, skills: str = "extracted_skills", n: int = 20,
                stop: str | None = None, any_case: bool = False) -> DataFrame:
     """Commonest skills with the percent of rows (not of mentions)."""
-    rows = df.agg(F.count(ONE)).scalar()
-    return (_skill_rows(df, skills, stop, any_case).groupBy("skill").agg(F.count(ONE).alias("n"))
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    return (_skill_rows(df, skills, stop, any_case).groupBy("skill").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), "skill").limit(n)
             .withColumn("pct", F.col("n") / rows * 100))
 
@@ -80,7 +77,7 @@ def top_skills_per_role(df: DataFrame, role: str = "search_role", skills: str =
     if skip_role is not None:
         df = df.filter(F.col(role) != skip_role)
     counts = (_skill_rows(known(df, role), skills, stop, any_case, role)
-              .groupBy(role, "skill").agg(F.count(ONE).alias("n")))
+              .groupBy(role, "skill").agg(F.count(F.lit(1)).alias("n")))
     return top_per_group(counts, [role], [F.desc("n"), "skill"], n, "rank")
 
 
@@ -89,7 +86,7 @@ def top_skills_selected(df: DataFrame, role_value: str | None, n: int = 10, role
     """Commonest skills of one role, or of all with ``role_value`` None."""
     if role_value is not None:
         df = df.filter(F.col(role) == role_value)
-    return (_skill_rows(df, skills, stop, True).groupBy("skill").agg(F.count(ONE).alias("n"))
+    return (_skill_rows(df, skills, stop, True).groupBy("skill").agg(F.count(F.lit(1)).alias("n"))
             .orderBy(F.desc("n"), "skill").limit(n))
 
 
@@ -103,7 +100,7 @@ def skill_role_matrix(df: DataFrame, role: str = "search_role", skills: str = "e
     """
     df = known(df, role)
     counts = (_skill_rows(df, skills, None, any_case, role)
-              .groupBy(role, "skill").agg(F.count(ONE).alias("n")))
+              .groupBy(role, "skill").agg(F.count(F.lit(1)).alias("n")))
     usable = (F.lower("skill") if any_case else F.col("skill")) != stop
     best = (counts.filter(usable).groupBy("skill").agg(F.sum("n").alias("n"))
             .orderBy(F.desc("n"), "skill").limit(n))
@@ -174,7 +171,7 @@ def size_salary_volume(df: DataFrame, size: str = "company_size_proxy", value: s
     ``salaried_only`` counts rows with a known value, otherwise all rows.
     """
     order = [label for _, _, label in bands]
-    counted = F.count(value) if salaried_only else F.count(ONE)
+    counted = F.count(value) if salaried_only else F.count(F.lit(1))
     table = known(df, size).groupBy(size).agg(F.avg(value).alias("mean"), counted.alias("n"))
     listed = df.sparkSession.createDataFrame(list(enumerate(order)), f"position int, {size} string")
     return (listed.join(table, size, "left")
@@ -185,7 +182,7 @@ def seniority_salary(df: DataFrame, level: str = "title_seniority", value: str =
                      order: Sequence[str] = vocab.LEVEL_ORDER, p: float | None = 0.99) -> DataFrame:
     """Q7a: trimmed mean and count per seniority, in fixed order."""
     return (trimmed(df, value, p).groupBy(level)
-            .agg(F.avg(value).alias("mean"), F.count(ONE).alias("n"))
+            .agg(F.avg(value).alias("mean"), F.count(F.lit(1)).alias("n"))
             .withColumn("position", rank_in(F.col(level), order))
             .filter(F.col("position").isNotNull()).orderBy("position"))
 
@@ -209,7 +206,7 @@ def kpi(df: DataFrame, role: str = "search_role", company: str = "company",
     if high is not None:
         usable = usable & (F.col(value) <= high)
     return df.agg(
-        F.count(ONE).alias("total"),
+        F.count(F.lit(1)).alias("total"),
         F.count_distinct(role).alias("roles"),
         F.coalesce(F.avg(F.when(usable, F.col(value))), F.lit(0.0)).alias("mean_value"),
         F.count_distinct(company).alias("companies"),
@@ -222,7 +219,7 @@ def clean_report(df: DataFrame, role: str = "search_role", company: str = "compa
                  skills_count: str = "skills_count") -> DataFrame:
     """Size and coverage of a cleaned table."""
     return df.agg(
-        F.count(ONE).alias("total"),
+        F.count(F.lit(1)).alias("total"),
         F.count_distinct(role).alias("roles"),
         F.count_distinct(company).alias("companies"),
         F.count_distinct(location).alias("locations"),
@@ -268,7 +265,7 @@ def range_counts(df: DataFrame, name: str, low: float = vocab.SALARY_LOW,
 
 def duplicate_count(df: DataFrame) -> DataFrame:
     """Rows that repeat an earlier row in every column."""
-    return df.agg((F.count(ONE) - F.count_distinct(F.struct(*df.columns))).alias("duplicates"))
+    return df.agg((F.count(F.lit(1)) - F.count_distinct(F.struct(*df.columns))).alias("duplicates"))
 
 
 def dominant_value(df: DataFrame, key: str, value: str) -> DataFrame:
@@ -288,7 +285,7 @@ def step_counts(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame
     for _, test in steps:
         kept = kept & F.coalesce(test, F.lit(False))
         passed.append(F.count_if(kept))
-    counts = df.agg(F.count(ONE).alias("_0"), *[c.alias(f"_{i}") for i, c in enumerate(passed, 1)])
+    counts = df.agg(F.count(F.lit(1)).alias("_0"), *[c.alias(f"_{i}") for i, c in enumerate(passed, 1)])
     rows = F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(name).alias("step"),
                  F.col(f"_{i - 1}").alias("before"), F.col(f"_{i}").alias("after"),
@@ -305,7 +302,7 @@ def step_log(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     log = None
     previous = None
     for position, (name, stage) in enumerate(stages):
-        rows = stage.agg(F.count(ONE)).scalar()
+        rows = stage.agg(F.count(F.lit(1))).scalar()
         before = previous if previous is not None else rows
         line = stage.sparkSession.range(1).select(
             F.lit(position).alias("position"), F.lit(name).alias("step"),
@@ -345,8 +342,8 @@ def role_profile(df: DataFrame, role: str = "search_role", level: str = "job_lev
                  stop: str = vocab.STOP_SKILL) -> DataFrame:
     """Per role: postings, share, commonest skill and level, mean value."""
     base = (known(df, role).groupBy(role)
-            .agg(F.count(ONE).alias("n"), F.avg(value).alias("mean")))
-    total = df.agg(F.count(ONE)).scalar()
+            .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean")))
+    total = df.agg(F.count(F.lit(1))).scalar()
     skill = dominant_skill(df, role, skills, stop).select(role, F.col("skill").alias("top_skill"))
     top_level = dominant_value(df, role, level).select(role, F.col(level).alias("top_level"))
     return (base.join(skill, role, "left").join(top_level, role, "left")
@@ -375,7 +372,7 @@ def run_summary(df: DataFrame, generated_at: str, role: str = "standardized_role
     roles = key_counts(known(df, role).filter(F.col(role) != other), [role]).join(per_role, role, "left")
     roles = roles.withColumn("_top", F.coalesce("_top", F.create_map().cast("map<string,bigint>")))
     return df.agg(
-        F.count(ONE).alias("total_jobs"),
+        F.count(F.lit(1)).alias("total_jobs"),
         F.count_distinct(company).alias("unique_companies"),
         F.round(F.avg(skills_count), 2).alias("avg_skills_per_job"),
     ).select(

@@ -284,7 +284,7 @@ def _(spark, d):
 
 
 @query("agg_grouped_median", over_jobs("""
-SELECT 3 AS level, search_role, job_level, city, round(median(salary_avg), 4) AS median FROM jobs
+SELECT 3 AS n_keys, search_role, job_level, city, round(median(salary_avg), 4) AS median FROM jobs
   WHERE salary_avg IS NOT NULL GROUP BY search_role, job_level, city
 UNION ALL SELECT 2, search_role, job_level, NULL, round(median(salary_avg), 4) FROM jobs
   WHERE salary_avg IS NOT NULL GROUP BY search_role, job_level

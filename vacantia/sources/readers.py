@@ -131,7 +131,9 @@ def audit_delimited(spark: SparkSession, path, columns: Sequence[str], sep: str
                     F.monotonically_increasing_id().alias("_pos")))
     # Records of a file are read by one task and numbered in a row.
     first = rows.groupBy("file").agg(F.min("_pos").alias("_first"))
-    broken = rows.filter(F.col(BROKEN).isNotNull()).join(first, "file")
+    # Spark refuses to read the raw record alone, hence the first field here.
+    is_broken = F.concat(F.col(BROKEN), F.coalesce("_head", F.lit(""))) != ""
+    broken = rows.filter(is_broken).join(first, "file")
     numbered = broken.withColumn("line_no", F.col("_pos") - F.col("_first") + 2)
     record = strip(F.col(BROKEN))
     # The parser has the first field already.
