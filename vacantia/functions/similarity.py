@@ -33,9 +33,12 @@ def role_term_counts(rules=None) -> list[tuple[str, Counter]]:
     return [(role, Counter(_terms(" ".join(words)))) for role, words in rules or vocab.ROLE_KEYWORDS]
 
 
-def title_terms(title: Column) -> Column:
-    """One- and two-word terms of a title, repeats kept."""
-    words = F.regexp_extract_all(F.lower(title), F.lit(WORD), F.lit(0))
+def title_words(title: Column) -> Column:
+    return F.regexp_extract_all(F.lower(title), F.lit(WORD), F.lit(0))
+
+
+def terms_of(words: Column) -> Column:
+    """One- and two-word terms of a title's words, repeats kept."""
     pairs = F.when(
         F.size(words) > 1,
         F.zip_with(F.slice(words, F.lit(1), F.size(words) - 1),
@@ -64,20 +67,26 @@ def with_role_scores(df: DataFrame, title: str, out: str, rules=None) -> DataFra
         entries[term] = [w, *dots, *gains]
     # A constant that folds into one literal.
     table = F.from_json(F.lit(json.dumps(entries)), "map<string, array<double>>")
-    unknown = F.array(*[F.lit(float(x)) for x in [weight(1)] + [0.0] * (2 * k)])
+    other = weight(1)
     norms = [float(sum(c * c * weight(df_of[t]) for t, c in counts.items())) for _, counts in docs]
+    terms, distinct = F.col("_terms"), F.col("_distinct")
+
+    def times(term: Column) -> Column:
+        """How often the title has the term; mostly every term is there once."""
+        return F.when(F.size(terms) == F.size(distinct), F.lit(1.0)).otherwise(
+            F.size(F.filter(terms, lambda t: t == term)).cast("double"))
 
     def counted(term: Column) -> Column:
-        times = F.size(F.filter("_terms", lambda t: t == term)).cast("double")
-        return F.struct(times.alias("q"),
-                        F.coalesce(F.try_element_at(table, term), unknown).alias("entry"))
+        return F.struct(times(term).alias("q"), F.try_element_at(table, term).alias("entry"))
 
     def add(total: Column, hit: Column) -> Column:
         q = hit["q"]
-        scaled = F.transform(
+        # A term no role has only adds its square to the title's length.
+        known = F.transform(
             hit["entry"],
-            lambda v, i: v * F.when(i == 0, q * q).when(i <= k, q).otherwise(F.lit(1.0)))
-        return F.zip_with(total, scaled, lambda a, b: a + b)
+            lambda v, i: F.get(total, i) + v * F.when(i == 0, q * q).when(i <= k, q).otherwise(F.lit(1.0)))
+        unknown = F.transform(total, lambda v, i: F.when(i == 0, v + q * q * other).otherwise(v))
+        return F.when(hit["entry"].isNull(), unknown).otherwise(known)
 
     def score(i: int) -> Column:
         dot, gain = F.get("_sums", F.lit(1 + i)), F.get("_sums", F.lit(1 + k + i))
@@ -86,11 +95,13 @@ def with_role_scores(df: DataFrame, title: str, out: str, rules=None) -> DataFra
 
     # Each stage is a column of its own, so that it is computed once per row.
     zeros = F.array(*[F.lit(0.0)] * (2 * k + 1))
-    return (df.withColumn("_terms", title_terms(F.col(title)))
-            .withColumn("_hits", F.transform(F.array_distinct("_terms"), counted))
+    return (df.withColumn("_words", title_words(F.col(title)))
+            .withColumn("_terms", terms_of(F.col("_words")))
+            .withColumn("_distinct", F.array_distinct("_terms"))
+            .withColumn("_hits", F.transform("_distinct", counted))
             .withColumn("_sums", F.aggregate("_hits", zeros, add))
             .withColumn(out, F.array(*[score(i) for i in range(k)]))
-            .drop("_terms", "_hits", "_sums"))
+            .drop("_words", "_terms", "_distinct", "_hits", "_sums"))
 
 
 def with_role_by_similarity(df: DataFrame, title: str, out: str = "similar_role",

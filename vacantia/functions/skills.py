@@ -9,10 +9,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab
+from .rules import any_of
 
 # A word character, spelled out so that accents count as letters.
 W = r"[\p{L}\p{N}_]"
 TOKEN = W + "+"
+# In strict mode an underscore separates words.
+STRICT_TOKEN = r"[\p{L}\p{N}]+"
 
 
 def _is_word(s: str) -> bool:
@@ -35,41 +38,59 @@ def strict_pattern(skill: str) -> str:
     return r"(?<![\p{L}\p{N}])" + re.escape(skill) + r"(?![\p{L}\p{N}+#])"
 
 
+def _strings(values: Sequence[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+
 def _hits(tests: Sequence[tuple[str, Column]]) -> Column:
-    empty = F.array().cast("array<string>")
+    """Labels of the tests that hold."""
     if not tests:
-        return empty
-    return F.array_compact(F.array(*[F.when(t, F.lit(s)) for s, t in tests]))
+        return _strings([])
+    return F.array_except(F.array(*[F.when(t, F.lit(s)) for s, t in tests]), F.array(F.lit(None).cast("string")))
 
 
 def whole_words(text: Column, lexicon: Sequence[str] | None = None,
                 strict_tokens: bool = False) -> Column:
     """Sorted distinct skills standing in the text as whole words.
 
-    Skills made of word characters only are looked up among the text's tokens
-    in one pass over the text.  The few with spaces or symbols are searched
-    one by one, each after a cheap containment test.
+    The text is split into words once.  Skills made of word characters only
+    are looked up among them; the few with spaces or symbols are searched one
+    by one, and only if all their words occur.
     """
     lexicon = list(lexicon or vocab.SKILLS_FULL)
-    low = F.lower(text)
-    if strict_tokens:
-        simple, shaped = [], lexicon
-    else:
-        simple = [s for s in lexicon if _is_word(s)]
-        shaped = [s for s in lexicon if not _is_word(s)]
+    simple = [] if strict_tokens else [s for s in lexicon if _is_word(s)]
+    shaped = [s for s in lexicon if s not in simple]
+    parts = {s: re.findall(r"\w+", s) for s in shaped}
     make = strict_pattern if strict_tokens else boundary_pattern
-    found = _hits([(s, low.contains(s) & low.rlike(make(s))) for s in shaped])
+
+    low = F.lower(text)
+    vocabulary = dict.fromkeys([*simple, *(p for ps in parts.values() for p in ps)])
+    present = F.array_intersect(_strings(list(vocabulary)),
+                                F.regexp_extract_all(low, F.lit(STRICT_TOKEN if strict_tokens else TOKEN), F.lit(0)))
+
+    def test(skill: str) -> Column:
+        out = F.lit(True)
+        for p in parts[skill]:
+            out = out & F.array_contains(present, p)
+        return out & low.rlike(make(skill))
+
+    found = _hits([(s, test(s)) for s in shaped])
     if simple:
-        tokens = F.regexp_extract_all(low, F.lit(TOKEN), F.lit(0))
-        words = F.array_intersect(F.array(*[F.lit(s) for s in simple]), tokens)
-        found = F.concat(words, found)
-    return F.coalesce(F.sort_array(F.array_distinct(found)), F.array().cast("array<string>"))
+        found = F.concat(F.array_intersect(_strings(simple), present), found)
+    return F.coalesce(F.sort_array(F.array_distinct(found)), _strings([]))
 
 
 def substrings(text: Column, lexicon: Sequence[str] | None = None) -> Column:
-    """Sorted skills contained anywhere in the text."""
-    low = F.lower(text)
-    return F.sort_array(_hits([(s, low.contains(s)) for s in (lexicon or vocab.SKILLS_SHORT)]))
+    """Sorted skills contained anywhere in the text, in one pass.
+
+    At every position the longest skill that starts there is noted; a skill
+    occurs if it or a skill that contains it was noted.
+    """
+    lexicon = list(lexicon or vocab.SKILLS_SHORT)
+    noted = F.array_intersect(_strings(lexicon), F.regexp_extract_all(
+        F.lower(text), F.lit(f"(?=({any_of(lexicon)}))"), F.lit(1)))
+    found = _hits([(s, F.arrays_overlap(noted, _strings([x for x in lexicon if s in x]))) for s in lexicon])
+    return F.coalesce(F.sort_array(found), _strings([]))
 
 
 def sorted_unique(skills: Column) -> Column:

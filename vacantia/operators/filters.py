@@ -20,8 +20,14 @@ def is_noise(title: Column, words: Sequence[str] | None = None) -> Column:
 
 
 def in_domain(description: Column, words: Sequence[str] | None = None) -> Column:
-    """True if the text holds a domain word; false for null."""
-    return F.coalesce(contains_any(F.lower(description), words or vocab.DOMAIN_WORDS), F.lit(False))
+    """True if the text holds a domain word; false for null.
+
+    Most descriptions hold one of the first words, so a chain of tests that
+    stops at the first hit is the quickest on long texts.
+    """
+    low = F.lower(description)
+    found = reduce(lambda a, b: a | b, [low.contains(w) for w in words or vocab.DOMAIN_WORDS])
+    return F.coalesce(found, F.lit(False))
 
 
 def drop_noise(df: DataFrame, title: str = "title", words=None) -> DataFrame:

@@ -31,8 +31,10 @@ class ForestSpec:
     min_support: int = 30
     low: float = vocab.SALARY_LOW
     high: float = vocab.SALARY_HIGH
-    # Split candidates per feature.
+    # Split candidates per feature, and memory for the statistics of the nodes
+    # that one pass over the data can split (more memory, fewer passes).
     bins: int = 64
+    memory_mb: int = 1024
     role: str = "search_role"
     level: str = "job_level"
     city: str = "city"
@@ -89,7 +91,8 @@ def _forest(spec: ForestSpec) -> Pipeline:
         RandomForestRegressor(
             featuresCol="_features", labelCol=spec.value, predictionCol="_predicted",
             numTrees=spec.trees, maxDepth=spec.depth, minInstancesPerNode=spec.min_leaf,
-            seed=spec.seed, maxBins=spec.bins, featureSubsetStrategy="all")])
+            seed=spec.seed, maxBins=spec.bins, maxMemoryInMB=spec.memory_mb,
+            featureSubsetStrategy="all")])
 
 
 def training_rows(ready: DataFrame, spec: ForestSpec) -> DataFrame:

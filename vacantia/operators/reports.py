@@ -99,17 +99,16 @@ def skill_role_matrix(df: DataFrame, role: str = "search_role", skills: str = "e
     names has 0.  The denominator is every row of the role.
     """
     df = known(df, role)
-    counts = (_skill_rows(df, skills, None, any_case, role)
+    counts = (_skill_rows(df, skills, stop, any_case, role)
               .groupBy(role, "skill").agg(F.count(F.lit(1)).alias("n")))
-    usable = (F.lower("skill") if any_case else F.col("skill")) != stop
-    best = (counts.filter(usable).groupBy("skill").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "skill").limit(n))
+    best = (counts.groupBy("skill").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "skill").limit(n))
     # At most n names, in order.
     names = best.agg(F.transform(
         F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), "skill"))),
         lambda s: s["skill"])).scalar()
-    hits = (counts.filter(F.array_contains(names, F.col("skill"))).groupBy(role)
-            .agg(F.map_from_entries(F.collect_list(F.struct("skill", "n"))).alias("_hits")))
+    # No filter on the skill here: both uses of the counts stay one shuffle.
+    wanted = F.when(F.array_contains(names, F.col("skill")), F.struct("skill", "n"))
+    hits = counts.groupBy(role).agg(F.map_from_entries(F.collect_list(wanted)).alias("_hits"))
     totals = key_counts(df, [role], "_rows")
     return (totals.join(hits, role, "left")
             .select(role, "_rows", "_hits", F.posexplode(names).alias("position", "skill"))
@@ -363,22 +362,29 @@ def run_summary(df: DataFrame, generated_at: str, role: str = "standardized_role
                 level: str = "seniority", company: str = "company",
                 skills: str = "extracted_skills", skills_count: str = "skills_count",
                 other: str = vocab.OTHER_ROLE, n: int = 10) -> DataFrame:
-    """One row: totals, role and seniority maps, mean skills, top skills per role."""
+    """One row: totals, role and seniority maps, mean skills, top skills per role.
+
+    Totals and both maps come from one count per (role, level).
+    """
+    cells = df.groupBy(role, level).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(skills_count).alias("_sum"), F.count(skills_count).alias("_counted"))
+    by_role = cells.groupBy(role).agg(F.sum("n").alias("n"))
+    by_level = cells.groupBy(level).agg(F.sum("n").alias("n"))
     best = top_skills_per_role(df, role, skills, n, None, skip_role=other)
     per_role = best.groupBy(role).agg(
         F.map_from_entries(F.transform(F.sort_array(F.collect_list(F.struct("rank", "skill", "n"))),
                                        lambda s: F.struct(s["skill"], s["n"]))).alias("_top"))
     # A role without any skill still has its (empty) entry.
-    roles = key_counts(known(df, role).filter(F.col(role) != other), [role]).join(per_role, role, "left")
+    roles = by_role.filter(F.col(role) != other).join(per_role, role, "left")
     roles = roles.withColumn("_top", F.coalesce("_top", F.create_map().cast("map<string,bigint>")))
-    return df.agg(
-        F.count(F.lit(1)).alias("total_jobs"),
-        F.count_distinct(company).alias("unique_companies"),
-        F.round(F.avg(skills_count), 2).alias("avg_skills_per_job"),
+    companies = df.agg(F.count_distinct(company)).scalar()
+    return cells.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_jobs"),
+        F.round(F.try_divide(F.sum("_sum"), F.sum("_counted")), 2).alias("avg_skills_per_job"),
     ).select(
-        F.lit(generated_at).alias("generated_at"), "total_jobs", "unique_companies",
-        _as_map(key_counts(known(df, role), [role]), role, "n").alias("role_distribution"),
-        _as_map(key_counts(known(df, level), [level]), level, "n").alias("seniority_distribution"),
+        F.lit(generated_at).alias("generated_at"), "total_jobs", companies.alias("unique_companies"),
+        _as_map(known(by_role, role), role, "n").alias("role_distribution"),
+        _as_map(known(by_level, level), level, "n").alias("seniority_distribution"),
         "avg_skills_per_job",
         _as_map(roles, role, "_top").alias("skills_per_role"))
 

@@ -60,7 +60,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def recode(c: Column, values: dict[str, str]) -> Column:
+def recode(c: Column, values: dict) -> Column:
     """Look a value up in a constant map."""
     return F.try_element_at(F.create_map(*[F.lit(x) for pair in values.items() for x in pair]), c)
 
@@ -69,16 +69,32 @@ def recode_sql(expr: str, values: dict[str, str]) -> str:
     return f"CASE {expr} " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in values.items()) + " END"
 
 
+KINDS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+HEADS, TAILS = list(TITLE_HEAD), list(TITLE_TAIL)
+SKILLS = sorted(SKILL.values())
+
+
+def _position(c: Column, values: list[str]) -> Column:
+    return recode(c, {v: i for i, v in enumerate(values)})
+
+
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    """Per order: the first line's part as a number, and its skills as bits.
+
+    Numbers keep the aggregation in hash maps; lists and structs of strings
+    would have to be sorted.
+    """
+    head, tail = (F.split_part("p_name", F.lit(" "), F.lit(i)) for i in (1, 2))
+    title = (_position(head, HEADS) * len(TAILS) + _position(tail, TAILS)) * len(KINDS) + _position(F.col("p_type"), KINDS)
+    bit = {word: 1 << SKILLS.index(skill) for word, skill in SKILL.items()}
+    part = table(spark, sf_dir, "part").select(
+        "p_partkey", title.alias("title"), recode(head, bit).bitwiseOR(recode(tail, bit)).alias("bits"))
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    words = [F.split_part("p_name", F.lit(" "), F.lit(i)) for i in (1, 2)]
+    order = F.col("l_linenumber").cast("bigint") * 10**12 + F.col("l_partkey")
     return (lines.join(part, lines["l_partkey"] == part["p_partkey"])
             .groupBy("l_orderkey")
-            .agg(F.min(F.struct("l_linenumber", "l_partkey", "p_name", "p_type")).alias("first"),
-                 # Sixteen words at most, however many lines.
-                 F.collect_set(recode(words[0], SKILL)).alias("heads"),
-                 F.collect_set(recode(words[1], SKILL)).alias("tails")))
+            .agg((F.min(order * 1000 + F.col("title")) % 1000).cast("int").alias("title_no"),
+                 F.bit_or("bits").alias("bits")))
 
 
 def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,9 +107,19 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     lines = _lines(spark, sf_dir)
-    name = F.col("first.p_name")
-    skills = F.coalesce(F.sort_array(F.array_distinct(F.concat("heads", "tails"))),
-                        F.array().cast("array<string>"))
+    number = F.col("title_no")
+
+    def word(values: list[str], at: Column) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.floor(at).cast("int"))
+
+    title = F.concat_ws(
+        " ", word(list(TITLE_HEAD.values()), number / (len(TAILS) * len(KINDS))),
+        word(list(TITLE_TAIL.values()), (number / len(KINDS)) % len(TAILS)),
+        F.lit("-"), word(KINDS, number % len(KINDS)))
+    bits = F.coalesce("bits", F.lit(0))
+    skills = F.array_except(
+        F.array(*[F.when(bits.bitwiseAND(F.lit(1 << i)) != 0, F.lit(v)) for i, v in enumerate(SKILLS)]),
+        F.array(F.lit(None).cast("string")))
     place = recode(F.col("n_name"), PLACE)
     return (orders
             .join(customer, orders["o_custkey"] == customer["c_custkey"], "left")
@@ -101,10 +127,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
             .join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
             .select(
                 F.col("o_orderkey").alias("id"),
-                F.when(name.isNull(), "").otherwise(
-                    F.concat_ws(" ", recode(F.split_part(name, F.lit(" "), F.lit(1)), TITLE_HEAD),
-                                recode(F.split_part(name, F.lit(" "), F.lit(2)), TITLE_TAIL),
-                                F.lit("-"), F.col("first.p_type"))).alias("title"),
+                F.when(number.isNull(), "").otherwise(title).alias("title"),
                 recode(F.col("c_mktsegment"), ROLE).alias("search_role"),
                 recode(F.col("c_mktsegment"), TERM).alias("search_term"),
                 recode(F.col("o_orderpriority"), RAW_LEVEL).alias("raw_level"),
