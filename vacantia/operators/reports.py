@@ -364,29 +364,38 @@ def run_summary(df: DataFrame, generated_at: str, role: str = "standardized_role
                 other: str = vocab.OTHER_ROLE, n: int = 10) -> DataFrame:
     """One row: totals, role and seniority maps, mean skills, top skills per role.
 
-    Totals and both maps come from one count per (role, level).
+    Totals and both maps come from one count per (role, level); the maps'
+    keys are labels of rule tables.
     """
     cells = df.groupBy(role, level).agg(
         F.count(F.lit(1)).alias("n"), F.sum(skills_count).alias("_sum"), F.count(skills_count).alias("_counted"))
-    by_role = cells.groupBy(role).agg(F.sum("n").alias("n"))
-    by_level = cells.groupBy(level).agg(F.sum("n").alias("n"))
+    sets = (cells.groupingSets([[F.col(role)], [F.col(level)], []], role, level)
+            .agg(F.sum("n").alias("n"), F.sum("_sum").alias("_sum"), F.sum("_counted").alias("_counted"),
+                 F.grouping(role).alias("_all_roles"), F.grouping(level).alias("_all_levels")))
     best = top_skills_per_role(df, role, skills, n, None, skip_role=other)
-    per_role = best.groupBy(role).agg(
+    top = best.groupBy(F.col(role).alias("_role")).agg(
         F.map_from_entries(F.transform(F.sort_array(F.collect_list(F.struct("rank", "skill", "n"))),
                                        lambda s: F.struct(s["skill"], s["n"]))).alias("_top"))
+    lines = sets.join(top, F.col(role) == F.col("_role"), "left")
+    is_role = (F.col("_all_roles") == 0) & F.col(role).isNotNull()
+    is_level = (F.col("_all_levels") == 0) & F.col(level).isNotNull()
+    is_total = (F.col("_all_roles") == 1) & (F.col("_all_levels") == 1)
     # A role without any skill still has its (empty) entry.
-    roles = by_role.filter(F.col(role) != other).join(per_role, role, "left")
-    roles = roles.withColumn("_top", F.coalesce("_top", F.create_map().cast("map<string,bigint>")))
+    skill_map = F.coalesce("_top", F.create_map().cast("map<string,bigint>"))
+
+    def entries(test: Column, key: str, value: Column) -> Column:
+        return F.map_from_entries(F.collect_list(F.when(test, F.struct(F.col(key), value))))
+
     companies = df.agg(F.count_distinct(company)).scalar()
-    return cells.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total_jobs"),
-        F.round(F.try_divide(F.sum("_sum"), F.sum("_counted")), 2).alias("avg_skills_per_job"),
+    return lines.agg(
+        F.coalesce(F.max(F.when(is_total, F.col("n"))), F.lit(0)).alias("total_jobs"),
+        entries(is_role, role, F.col("n")).alias("role_distribution"),
+        entries(is_level, level, F.col("n")).alias("seniority_distribution"),
+        F.round(F.max(F.when(is_total, F.try_divide("_sum", "_counted"))), 2).alias("avg_skills_per_job"),
+        entries(is_role & (F.col(role) != other), role, skill_map).alias("skills_per_role"),
     ).select(
         F.lit(generated_at).alias("generated_at"), "total_jobs", companies.alias("unique_companies"),
-        _as_map(known(by_role, role), role, "n").alias("role_distribution"),
-        _as_map(known(by_level, level), level, "n").alias("seniority_distribution"),
-        "avg_skills_per_job",
-        _as_map(roles, role, "_top").alias("skills_per_role"))
+        "role_distribution", "seniority_distribution", "avg_skills_per_job", "skills_per_role")
 
 
 def extended_summary(df: DataFrame, work_type: str, city: str, skills: str = "extracted_skills",
