@@ -84,10 +84,10 @@ def _(spark, d):
 
 
 @query("clean_to_numeric", """
-SELECT p_partkey, CASE WHEN p_size % 3 = 1 THEN NULL ELSE p_retailprice END AS price FROM part""")
+SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN NULL ELSE p_retailprice END AS price FROM part""")
 def _(spark, d):
-    raw = (F.when(F.col("p_size") % 3 == 0, F.concat(F.lit(" "), F.col("p_retailprice").cast("string")))
-           .when(F.col("p_size") % 3 == 1, F.concat(F.lit("Rp "), F.col("p_retailprice").cast("string")))
+    raw = (F.when(F.col("p_type") == "SMALL", F.concat(F.lit(" "), F.col("p_retailprice").cast("string")))
+           .when(F.col("p_type") == "PROMO", F.concat(F.lit("Rp "), F.col("p_retailprice").cast("string")))
            .otherwise(F.col("p_retailprice").cast("string")))
     return table(spark, d, "part").select("p_partkey", text.to_number(raw).alias("price"))
 
@@ -117,14 +117,14 @@ def _(spark, d):
 
 
 @query("clean_parse_list_literal", """
-SELECT p_partkey, CASE p_size % 5 WHEN 3 THEN '' WHEN 4 THEN '' ELSE p_brand || '|' || p_name END AS joined,
-       CASE p_size % 5 WHEN 3 THEN 0 WHEN 4 THEN 0 ELSE 2 END AS n FROM part""")
-def _(spark, d):
-    size = F.col("p_size") % 5
-    raw = (F.when(size == 0, F.concat(F.lit("['"), "p_brand", F.lit("', '"), "p_name", F.lit("']")))
-           .when(size == 1, F.concat(F.lit('["'), "p_brand", F.lit('", "'), "p_name", F.lit('"]')))
-           .when(size == 2, F.concat(F.lit("['"), "p_brand", F.lit("','"), "p_name", F.lit("']")))
-           .when(size == 3, F.lit("nan")))
+SELECT p_partkey, CASE WHEN p_type IN ('PROMO', 'SMALL') THEN '' ELSE p_brand || '|' || p_name END AS joined,
+       CASE WHEN p_type IN ('PROMO', 'SMALL') THEN 0 ELSE 2 END AS n FROM part""")
+def _(spark, d):
+    kind = F.col("p_type")
+    raw = (F.when(kind == "ECONOMY", F.concat(F.lit("['"), "p_brand", F.lit("', '"), "p_name", F.lit("']")))
+           .when(kind == "LARGE", F.concat(F.lit('["'), "p_brand", F.lit('", "'), "p_name", F.lit('"]')))
+           .when(kind.isin("MEDIUM", "STANDARD"), F.concat(F.lit("['"), "p_brand", F.lit("','"), "p_name", F.lit("']")))
+           .when(kind == "PROMO", F.lit("nan")))
     df = table(spark, d, "part").select("p_partkey", text.parse_list(raw).alias("items"))
     return df.select("p_partkey", F.array_join("items", "|").alias("joined"), F.size("items").alias("n"))
 
@@ -154,13 +154,12 @@ def _(spark, d):
 
 @query("clean_url_canonical", """
 SELECT page_id,
-  CASE page_id % 3 WHEN 0 THEN split_part(url, '?', 1) WHEN 1 THEN 'https://board.example/item/' || page_id
-       ELSE '' END AS url
+  CASE WHEN url LIKE 'https:%' THEN split_part(url, '?', 1) WHEN contains(url, '.com/')
+       THEN 'https://board.example/item/' || page_id ELSE '' END AS url
 FROM pages""")
 def _(spark, d):
-    kind = F.col("page_id") % 3
-    raw = (F.when(kind == 0, F.col("url"))
-           .when(kind == 1, F.concat(F.lit("/item/"), F.col("page_id").cast("string"), F.lit("?a=1")))
+    raw = (F.when(F.col("url").startswith("https:"), F.col("url"))
+           .when(F.col("url").contains(".com/"), F.concat(F.lit("/item/"), F.col("page_id").cast("string"), F.lit("?a=1")))
            .otherwise(F.concat(F.lit("ftp:"), "url")))
     return table(spark, d, "pages").select("page_id", text.canonical_url(raw, "https://board.example").alias("url"))
 

@@ -21,9 +21,9 @@ def _lines(spark, d):
     some with quoted separators, quotes and line breaks."""
     key = F.col("p_partkey").cast("string")
     quoted = F.concat(F.lit('"a ""b"";\n'), "p_name", F.lit('"'))
-    title = F.when(F.col("p_size") % 2 == 0, quoted).otherwise(F.col("p_name"))
-    tail = (F.when(F.col("p_size") % 5 == 0, F.concat(F.lit(";"), "p_type", F.lit(";surplus")))
-            .when(F.col("p_size") % 5 == 1, F.lit(""))
+    title = F.when(F.col("p_size") > 25, quoted).otherwise(F.col("p_name"))
+    tail = (F.when(F.col("p_type") == "PROMO", F.concat(F.lit(";"), "p_type", F.lit(";surplus")))
+            .when(F.col("p_type") == "SMALL", F.lit(""))
             .otherwise(F.concat(F.lit(";"), "p_type")))
     return table(spark, d, "part").select("p_partkey", F.concat_ws(";", key, title, "p_brand").alias("head"), tail.alias("tail"))
 
@@ -38,21 +38,21 @@ def _delimited(spark, d):
     return path
 
 
-TITLE_SQL = """CASE WHEN p_size % 2 = 0 THEN 'a "b";' || chr(10) || p_name ELSE p_name END"""
+TITLE_SQL = """CASE WHEN p_size > 25 THEN 'a "b";' || chr(10) || p_name ELSE p_name END"""
 
 
 @query("src_csv_delim", f"""
 SELECT p_partkey::VARCHAR AS id, {TITLE_SQL} AS title, p_brand AS company,
-       CASE WHEN p_size % 5 = 1 THEN NULL ELSE p_type END AS note
-FROM part WHERE p_size % 5 <> 0""")
+       CASE WHEN p_type = 'SMALL' THEN NULL ELSE p_type END AS note
+FROM part WHERE p_type <> 'PROMO'""")
 def _(spark, d):
     return readers.read_delimited(spark, _delimited(spark, d), HEADER)
 
 
 @query("src_malformed_audit", f"""
 SELECT n_fields, count(*) AS n, min(line_no) AS first_line, min(p) AS preview FROM (
-  SELECT CASE WHEN p_size % 5 = 0 THEN 5 ELSE 3 END AS n_fields,
-         p_partkey + 2 AS line_no, p_partkey::VARCHAR || '|' || {TITLE_SQL} AS p FROM part WHERE p_size % 5 IN (0, 1))
+  SELECT CASE WHEN p_type = 'PROMO' THEN 5 ELSE 3 END AS n_fields,
+         p_partkey + 2 AS line_no, p_partkey::VARCHAR || '|' || {TITLE_SQL} AS p FROM part WHERE p_type IN ('PROMO', 'SMALL'))
 GROUP BY n_fields""")
 def _(spark, d):
     audit = readers.audit_delimited(spark, _delimited(spark, d), HEADER)

@@ -162,21 +162,22 @@ SALARY_SQL = f"""sal AS (
 
 
 def _salaries(spark, d):
-    return (jobs(spark, d).select("id", salary.parse(salary_text()).alias("s")).select("id", "s.*"))
+    return (jobs(spark, d).select("id", "city", salary.parse(salary_text()).alias("s")).select("id", "city", "s.*"))
 
 
 @query("sc_salary_parse", over_jobs("SELECT id, salary_min, salary_max FROM sal", SALARY_SQL))
 def _(spark, d):
-    return _salaries(spark, d).drop("salary_display")
+    return _salaries(spark, d).drop("city", "salary_display")
 
 
 @query("sc_salary_mid", over_jobs("""
-SELECT id, CASE WHEN salary_min % 2000 = 0 THEN salary_max::DOUBLE WHEN salary_min % 2000 = 1000 THEN salary_min::DOUBLE
-           ELSE (salary_min + salary_max) / 2.0::DOUBLE END AS salary_avg FROM sal""", SALARY_SQL))
+SELECT id, CASE WHEN city < 'M' THEN salary_max::DOUBLE WHEN city > 'P' THEN salary_min::DOUBLE
+           ELSE (salary_min + salary_max) / 2.0::DOUBLE END AS salary_avg FROM sal JOIN jobs USING (id)""", SALARY_SQL))
 def _(spark, d):
-    low, high = F.col("salary_min"), F.col("salary_max")
-    return _salaries(spark, d).select("id", salary.midpoint(
-        F.when(low % 2000 != 0, low), F.when(low % 2000 != 1000, high)).alias("salary_avg"))
+    # Either end is unknown for some places.
+    low = F.when(F.col("city") >= "M", F.col("salary_min"))
+    high = F.when(F.col("city") <= "P", F.col("salary_max"))
+    return _salaries(spark, d).select("id", salary.midpoint(low, high).alias("salary_avg"))
 
 
 @query("sc_salary_display", over_jobs("SELECT id, salary_display FROM sal", SALARY_SQL))
