@@ -143,6 +143,7 @@ def test_level_maps(apply):
     labels = ["Mid", "Mid-level", "Intern", "Managerial", "Manager/Lead", "Manager/Head", "Senior", None]
     assert apply(rules.level_map_regex, labels) == [
         "Mid-level", "Mid-level-level", "Junior", "Manager/Head", "Manager/Head", "Manager/Head", "Senior", None]
+    assert apply(rules.level_map_regex, ["Mid Intern"]) == ["Mid-level Junior"]
     assert apply(rules.level_map_exact, labels) == [
         "Mid", "Mid-level", "Junior", "Managerial", "Manager/Lead", "Manager/Head", "Senior", None]
     assert apply(rules.level_map_anchored, labels) == [

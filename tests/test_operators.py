@@ -270,10 +270,9 @@ def test_summary_adds_up(jobs):
 
 def test_size_salary_volume(jobs):
     df = jobs.withColumn("company_size_proxy", F.when(F.col("id") < 4, "Small (1–2)"))
-    small = [r for r in rows(reports.size_salary_volume(df)) if r[0] == "Small (1–2)"][0]
-    everyone = rows(reports.size_salary_volume(df, salaried_only=False))
-    assert small == ("Small (1–2)", 0, 15.0, 2) and everyone[0][3] == 3
-    assert [r[0] for r in everyone] == [b[2] for b in vocab.COMPANY_SIZE_BANDS] and everyone[3][2:] == (None, 0)
+    got = rows(reports.size_salary_volume(df))
+    assert got[0] == ("Small (1–2)", 0, 15.0, 2, 3)
+    assert [r[0] for r in got] == [b[2] for b in vocab.COMPANY_SIZE_BANDS] and got[3][2:] == (None, 0, 0)
 
 
 def test_profiles(jobs, spark):

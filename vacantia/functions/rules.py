@@ -99,13 +99,13 @@ def title_seniority(title: Column, rules=None, default: str = vocab.NOT_STATED)
 def level_map_regex(level: Column, renames=None) -> Column:
     """Replace every pattern hit inside the label.
 
-    Patterns are tried against the original value and the first that occurs
-    is substituted, so ``Mid-level`` becomes ``Mid-level-level``: alternation
-    takes ``Mid`` first.  :func:`level_map_anchored` has no such surprise.
+    Which patterns apply is decided on the original value.  Alternation takes
+    ``Mid`` first, so ``Mid-level`` becomes ``Mid-level-level``;
+    :func:`level_map_anchored` has no such surprise.
     """
     out = level
-    for pattern, new in reversed(renames or vocab.LEVEL_RENAMES):
-        out = F.when(level.rlike(pattern), F.regexp_replace(level, pattern, new)).otherwise(out)
+    for pattern, new in renames or vocab.LEVEL_RENAMES:
+        out = F.when(level.rlike(pattern), F.regexp_replace(out, pattern, new)).otherwise(out)
     return out
 
 

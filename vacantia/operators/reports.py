@@ -164,17 +164,16 @@ def top_companies(df: DataFrame, company: str = "company", n: int = 15) -> DataF
 
 
 def size_salary_volume(df: DataFrame, size: str = "company_size_proxy", value: str = "salary_avg",
-                       bands=vocab.COMPANY_SIZE_BANDS, salaried_only: bool = True) -> DataFrame:
+                       bands=vocab.COMPANY_SIZE_BANDS) -> DataFrame:
     """Q6b: mean value and postings per size band, every band in order.
 
-    ``salaried_only`` counts rows with a known value, otherwise all rows.
+    ``salaried`` counts rows with a known value, ``postings`` all rows.
     """
-    order = [label for _, _, label in bands]
-    counted = F.count(value) if salaried_only else F.count(F.lit(1))
-    table = known(df, size).groupBy(size).agg(F.avg(value).alias("mean"), counted.alias("n"))
-    listed = df.sparkSession.createDataFrame(list(enumerate(order)), f"position int, {size} string")
-    return (listed.join(table, size, "left")
-            .select(size, "position", "mean", F.coalesce("n", F.lit(0)).alias("n")).orderBy("position"))
+    table = known(df, size).groupBy(size).agg(
+        F.avg(value).alias("mean"), F.count(value).alias("salaried"), F.count(F.lit(1)).alias("postings"))
+    listed = df.sparkSession.createDataFrame([(i, b[2]) for i, b in enumerate(bands)], f"position int, {size} string")
+    return (listed.join(table, size, "left").fillna(0, ["salaried", "postings"])
+            .select(size, "position", "mean", "salaried", "postings").orderBy("position"))
 
 
 def seniority_salary(df: DataFrame, level: str = "title_seniority", value: str = "salary_avg",

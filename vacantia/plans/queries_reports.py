@@ -159,16 +159,12 @@ def _(spark, d):
 
 
 @query("agg_size_salary_volume", over_jobs(f"""
-SELECT size_band, position, round(mean, 4) AS mean, coalesce(n, 0) AS n, coalesce(all_rows, 0) AS all_rows
+SELECT size_band, position, round(mean, 4) AS mean, coalesce(salaried, 0) AS salaried, coalesce(postings, 0) AS postings
 FROM {values_sql([(i, b[2]) for i, b in enumerate(vocab.COMPANY_SIZE_BANDS)], 'position, size_band')}
-LEFT JOIN (SELECT size_band, avg(salary_avg) AS mean, count(salary_avg) AS n, count(*) AS all_rows
+LEFT JOIN (SELECT size_band, avg(salary_avg) AS mean, count(salary_avg) AS salaried, count(*) AS postings
            FROM sized GROUP BY ALL) USING (size_band)""", SIZED_SQL))
 def _(spark, d):
-    df = sized(spark, d)
-    salaried = reports.size_salary_volume(df, "size_band")
-    everyone = reports.size_salary_volume(df, "size_band", salaried_only=False)
-    return (salaried.join(everyone.select("size_band", F.col("n").alias("all_rows")), "size_band")
-            .withColumn("mean", r4("mean")))
+    return reports.size_salary_volume(sized(spark, d), "size_band").withColumn("mean", r4("mean"))
 
 
 TITLED_SQL = "lower(title)"
