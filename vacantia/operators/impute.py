@@ -3,14 +3,14 @@ values, a cascade of medians elsewhere, with the origin of each value kept."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import salary, text, vocab
@@ -65,24 +65,37 @@ def label_codes(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.createDataFrame(numbered, f"{name} string, {name}_code bigint")
 
 
-def label_encode(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Add ``<name>_code`` for every listed column."""
-    out = df
+def label_encode(df: DataFrame, names: Sequence[str], base: DataFrame | None = None,
+                 codes: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Add ``<name>_code`` for every listed column.
+
+    ``base`` is the table to take labels and counts from, if ``df`` is that
+    table with more columns looked up; ``codes`` are label tables at hand.
+    """
+    base = base if base is not None else df
     for name in names:
         label = F.coalesce(F.col(name).cast("string"), F.lit("nan"))
-        codes = label_codes(df, name).withColumnRenamed(name, "_label")
-        counts = key_counts(df.select(label.alias("_label")), ["_label"])
-        out = lookup(out.withColumn("_label", label), codes, ["_label"], counts).drop("_label")
-    return out
+        table = (codes[name] if codes else label_codes(base, name)).withColumnRenamed(name, "_label")
+        counts = key_counts(base.select(label.alias("_label")), ["_label"])
+        df = lookup(df.withColumn("_label", label), table, ["_label"], counts).drop("_label")
+    return df
 
 
-def prepared(df: DataFrame, spec: ForestSpec) -> DataFrame:
-    """Add city, provenance, support flag and label codes."""
+def _base(df: DataFrame, spec: ForestSpec) -> DataFrame:
+    """Add city and provenance."""
     if spec.city not in df.columns:
         df = df.withColumn(spec.city, text.city(F.col("location")))
-    df = settle(df.withColumn("salary_source", salary.source_flag(F.col(spec.value))))
-    df = label_encode(df, spec.labels).fillna(0, [spec.skills_count])
-    return with_support(df, spec.role, spec.value, spec.min_support)
+    return df.withColumn("salary_source", salary.source_flag(F.col(spec.value)))
+
+
+def _prepared(df: DataFrame, base: DataFrame, codes: Mapping[str, DataFrame], spec: ForestSpec) -> DataFrame:
+    """Add label codes and the support flag, both counted in ``base``."""
+    df = label_encode(df, spec.labels, base, codes).fillna(0, [spec.skills_count])
+    return with_support(df, spec.role, spec.value, spec.min_support, base=base)
+
+
+def _codes(base: DataFrame, spec: ForestSpec) -> dict[str, DataFrame]:
+    return {name: label_codes(base, name) for name in spec.labels}
 
 
 def _forest(spec: ForestSpec) -> Pipeline:
@@ -95,34 +108,36 @@ def _forest(spec: ForestSpec) -> Pipeline:
             featureSubsetStrategy="all")])
 
 
-def training_rows(ready: DataFrame, spec: ForestSpec) -> DataFrame:
-    """Known values of supported roles.
+def training_rows(base: DataFrame, codes: Mapping[str, DataFrame], spec: ForestSpec, *keep: str) -> DataFrame:
+    """Features of the known values of supported roles, stored once.
 
-    Features derived from the whole table (company frequency and the like)
-    are not among the columns, so nothing leaks into the training.
+    Only the feature columns are read.  Features derived from the whole table
+    (company frequency and the like) are not among them, so nothing leaks.
     """
-    return (ready.filter(F.col(spec.value).isNotNull() & F.col("supported"))
-            .select(*spec.features, F.col(spec.value).cast("double").alias(spec.value)))
+    narrow = base.select(*spec.labels, spec.skills_count, F.col(spec.value).cast("double").alias(spec.value), *keep)
+    ready = _prepared(narrow, narrow, codes, spec)
+    return settle(ready.filter(F.col(spec.value).isNotNull() & F.col("supported"))
+                  .select(*spec.features, spec.value, *keep))
 
 
-def fit_forest(ready: DataFrame, spec: ForestSpec) -> PipelineModel:
-    return _forest(spec).fit(training_rows(ready, spec))
-
-
-def _predict(rows: DataFrame, model: PipelineModel, spec: ForestSpec) -> DataFrame:
-    predicted = text.clip(F.col("_predicted"), spec.low, spec.high)
-    return (model.transform(rows)
-            .withColumn(spec.value, predicted)
-            .withColumn("salary_source", F.lit("estimated_rf"))
-            .drop("_features", "_predicted"))
+def _filled(ready: DataFrame, model: PipelineModel, open_row: Column, spec: ForestSpec) -> DataFrame:
+    """Put predictions into the open rows; one pass over the rows."""
+    value = F.col(spec.value)
+    return (model.transform(ready.withColumn("_open", open_row))
+            .withColumn(spec.value, F.when(F.col("_open"), text.clip(F.col("_predicted"), spec.low, spec.high))
+                        .otherwise(value))
+            .withColumn("salary_source", F.when(F.col("_open"), F.lit("estimated_rf"))
+                        .otherwise(F.col("salary_source")))
+            .drop("_open", "_features", "_predicted"))
 
 
 def forest_impute(df: DataFrame, spec: ForestSpec = ForestSpec()) -> DataFrame:
     """Fill missing values of supported roles; all other rows stay as they are."""
-    ready = settle(prepared(df, spec))
+    base = _base(df, spec)
+    codes = _codes(base, spec)
+    model = _forest(spec).fit(training_rows(base, codes, spec))
     open_row = F.col(spec.value).isNull() & F.col("supported")
-    filled = _predict(ready.filter(open_row), fit_forest(ready, spec), spec)
-    return ready.filter(~open_row).unionByName(filled).drop("supported", *spec.codes)
+    return _filled(_prepared(base, base, codes, spec), model, open_row, spec).drop("supported", *spec.codes)
 
 
 def median_impute(df: DataFrame, keys: Sequence[str], value: str = "salary_avg",
@@ -139,16 +154,21 @@ def median_impute(df: DataFrame, keys: Sequence[str], value: str = "salary_avg",
 
 
 def hybrid_impute(df: DataFrame, spec: ForestSpec = ForestSpec()) -> DataFrame:
-    """Forest for supported roles, median cascade for the others."""
-    ready = settle(prepared(df, spec))
+    """Forest for supported roles, median cascade for the others.
+
+    The wide rows are read once: medians, codes, support and prediction are
+    added to each row and the missing value is taken from the one that holds.
+    """
+    base = _base(df, spec)
+    codes = _codes(base, spec)
+    model = _forest(spec).fit(training_rows(base, codes, spec))
+    ready = _prepared(with_median_cascade(base, spec.value, spec.labels, "_median"), base, codes, spec)
     missing = F.col(spec.value).isNull()
-    actual = ready.filter(~missing)
-    by_forest = _predict(ready.filter(missing & F.col("supported")), fit_forest(ready, spec), spec)
-    by_median = (with_median_cascade(ready, spec.value, spec.labels, "_median")
-                 .filter(missing & ~F.col("supported"))
-                 .withColumn(spec.value, F.col("_median"))
-                 .withColumn("salary_source", F.lit("estimated_median")).drop("_median"))
-    return actual.unionByName(by_forest).unionByName(by_median).drop("supported", *spec.codes)
+    filled = _filled(ready, model, missing & F.col("supported"), spec)
+    return (filled
+            .withColumn("salary_source", F.when(missing, F.lit("estimated_median")).otherwise(F.col("salary_source")))
+            .withColumn(spec.value, F.coalesce(spec.value, "_median"))
+            .drop("_median", "supported", *spec.codes))
 
 
 def coverage(df: DataFrame, value: str = "salary_avg", role: str = "search_role",
@@ -167,11 +187,12 @@ def cv_scores(df: DataFrame, order: Sequence[str], spec: ForestSpec = ForestSpec
 
     ``order`` names columns that identify a row; their hash assigns the fold.
     """
-    ready = settle(prepared(df, spec).withColumn("_fold", F.pmod(F.xxhash64(*order), F.lit(folds))))
+    base = _base(df, spec).withColumn("_fold", F.pmod(F.xxhash64(*order), F.lit(folds)))
+    rows = training_rows(base, _codes(base, spec), spec, "_fold")
     scores = []
     for fold in range(folds):
-        model = fit_forest(ready.filter(F.col("_fold") != fold), spec)
-        tested = model.transform(training_rows(ready.filter(F.col("_fold") == fold), spec))
+        model = _forest(spec).fit(rows.filter(F.col("_fold") != fold))
+        tested = model.transform(rows.filter(F.col("_fold") == fold))
         mae, r2 = (RegressionEvaluator(labelCol=spec.value, predictionCol="_predicted", metricName=m)
                    .evaluate(tested) for m in ("mae", "r2"))
         scores.append((str(fold), float(mae), float(r2)))
@@ -181,7 +202,8 @@ def cv_scores(df: DataFrame, order: Sequence[str], spec: ForestSpec = ForestSpec
 
 def feature_importance(df: DataFrame, spec: ForestSpec = ForestSpec()) -> DataFrame:
     """Importance per feature, ascending."""
-    model = fit_forest(settle(prepared(df, spec)), spec).stages[-1]
+    base = _base(df, spec)
+    model = _forest(spec).fit(training_rows(base, _codes(base, spec), spec)).stages[-1]
     names = [*spec.labels, spec.skills_count]
     rows = [(n, float(x)) for n, x in zip(names, model.featureImportances.toArray())]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy("importance")

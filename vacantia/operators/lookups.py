@@ -30,9 +30,13 @@ def supported_keys(df: DataFrame, key: str, value: str, min_rows: int = 30) -> D
 
 
 def with_support(df: DataFrame, key: str, value: str, min_rows: int = 30,
-                 out: str = "supported") -> DataFrame:
-    """Flag the rows whose key has at least ``min_rows`` known values."""
-    stats = _support(df, key, value)
+                 out: str = "supported", base: DataFrame | None = None) -> DataFrame:
+    """Flag the rows whose key has at least ``min_rows`` known values.
+
+    ``base`` is the table to count in, if ``df`` is that table with more
+    columns looked up.
+    """
+    stats = _support(base if base is not None else df, key, value)
     table = stats.select(key, (F.col("_known") >= min_rows).alias(out))
     return lookup(df, table, [key], stats.select(key, "n")).withColumn(out, F.coalesce(out, F.lit(False)))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,10 +73,12 @@ def read_glob(spark: SparkSession, glob: str, source: str = "_source", row: str
     are skipped; it is an error if none is left.
     """
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    for path in _files(spark, glob):
-        header = _header(spark, path)
-        if header:
-            groups[header].append(path)
+    paths = _files(spark, glob)
+    # Each header is one tiny job; many files are looked at side by side.
+    with ThreadPoolExecutor(16) as pool:
+        for path, header in zip(paths, pool.map(lambda p: _header(spark, p), paths)):
+            if header:
+                groups[header].append(path)
     if not groups:
         raise FileNotFoundError(f"no readable file matches {glob}")
     out = None
