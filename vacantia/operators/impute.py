@@ -113,11 +113,18 @@ def training_rows(base: DataFrame, codes: Mapping[str, DataFrame], spec: ForestS
 
     Only the feature columns are read.  Features derived from the whole table
     (company frequency and the like) are not among them, so nothing leaks.
+    Rows are dealt out by their content and the partition they were read in,
+    and sorted, so that the seed gives the same forest for the same table.
     """
-    narrow = base.select(*spec.labels, spec.skills_count, F.col(spec.value).cast("double").alias(spec.value), *keep)
-    ready = _prepared(narrow, narrow, codes, spec)
-    return settle(ready.filter(F.col(spec.value).isNotNull() & F.col("supported"))
-                  .select(*spec.features, spec.value, *keep))
+    narrow = base.select(*spec.labels, spec.skills_count, F.col(spec.value).cast("double").alias(spec.value),
+                         *keep, F.spark_partition_id().alias("_part"))
+    counted = base.select(*spec.labels, spec.value)
+    ready = (_prepared(narrow, counted, codes, spec)
+             .filter(F.col(spec.value).isNotNull() & F.col("supported"))
+             .select(*spec.features, spec.value, *keep, "_part"))
+    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    content = [*spec.features, spec.value, *keep, "_part"]
+    return settle(ready.repartition(parts, *content).sortWithinPartitions(*content).drop("_part"))
 
 
 def _filled(ready: DataFrame, model: PipelineModel, open_row: Column, spec: ForestSpec) -> DataFrame:
