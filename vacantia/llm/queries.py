@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing
+from . import packing, rules, simhash
 from .common import documents
 from .registry import QUERIES, SQL, query
 
@@ -14,3 +14,14 @@ __all__ = ["QUERIES", "SQL"]
 @query("op3_best_fit_packing")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.best_fit_pack(documents(spark, sf_dir), 2048)
+
+
+@query("op7_quality_rules", rules.SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_rules(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query("op10_simhash_near_dedup")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
