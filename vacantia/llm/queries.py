@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, rules, simhash
+from . import langid, packing, quality, rules, simhash
 from .common import documents
 from .registry import QUERIES, SQL, query
 
@@ -25,3 +25,13 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash_near_dedup")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
+@query("op5_language_id")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
+@query("op6_quality_classifier")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(documents(spark, sf_dir))

@@ -97,7 +97,7 @@ def default_rules() -> dict[str, Column]:
     words, chars, body = F.col("n_words"), F.col("word_chars"), F.col("text")
     return {
         "symbols": 100 * F.col("n_symbols") > 30 * words,
-        "repeated_lines": 100 * F.col("n_dup_lines") > 30 * F.col("n_lines"),
+        "repeated_lines": (F.col("n_dup_lines") >= 3) & (100 * F.col("n_dup_lines") > 30 * F.col("n_lines")),
         "short_words": 10 * chars < 20 * words,
         "long_words": chars > 14 * words,
         "shouting": 100 * removed(body, UPPER) > 40 * chars,
@@ -175,7 +175,7 @@ m AS (
   FROM d LEFT JOIN c ON d.doc_id = c.doc_id),
 f AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR 100 * n_symbols > 30 * n_words OR 100 * n_dup_lines > 30 * n_lines
+  NOT (base_failed OR 100 * n_symbols > 30 * n_words OR (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines)
        OR 10 * word_chars < 20 * n_words OR word_chars > 14 * n_words
        OR 100 * n_upper > 40 * word_chars OR 100 * n_digits > 30 * word_chars) AS kept
 FROM f
