@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, packing, quality, rules, simhash
+from . import langid, packing, pieces, quality, rules, simhash, topk
 from .common import documents
 from .registry import QUERIES, SQL, query
 
@@ -35,3 +35,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_quality_classifier")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(documents(spark, sf_dir))
+
+
+@query("op2_exact_top_k", topk.SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return topk.top_k(vectors.where("vec_id % 20 = 0"), vectors)
+
+
+@query("op1_sentencepiece")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.digest(documents(spark, sf_dir))
