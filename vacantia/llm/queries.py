@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, packing, pieces, quality, rules, simhash, topk
+from . import langid, lm, packing, pieces, quality, rules, simhash, topk
 from .common import documents
 from .registry import QUERIES, SQL, query
 
@@ -46,3 +47,9 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_sentencepiece")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.digest(documents(spark, sf_dir))
+
+
+@query("op4_lm_scoring")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm.score_documents(documents(spark, sf_dir), ~lm.held_out(F.col("doc_id")))
+    return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
