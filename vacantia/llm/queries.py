@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lm, packing, pieces, quality, rules, simhash, topk
+from . import langid, lm, packing, pieces, quality, rules, simhash, suffixes, topk
 from .common import documents
 from .registry import QUERIES, SQL, query
 
@@ -53,3 +53,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = lm.score_documents(documents(spark, sf_dir), ~lm.held_out(F.col("doc_id")))
     return scored.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query("op8_suffix_array_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(documents(spark, sf_dir), 50)
