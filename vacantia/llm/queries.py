@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lm, packing, pieces, quality, rules, simhash, suffixes, topk
+from . import automata, langid, lm, packing, pieces, quality, rules, simhash, suffixes, topk
 from .common import documents
 from .registry import QUERIES, SQL, query
 
@@ -58,3 +58,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_array_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(documents(spark, sf_dir), 50)
+
+
+@query("op9_substring_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return automata.digest(documents(spark, sf_dir), 20)
