@@ -208,7 +208,7 @@ def pattern_column(text: Column) -> Column:
 
 def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_rows: int = 12_000) -> Classifier:
     """Label model of all rows, scorer of a bounded sample of them."""
-    rows = docs.select(F.xxhash64(doc_id, F.length(text)).alias("h"), F.col(text).alias("text"), pattern_column(F.col(text)).alias("pattern"))
+    rows = docs.select(pattern_column(F.col(text)).alias("pattern"))
     counts = {r["pattern"]: r["count"] for r in rows.groupBy("pattern").count().collect()}
     if not counts:
         return Classifier(LabelModel(0.5, np.full((2, len(LABELLERS)), 0.5)), Scorer(np.zeros(1 << BUCKET_BITS, np.float32), np.zeros((len(LABELLERS), 3)), 0.0))
@@ -227,8 +227,10 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_ro
             [pa.array([scorer.weights.tobytes()]), pa.array([scorer.vote_weights.tobytes()]), pa.array([scorer.bias])],
             ["weights", "votes", "bias"])
 
-    # The sample is bounded by its parameter, so one task may hold it.
-    sample = rows.orderBy("h").limit(sample_rows).select("text", "pattern").coalesce(1)
+    # Rows below a hash limit, about ``sample_rows`` of them; the limit holds for any repeats, so one task may take them.
+    limit = int(min(1.0, sample_rows / sum(counts.values())) * (2 ** 64 - 1)) - 2 ** 63
+    some = docs.where(F.xxhash64(doc_id, text) <= limit).select(F.col(text).alias("text")).limit(2 * sample_rows)
+    sample = some.select("text", pattern_column(F.col("text")).alias("pattern")).coalesce(1)
     fitted = sample.mapInArrow(fit, "weights binary, votes binary, bias double").first()
     return Classifier(model, Scorer(np.frombuffer(bytes(fitted["weights"]), np.float32),
                                     np.frombuffer(bytes(fitted["votes"])).reshape(-1, 3), fitted["bias"]))
