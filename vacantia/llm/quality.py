@@ -54,7 +54,7 @@ CLASSES[ord("!"), EXCLAMATIONS] = CLASSES[ord("|"), BARS] = 1
 CLASSES[33:127, MARKS] = 1 - CLASSES[33:127, LETTERS]
 CLASSES[48:58, MARKS] = 0
 PLAIN = re.compile(rb"(?<!\S)[A-Za-z\x80-\xff]+[.,;:!?]?(?!\S)")
-FALSE_ALARM = 0.02
+FALSE_ALARM = 0.002
 GRAM = 4
 BUCKET_BITS = 16
 #: N-grams of a text count against so many unseen ones of weight zero.
@@ -172,6 +172,8 @@ def fit_scorer(texts: list[np.ndarray], patterns: np.ndarray, labels: np.ndarray
     weights, squares, bias = np.zeros(size), np.full(size, 1e-8), 0.0
     vote_weights, vote_squares = np.zeros((n, 3)), np.full((n, 3), 1e-8)
     vote, order = digits(patterns), np.random.default_rng(7).permutation(len(texts))
+    # Few texts are passed more often.
+    rounds = min(60, max(rounds, 36_000 // max(1, len(texts))))
     for _ in range(rounds):
         for at in range(0, len(order), batch):
             rows = order[at:at + batch]
@@ -228,7 +230,7 @@ def learn(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sample_ro
             ["weights", "votes", "bias"])
 
     # Rows below a hash limit, about ``sample_rows`` of them; the limit holds for any repeats, so one task may take them.
-    limit = int(min(1.0, sample_rows / sum(counts.values())) * (2 ** 64 - 1)) - 2 ** 63
+    limit = min(2 ** 64 - 1, 2 ** 64 * sample_rows // sum(counts.values())) - 2 ** 63
     some = docs.where(F.xxhash64(doc_id, text) <= limit).select(F.col(text).alias("text")).limit(2 * sample_rows)
     sample = some.select("text", pattern_column(F.col("text")).alias("pattern")).coalesce(1)
     fitted = sample.mapInArrow(fit, "weights binary, votes binary, bias double").first()

@@ -61,7 +61,7 @@ class Kind:
     gram: int
     words: bool
     by_place: bool
-    block_bytes: int = 32 << 20
+    block_bytes: int = 8 << 20
     #: Anchors that occur more often send windows instead of contexts.
     frequent: int = 1024
 
@@ -239,8 +239,9 @@ def distinct_keys(anchors: Anchors, units: Units, kind: Kind) -> tuple[np.ndarra
     if kind.by_place:
         count = np.bincount(number, minlength=len(keys))
     else:
-        pair = np.unique(np.stack([number, units.ids[anchors.row]]), axis=1)[0] if len(number) else number
-        count = np.bincount(pair, minlength=len(keys))
+        pair = np.sort(number * len(units.ids) + anchors.row)
+        first = np.concatenate([[True], pair[1:] != pair[:-1]]) if len(pair) else np.zeros(0, bool)
+        count = np.bincount(pair[first] // len(units.ids), minlength=len(keys))
     return keys, np.minimum(count, 255).astype(np.uint8), number
 
 
