@@ -399,6 +399,8 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
     learned = rows.where("training")
     counts = store(word_counts(learned.select("text")), "counts")
     model = count_model(counts, shape)
+    # A corpus of less than 200,000 tokens a share gives more of its documents.
+    share = max(1, min(share, model.train_tokens // 200_000))
     for number in range(rounds):
         part = F.pmod(F.xxhash64("doc_id"), F.lit(share * rounds)) == number
         fit(model, learned.where(part).select("text"))

@@ -90,7 +90,10 @@ def pack_blocks(docs: DataFrame, doc_id: str, text: str, kind: Kind) -> tuple[Da
     spark = docs.sparkSession
     blocks = parts(total_bytes(docs, text), kind.block_bytes, spark.sparkContext.defaultParallelism)
     rest = [c for c in docs.columns if c not in (doc_id, text)]
-    rows = docs.select(F.pmod(F.xxhash64(doc_id, text), F.lit(blocks)).cast("int").alias("block"), doc_id, text, *rest)
+    number = "block"
+    while number in docs.columns:
+        number += "_"
+    rows = docs.select(F.pmod(F.xxhash64(doc_id, text), F.lit(blocks)).cast("int").alias(number), doc_id, text, *rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
