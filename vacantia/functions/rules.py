@@ -125,9 +125,9 @@ def level_map_anchored(level: Column, renames=None) -> Column:
     return out
 
 
-def band(x: Column, bands: Sequence[tuple[float, float, str]]) -> Column:
-    """Label of the right-closed band (low, high]; outside all bands null."""
-    return first_rule([(label, (x > low) & (x <= high)) for low, high, label in bands],
+def band(x: Column, bands: Sequence[tuple[float, float | None, str]]) -> Column:
+    """Label of the right-closed band (low, high]; without a high end all above; outside all bands null."""
+    return first_rule([(label, x > low if high is None else (x > low) & (x <= high)) for low, high, label in bands],
                       F.lit(None).cast("string"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import vocab
-from .text import strip
+from .text import once, strip
 
 SHORTHAND = r"(?iU)([0-9]+(?:[.,][0-9]+)?)\s*(?:jt|juta)"
 AMOUNT = r"[0-9][0-9.,]*"
@@ -35,23 +35,28 @@ def parse(raw: Column, blank: str = vocab.NOT_STATED,
     numbers are ignored.  Otherwise every number of at least ``floor`` counts,
     dots and commas dropped.
     """
-    s = strip(raw)
-    millions = F.transform(
-        F.regexp_extract_all(s, F.lit(SHORTHAND), F.lit(1)),
-        lambda t: (F.replace(t, F.lit(","), F.lit(".")).cast("double") * 1_000_000).cast("bigint"))
-    plain = F.filter(
-        F.transform(F.regexp_extract_all(s, F.lit(AMOUNT), F.lit(0)),
-                    lambda t: F.translate(t, ".,", "").try_cast("bigint")),
-        lambda n: n >= floor)
-    stated = s.isNotNull() & ~s.isin("", blank, "nan")
-    short = F.size(millions) > 0
-    amounts = F.when(stated & short, millions).when(stated & (F.size(plain) > 0), plain)
-    low, high = F.array_min(amounts), F.array_max(amounts)
-    text = (F.when(amounts.isNull(), F.lit(blank))
-            .when(~short & (F.size(amounts) == 1), _amount(low))
-            .otherwise(display(low, high)))
-    return F.struct(low.alias("salary_min"), high.alias("salary_max"),
-                    text.alias("salary_display"))
+    def numbers(s: Column) -> Column:
+        millions = F.transform(
+            F.regexp_extract_all(s, F.lit(SHORTHAND), F.lit(1)),
+            lambda t: (F.replace(t, F.lit(","), F.lit(".")).cast("double") * 1_000_000).cast("bigint"))
+        plain = F.filter(
+            F.transform(F.regexp_extract_all(s, F.lit(AMOUNT), F.lit(0)),
+                        lambda t: F.translate(t, ".,", "").try_cast("bigint")),
+            lambda n: n >= floor)
+        stated = s.isNotNull() & ~s.isin("", blank, "nan")
+        return F.when(stated, once(millions, lambda m: F.when(
+            F.size(m) > 0, F.struct(F.lit(True).alias("short"), m.alias("all"))).otherwise(
+            F.struct(F.lit(False).alias("short"), plain.alias("all")))))
+
+    def ends(n: Column) -> Column:
+        amounts = F.when(F.size(n["all"]) > 0, n["all"])
+        low, high = F.array_min(amounts), F.array_max(amounts)
+        shown = (F.when(amounts.isNull(), F.lit(blank))
+                 .when(~n["short"] & (F.size(amounts) == 1), _amount(low))
+                 .otherwise(display(low, high)))
+        return F.struct(low.alias("salary_min"), high.alias("salary_max"), shown.alias("salary_display"))
+
+    return once(once(strip(raw), numbers), ends)
 
 
 def source_flag(value: Column) -> Column:

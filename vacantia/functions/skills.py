@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import vocab
 from .rules import any_of
+from .text import once
 
 # A word character, spelled out so that accents count as letters.
 W = r"[\p{L}\p{N}_]"
@@ -63,21 +64,23 @@ def whole_words(text: Column, lexicon: Sequence[str] | None = None,
     parts = {s: re.findall(r"\w+", s) for s in shaped}
     make = strict_pattern if strict_tokens else boundary_pattern
 
-    low = F.lower(text)
     vocabulary = dict.fromkeys([*simple, *(p for ps in parts.values() for p in ps)])
-    present = F.array_intersect(_strings(list(vocabulary)),
-                                F.regexp_extract_all(low, F.lit(STRICT_TOKEN if strict_tokens else TOKEN), F.lit(0)))
-
-    def test(skill: str) -> Column:
-        out = F.lit(True)
-        for p in parts[skill]:
-            out = out & F.array_contains(present, p)
-        return out & low.rlike(make(skill))
-
-    found = _hits([(s, test(s)) for s in shaped])
-    if simple:
-        found = F.concat(F.array_intersect(_strings(simple), present), found)
-    return F.coalesce(F.sort_array(F.array_distinct(found)), _strings([]))
+
+    def found_in(low: Column) -> Column:
+        tokens = F.regexp_extract_all(low, F.lit(STRICT_TOKEN if strict_tokens else TOKEN), F.lit(0))
+        return once(F.array_intersect(_strings(list(vocabulary)), tokens), lambda present: found_among(low, present))
+
+    def found_among(low: Column, present: Column) -> Column:
+        def test(skill: str) -> Column:
+            out = F.lit(True)
+            for p in parts[skill]:
+                out = out & F.array_contains(present, p)
+            return out & low.rlike(make(skill))
+
+        found = _hits([(s, test(s)) for s in shaped])
+        return F.concat(F.array_intersect(_strings(simple), present), found) if simple else found
+
+    return F.coalesce(F.sort_array(F.array_distinct(once(F.lower(text), found_in))), _strings([]))
 
 
 def substrings(text: Column, lexicon: Sequence[str] | None = None) -> Column:

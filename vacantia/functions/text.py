@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from . import vocab
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Cut white space at both ends, no-break space included (``trim`` keeps it)."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

@@ -243,19 +243,19 @@ ROLE_ORDER = [
 ]
 LEVEL_ORDER = ["Junior", "Mid-level", "Senior", "Manager/Head", NOT_STATED]
 
-# Right-closed bands (low, high, label).
+# Right-closed bands (low, high, label); the last has no upper end.
 COMPANY_SIZE_BANDS = [
     (0, 2, "Small (1–2)"),
     (2, 5, "Medium (3–5)"),
     (5, 10, "Large (6–10)"),
-    (10, 9999, "Enterprise (10+)"),
+    (10, None, "Enterprise (10+)"),
 ]
 SKILL_COUNT_BANDS = [
     (0, 2, "0–2"),
     (2, 4, "3–4"),
     (4, 6, "5–6"),
     (6, 8, "7–8"),
-    (8, 100, "9+"),
+    (8, None, "9+"),
 ]
 
 # Plausible monthly salary in rupiah, and smallest amount that a

@@ -8,34 +8,35 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import rank_in
+from .skew import row_hash
 
-# Up to this many rows per group, a row_number filter is applied on the map
-# side already (the optimiser's group limit), so a hot group shrinks before
-# it is shuffled.
-GROUP_LIMIT = 1000
-SALTS = 256
+# A group's candidates of so many salts at most meet in one task.
+FAN_IN = 16
 
 
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], n: int,
                   rank: str | None = None) -> DataFrame:
     """The first ``n`` rows of each group in the given order.
 
-    ``order`` should settle all ties.  For a large ``n`` each group is first
-    cut to ``n`` rows per salt, which keeps every row that can be in the
-    result and spreads a hot group over many tasks.
+    ``order`` should settle all ties.  Rows are dealt out over salts, as many
+    as there are shuffle partitions, and each salt of a group is cut to ``n``
+    rows; salts are merged sixteen at a time until the group is one.  So a
+    group of any size uses all tasks, and no task sees more than 16 ``n`` rows
+    of a group after the first cut.
     """
     keys, cols = list(keys), df.columns
-    if n > GROUP_LIMIT:
-        parts = [c if isinstance(c, str) else F.col(c) for c in cols]
-        salt = F.pmod(F.xxhash64(*parts, F.spark_partition_id()), F.lit(SALTS))
-        salted = Window.partitionBy(*keys, "_salt").orderBy(*order)
-        df = (df.withColumn("_salt", salt)
-              .withColumn("_rn", F.row_number().over(salted))
-              .filter(F.col("_rn") <= n).select(*cols))
     name = rank or "_rn"
-    ranked = df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    ranked = ranked.filter(F.col(name) <= n)
-    return ranked if rank else ranked.drop(name)
+    salts = max(1, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranked = df.withColumn("_salt", F.pmod(row_hash(df), F.lit(salts)))
+    while True:
+        salts = -(-salts // FAN_IN) if salts > FAN_IN else 1
+        cut = Window.partitionBy(*keys, "_salt").orderBy(*order)
+        ranked = ranked.withColumn("_rn", F.row_number().over(cut)).filter(F.col("_rn") <= n)
+        if salts == 1:
+            break
+        ranked = ranked.withColumn("_salt", F.pmod("_salt", F.lit(salts)))
+    ranked = ranked.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col(name) <= n)
+    return ranked.select(*cols, name) if rank else ranked.select(*cols)
 
 
 def top_by_count(df: DataFrame, key: str, n: int, count: str = "n") -> DataFrame:

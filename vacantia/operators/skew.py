@@ -7,11 +7,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 # A key is hot if it holds at least this share of the rows, so there are never
 # more than 1 / HOT_SHARE hot keys and their table is safe to broadcast.
 HOT_SHARE = 0.001
-SALTS = 128
 
 
 def same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
@@ -38,13 +38,28 @@ def hot_keys(counts: DataFrame, n: str = "n") -> DataFrame:
     return counts.filter(F.col(n) >= F.lit(HOT_SHARE) * total)
 
 
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, MapType)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row's content (maps cannot be hashed) and of the partition it was read in."""
+    usable = [F.col(f"`{f.name}`") for f in df.schema.fields if not _has_map(f.dataType)]
+    return F.xxhash64(*usable, F.spark_partition_id())
+
+
 def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str],
            counts: DataFrame | None = None, null_safe: bool = False) -> DataFrame:
     """Left join of ``rows`` to a table that is unique by ``keys``.
 
-    Rows of hot keys are dealt out over ``SALTS`` salts, and the table's entry
-    of a hot key is copied to each of them; all other rows have salt 0.  The
-    marks of the hot keys, at most 1 / HOT_SHARE rows, are broadcast.
+    The table's entries of hot keys, at most 1 / HOT_SHARE rows, are
+    broadcast, so rows of hot keys are answered where they are.  In the join
+    for all other keys they carry a hash of the row as a further key, which
+    matches nothing and spreads them evenly over all tasks.
 
     ``counts`` (keys, n) are the rows per key.  Give them when ``rows`` is the
     result of earlier look-ups, so that the chain is not computed again.
@@ -52,20 +67,19 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str],
     """
     keys = list(keys)
     extra = [c for c in table.columns if c not in keys]
-    hot = hot_keys(counts if counts is not None else key_counts(rows, keys))
-    marks = F.broadcast(hot.select(*[F.col(k).alias(f"_h_{k}") for k in keys], F.lit(True).alias("_hot")))
-
-    def marked(df: DataFrame) -> DataFrame:
-        on = same(df, marks, [(k, f"_h_{k}") for k in keys])
-        return df.join(marks, on, "left").select(*[df[c] for c in df.columns], "_hot")
-
-    hashed = [c for c, t in rows.dtypes if not t.startswith("map")]
-    dealt = F.pmod(F.xxhash64(*hashed, F.spark_partition_id()), F.lit(SALTS)).cast("int")
-    left = marked(rows).withColumn("_salt", F.when(F.col("_hot"), dealt).otherwise(0)).drop("_hot")
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    right = marked(table).select(*[F.col(c).alias(f"_t_{c}") for c in [*keys, *extra]],
-                                 F.explode(copies).alias("_t_salt"))
     equal = same if null_safe else equals
-    on = equal(left, right, [(k, f"_t_{k}") for k in keys]) & (left["_salt"] == right["_t_salt"])
+    hot = hot_keys(counts if counts is not None else key_counts(rows, keys)).select(*[F.col(k).alias(f"_k_{k}") for k in keys])
+    entries = table.select(*[F.col(c).alias(f"_e_{c}") for c in [*keys, *extra]], F.lit(True).alias("_found"))
+    # Hot keys without an entry are answered too: with nothing.
+    marks = F.broadcast(hot.join(entries, equal(hot, entries, [(f"_k_{k}", f"_e_{k}") for k in keys]), "left")
+                        .select(*[F.col(f"_k_{k}").alias(f"_h_{k}") for k in keys],
+                                *[F.col(f"_e_{c}").alias(f"_h_{c}") for c in extra], F.lit(True).alias("_hot")))
+    marked = rows.join(marks, same(rows, marks, [(k, f"_h_{k}") for k in keys]), "left").select(
+        *[rows[c] for c in rows.columns], *[marks[f"_h_{c}"] for c in extra], "_hot")
+    spread = F.when(F.col("_hot"), row_hash(rows).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
+    left = marked.withColumn("_spread", spread)
+    right = table.select(*[F.col(c).alias(f"_t_{c}") for c in [*keys, *extra]], F.lit(0).cast("bigint").alias("_t_spread"))
+    on = equal(left, right, [(k, f"_t_{k}") for k in keys]) & (left["_spread"] == right["_t_spread"])
     return left.join(right, on, "left").select(
-        *[left[c] for c in rows.columns], *[right[f"_t_{c}"].alias(c) for c in extra])
+        *[left[c] for c in rows.columns],
+        *[F.when(left["_hot"], left[f"_h_{c}"]).otherwise(right[f"_t_{c}"]).alias(c) for c in extra])

@@ -51,5 +51,6 @@ def patterns_case_sql(expr: str, rules, default: str) -> str:
 
 
 def bands_case_sql(expr: str, bands) -> str:
-    arms = " ".join(f"WHEN {expr} > {low} AND {expr} <= {high} THEN '{label}'" for low, high, label in bands)
+    arms = " ".join(f"WHEN {expr} > {low}" + (f" AND {expr} <= {high}" if high is not None else "") + f" THEN '{label}'"
+                    for low, high, label in bands)
     return f"CASE {arms} END"

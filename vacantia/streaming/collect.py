@@ -11,18 +11,21 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import drop_already_collected, drop_seen
 from ..sources.writers import write_per_key
 
 KEY = "_identity"
+#: Under this name a stream tells its id, which its checkpoint keeps.
+QUERY_ID = "sql.streaming.queryId"
 
 
-def _collected_keys(spark: SparkSession, target: str, epoch: int) -> DataFrame | None:
+def _collected_keys(spark: SparkSession, target: str, run: str) -> DataFrame | None:
     """Keys collected before this batch; a repeated batch ignores its own rows."""
     try:
-        return spark.read.parquet(target).filter(f"run <> {epoch}").select(KEY)
+        return spark.read.parquet(target).filter(F.col("run").cast("string") != run).select(KEY)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
             return None
@@ -31,13 +34,20 @@ def _collected_keys(spark: SparkSession, target: str, epoch: int) -> DataFrame |
 
 def collect_batch(batch: DataFrame, epoch: int, target: str, key: Column, order: Sequence[str],
                   role: str = "search_role") -> None:
-    """Write the records of a batch that were not collected before."""
+    """Write the records of a batch that were not collected before.
+
+    A batch's folder is named after the stream and the epoch: a repeated batch
+    replaces its own rows, and a stream that has lost its checkpoint and counts
+    epochs from 0 again is another stream, which replaces nothing.
+    """
+    stream = batch.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or "batch"
+    run = f"{stream}-{epoch}"
     keyed = batch.withColumn(KEY, key)
     fresh = drop_seen(keyed, order, keyed[KEY])
-    seen = _collected_keys(batch.sparkSession, target, epoch)
+    seen = _collected_keys(batch.sparkSession, target, run)
     if seen is not None:
         fresh = drop_already_collected(fresh, seen, fresh[KEY])
-    write_per_key(fresh, target, str(epoch), role, mode="overwrite")
+    write_per_key(fresh, target, run, role, mode="overwrite")
 
 
 def collect(stream: DataFrame, target: str, checkpoint: str, key: Column, order: Sequence[str],
