@@ -3,11 +3,10 @@ values, a cascade of medians elsewhere, with the origin of each value kept."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
@@ -15,7 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions import salary, text, vocab
 from ..shared import settle
-from .lookups import with_median_cascade, with_support
+from .lookups import grouped_medians, median_cascade, with_median_cascade, with_support
+from .quantiles import numbered
 from .skew import key_counts, lookup
 
 
@@ -55,27 +55,17 @@ class ForestSpec:
 
 
 def label_codes(df: DataFrame, name: str) -> DataFrame:
-    """Alphabetical codes 0, 1, 2, ... of a column's distinct labels; null is ``nan``.
+    """Alphabetical codes 0, 1, 2, ... of a column's distinct labels; null is ``nan``."""
+    labels = df.select(F.coalesce(F.col(name).cast("string"), F.lit("nan")).alias(name)).distinct()
+    return numbered(settle(labels), name, f"{name}_code")
 
-    The labels are sorted and numbered across partitions, so neither the
-    driver nor a single task ever holds all of them.
-    """
-    labels = df.select(F.coalesce(F.col(name).cast("string"), F.lit("nan")).alias(name)).distinct().sort(name)
-    numbered = labels.rdd.map(lambda r: r[0]).zipWithIndex()
-    return df.sparkSession.createDataFrame(numbered, f"{name} string, {name}_code bigint")
-
-
-def label_encode(df: DataFrame, names: Sequence[str], base: DataFrame | None = None,
-                 codes: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Add ``<name>_code`` for every listed column.
 
-    ``base`` is the table to take labels and counts from, if ``df`` is that
-    table with more columns looked up; ``codes`` are label tables at hand.
-    """
-    base = base if base is not None else df
+def label_encode(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Add ``<name>_code`` for every listed column."""
+    base = df
     for name in names:
         label = F.coalesce(F.col(name).cast("string"), F.lit("nan"))
-        table = (codes[name] if codes else label_codes(base, name)).withColumnRenamed(name, "_label")
+        table = label_codes(base, name).withColumnRenamed(name, "_label")
         counts = key_counts(base.select(label.alias("_label")), ["_label"])
         df = lookup(df.withColumn("_label", label), table, ["_label"], counts).drop("_label")
     return df
@@ -88,14 +78,35 @@ def _base(df: DataFrame, spec: ForestSpec) -> DataFrame:
     return df.withColumn("salary_source", salary.source_flag(F.col(spec.value)))
 
 
-def _prepared(df: DataFrame, base: DataFrame, codes: Mapping[str, DataFrame], spec: ForestSpec) -> DataFrame:
-    """Add label codes and the support flag, both counted in ``base``."""
-    df = label_encode(df, spec.labels, base, codes).fillna(0, [spec.skills_count])
-    return with_support(df, spec.role, spec.value, spec.min_support, base=base)
-
+def _cells(base: DataFrame, spec: ForestSpec) -> DataFrame:
+    """How many rows there are of each features and value; stored.
 
-def _codes(base: DataFrame, spec: ForestSpec) -> dict[str, DataFrame]:
-    return {name: label_codes(base, name) for name in spec.labels}
+    Labels, codes, support, medians and training rows all come from this
+    table, so the wide rows are read once more only, to be filled.
+    """
+    return settle(base.select(*spec.labels, F.coalesce(spec.skills_count, F.lit(0)).alias(spec.skills_count),
+                              F.col(spec.value).cast("double").alias(spec.value))
+                  .groupBy(*spec.labels, spec.skills_count, spec.value).agg(F.count(F.lit(1)).alias("_cell")))
+
+
+def _profile(cells: DataFrame, spec: ForestSpec, medians: bool = False) -> DataFrame:
+    """Per combination of labels: rows ``n``, rows ``_missing``, codes, ``supported`` and, if asked for, ``_median``; stored."""
+    known = F.sum(F.when(F.col(spec.value).isNotNull(), F.col("_cell")).otherwise(0))
+    combos = settle(cells.groupBy(*spec.labels).agg(
+        F.sum("_cell").alias("n"), (F.sum("_cell") - known).alias("_missing"), known.alias("_known")))
+    support = combos.groupBy(spec.role).agg((F.sum("_known") >= spec.min_support).alias("supported"))
+    out = lookup(combos.drop("_known"), support, [spec.role], null_safe=True)
+    for name in spec.labels:
+        codes = label_codes(combos, name).withColumnRenamed(name, "_label")
+        out = lookup(out.withColumn("_label", F.coalesce(F.col(name).cast("string"), F.lit("nan"))), codes, ["_label"],
+                     key_counts(combos.select(F.coalesce(F.col(name).cast("string"), F.lit("nan")).alias("_label")), ["_label"])
+                     ).drop("_label")
+    # A null role is nobody's role, so it has no support.
+    out = out.withColumn("supported", F.col("supported") & F.col(spec.role).isNotNull())
+    if medians:
+        found = settle(grouped_medians(cells, spec.value, spec.labels, "_cell"))
+        out = median_cascade(settle(out), found, spec.labels, "_median")
+    return settle(out)
 
 
 def _forest(spec: ForestSpec) -> Pipeline:
@@ -108,29 +119,44 @@ def _forest(spec: ForestSpec) -> Pipeline:
             featureSubsetStrategy="all")])
 
 
-def training_rows(base: DataFrame, codes: Mapping[str, DataFrame], spec: ForestSpec, *keep: str) -> DataFrame:
+# Training rows of one partition.  The number of partitions depends on the rows
+# alone, so that the seed gives the same forest on any cluster.
+TRAINING_PART = 50_000
+
+
+def training_rows(known: DataFrame, profile: DataFrame, spec: ForestSpec, *keep: str) -> DataFrame:
     """Features of the known values of supported roles, stored once.
 
-    Only the feature columns are read.  Features derived from the whole table
-    (company frequency and the like) are not among them, so nothing leaks.
-    Rows are dealt out by their content and the partition they were read in,
-    and sorted, so that the seed gives the same forest for the same table.
+    ``known`` counts equal rows in ``_cell``; they are repeated here, told
+    apart by a number, and dealt out by content and number.  Features derived
+    from the whole table (company frequency and the like) are not among them,
+    so nothing leaks.
     """
-    narrow = base.select(*spec.labels, spec.skills_count, F.col(spec.value).cast("double").alias(spec.value),
-                         *keep, F.spark_partition_id().alias("_part"))
-    counted = base.select(*spec.labels, spec.value)
-    ready = (_prepared(narrow, counted, codes, spec)
-             .filter(F.col(spec.value).isNotNull() & F.col("supported"))
-             .select(*spec.features, spec.value, *keep, "_part"))
-    parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    content = [*spec.features, spec.value, *keep, "_part"]
-    return settle(ready.repartition(parts, *content).sortWithinPartitions(*content).drop("_part"))
-
-
-def _filled(ready: DataFrame, model: PipelineModel, open_row: Column, spec: ForestSpec) -> DataFrame:
-    """Put predictions into the open rows; one pass over the rows."""
+    ready = (lookup(known.filter(F.col(spec.value).isNotNull()), profile.select(*spec.labels, *spec.codes, "supported"),
+                    spec.labels, profile.select(*spec.labels, "n"), null_safe=True)
+             .filter("supported").select(*spec.features, spec.value, *keep, "_cell"))
+    rows = settle(ready)
+    total = rows.agg(F.coalesce(F.sum("_cell"), F.lit(0))).first()[0]
+    content = [*spec.features, spec.value, *keep, "_copy"]
+    return settle(rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_cell")))).drop("_cell")
+                  .repartition(max(1, -(-total // TRAINING_PART)), *content).sortWithinPartitions(*content).drop("_copy"))
+
+
+def _trained(cells: DataFrame, profile: DataFrame, spec: ForestSpec) -> PipelineModel | None:
+    """The forest, or None if no supported role misses a value."""
+    if profile.filter(F.col("supported") & (F.col("_missing") > 0)).isEmpty():
+        return None
+    return _forest(spec).fit(training_rows(cells, profile, spec))
+
+
+def _filled(base: DataFrame, profile: DataFrame, model: PipelineModel | None, spec: ForestSpec, *extra: str) -> DataFrame:
+    """Put predictions into the open rows of supported roles; one pass over the rows."""
+    ready = lookup(base, profile.select(*spec.labels, *spec.codes, "supported", *extra), spec.labels,
+                   profile.select(*spec.labels, "n"), null_safe=True)
+    if model is None:
+        return ready
     value = F.col(spec.value)
-    return (model.transform(ready.withColumn("_open", open_row))
+    return (model.transform(ready.withColumn("_open", value.isNull() & F.col("supported")).fillna(0, [spec.skills_count]))
             .withColumn(spec.value, F.when(F.col("_open"), text.clip(F.col("_predicted"), spec.low, spec.high))
                         .otherwise(value))
             .withColumn("salary_source", F.when(F.col("_open"), F.lit("estimated_rf"))
@@ -141,10 +167,9 @@ def _filled(ready: DataFrame, model: PipelineModel, open_row: Column, spec: Fore
 def forest_impute(df: DataFrame, spec: ForestSpec = ForestSpec()) -> DataFrame:
     """Fill missing values of supported roles; all other rows stay as they are."""
     base = _base(df, spec)
-    codes = _codes(base, spec)
-    model = _forest(spec).fit(training_rows(base, codes, spec))
-    open_row = F.col(spec.value).isNull() & F.col("supported")
-    return _filled(_prepared(base, base, codes, spec), model, open_row, spec).drop("supported", *spec.codes)
+    cells = _cells(base, spec)
+    profile = _profile(cells, spec)
+    return _filled(base, profile, _trained(cells, profile, spec), spec).drop("supported", *spec.codes)
 
 
 def median_impute(df: DataFrame, keys: Sequence[str], value: str = "salary_avg",
@@ -163,15 +188,14 @@ def median_impute(df: DataFrame, keys: Sequence[str], value: str = "salary_avg",
 def hybrid_impute(df: DataFrame, spec: ForestSpec = ForestSpec()) -> DataFrame:
     """Forest for supported roles, median cascade for the others.
 
-    The wide rows are read once: medians, codes, support and prediction are
-    added to each row and the missing value is taken from the one that holds.
+    Without a supported role that misses a value nothing is trained, and
+    medians fill whatever is missing.
     """
     base = _base(df, spec)
-    codes = _codes(base, spec)
-    model = _forest(spec).fit(training_rows(base, codes, spec))
-    ready = _prepared(with_median_cascade(base, spec.value, spec.labels, "_median"), base, codes, spec)
+    cells = _cells(base, spec)
+    profile = _profile(cells, spec, medians=True)
     missing = F.col(spec.value).isNull()
-    filled = _filled(ready, model, missing & F.col("supported"), spec)
+    filled = _filled(base, profile, _trained(cells, profile, spec), spec, "_median")
     return (filled
             .withColumn("salary_source", F.when(missing, F.lit("estimated_median")).otherwise(F.col("salary_source")))
             .withColumn(spec.value, F.coalesce(spec.value, "_median"))
@@ -189,28 +213,39 @@ def coverage(df: DataFrame, value: str = "salary_avg", role: str = "search_role"
     return counts.withColumn("pct", F.col("n") / total * 100).orderBy("method")
 
 
-def cv_scores(df: DataFrame, order: Sequence[str], spec: ForestSpec = ForestSpec(), folds: int = 5) -> DataFrame:
-    """Mean absolute error and R2 of every fold and their means.
+def cv_scores(df: DataFrame, order: Sequence[str], spec: ForestSpec = ForestSpec(), folds: int = 5,
+              fold: Column | None = None) -> DataFrame:
+    """Rows trained and tested, mean absolute error and R2 of every fold; their sums and means.
 
-    ``order`` names columns that identify a row; their hash assigns the fold.
+    ``order`` names columns that identify a row; their hash assigns the fold,
+    unless ``fold`` does.
     """
-    base = _base(df, spec).withColumn("_fold", F.pmod(F.xxhash64(*order), F.lit(folds)))
-    rows = training_rows(base, _codes(base, spec), spec, "_fold")
+    base = _base(df, spec)
+    cells = _cells(base, spec)
+    number = (F.pmod(F.xxhash64(*order), F.lit(folds)) if fold is None else fold).cast("int")
+    known = base.select(*spec.labels, F.coalesce(spec.skills_count, F.lit(0)).alias(spec.skills_count),
+                        F.col(spec.value).cast("double").alias(spec.value), number.alias("_fold"), F.lit(1).cast("bigint").alias("_cell"))
+    rows = training_rows(known, _profile(cells, spec), spec, "_fold")
+    total = rows.count()
     scores = []
-    for fold in range(folds):
-        model = _forest(spec).fit(rows.filter(F.col("_fold") != fold))
-        tested = model.transform(rows.filter(F.col("_fold") == fold))
-        mae, r2 = (RegressionEvaluator(labelCol=spec.value, predictionCol="_predicted", metricName=m)
-                   .evaluate(tested) for m in ("mae", "r2"))
-        scores.append((str(fold), float(mae), float(r2)))
-    scores.append(("mean", sum(s[1] for s in scores) / folds, sum(s[2] for s in scores) / folds))
-    return df.sparkSession.createDataFrame(scores, "fold string, mae double, r2 double")
+    for i in range(folds):
+        held = rows.filter(F.col("_fold") == i)
+        model = _forest(spec).fit(rows.filter(F.col("_fold") != i))
+        y, error = F.col(spec.value), F.col(spec.value) - F.col("_predicted")
+        tested, mae, squares, spread = model.transform(held).agg(
+            F.count(F.lit(1)), F.avg(F.abs(error)), F.sum(error * error), F.var_pop(y) * F.count(F.lit(1))).first()
+        r2 = 1 - squares / spread if spread else float("nan")
+        scores.append((str(i), total - tested, tested, float("nan") if mae is None else mae, r2))
+    trained, tested, mae, r2 = (list(x) for x in list(zip(*scores))[1:])
+    scores.append(("mean", sum(trained), sum(tested), sum(mae) / folds, sum(r2) / folds))
+    return df.sparkSession.createDataFrame(scores, "fold string, trained bigint, tested bigint, mae double, r2 double")
 
 
 def feature_importance(df: DataFrame, spec: ForestSpec = ForestSpec()) -> DataFrame:
     """Importance per feature, ascending."""
     base = _base(df, spec)
-    model = _forest(spec).fit(training_rows(base, _codes(base, spec), spec)).stages[-1]
+    cells = _cells(base, spec)
+    model = _forest(spec).fit(training_rows(cells, _profile(cells, spec), spec)).stages[-1]
     names = [*spec.labels, spec.skills_count]
     rows = [(n, float(x)) for n, x in zip(names, model.featureImportances.toArray())]
     return df.sparkSession.createDataFrame(rows, "feature string, importance double").orderBy("importance")

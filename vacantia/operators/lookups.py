@@ -46,17 +46,17 @@ def semi_min_support(df: DataFrame, key: str, value: str, min_rows: int = 30) ->
     return with_support(df, key, value, min_rows, "_ok").filter("_ok").drop("_ok")
 
 
-def grouped_medians(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame:
+def grouped_medians(df: DataFrame, value: str, keys: Sequence[str], weight: str | None = None) -> DataFrame:
     """Medians by all keys, by all but the last, ..., and over everything.
 
     One row per group with ``n_keys`` = number of keys in use; unused keys are
     null.  Groups with a null key are left out, as are null values.  All levels
     share one pass: equal rows are counted first and only the counts are
-    expanded to the levels.
+    expanded to the levels.  ``weight`` names a column of repeat counts.
     """
     keys = list(keys)
     known = df.filter(F.col(value).isNotNull())
-    counts = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    counts = known.groupBy(*keys, value).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     levels = []
     for depth in range(len(keys), -1, -1):
         used, usable = keys[:depth], F.lit(True)
@@ -71,22 +71,34 @@ def grouped_medians(df: DataFrame, value: str, keys: Sequence[str]) -> DataFrame
     return exact_quantiles(expanded, value, [0.5], ["n_keys", *keys], "_n", ["median"])
 
 
-def with_median_cascade(df: DataFrame, value: str, keys: Sequence[str], out: str = "median") -> DataFrame:
-    """Median of the row's finest group that has one, else of a coarser one.
+def median_cascade(counts: DataFrame, medians: DataFrame, keys: Sequence[str], out: str = "median") -> DataFrame:
+    """Per combination of keys the median of its finest group that has one.
 
-    The cascade is settled once per combination of keys that occurs; rows then
-    look up their combination.  The table of medians is checkpointed, since
-    every level reads it.
+    ``counts`` has one row for each combination, ``medians`` is a stored result
+    of ``grouped_medians``.
     """
     keys = list(keys)
-    medians = settle(grouped_medians(df, value, keys))
-    counts = key_counts(df, keys)
     table, steps = counts, []
     for depth in range(len(keys), 0, -1):
         level = medians.filter(F.col("n_keys") == depth).select(*keys[:depth], F.col("median").alias(f"_m{depth}"))
-        table = table.join(level, keys[:depth], "left")
+        # Many combinations may share a coarse key.
+        table = lookup(table, level, keys[:depth], key_counts(counts, keys[:depth]))
         # A median of zero counts as "not found", like an absent one.
         steps.append(F.nullif(F.col(f"_m{depth}"), F.lit(0.0)))
     overall = medians.filter(F.col("n_keys") == 0).select("median").scalar()
-    table = table.select(*keys, F.coalesce(*steps, overall).alias(out))
-    return lookup(df, table, keys, counts, null_safe=True)
+    return table.select(*counts.columns, F.coalesce(*steps, overall).alias(out))
+
+
+def with_median_cascade(df: DataFrame, value: str, keys: Sequence[str], out: str = "median") -> DataFrame:
+    """Median of the row's finest group that has one, else of a coarser one.
+
+    Rows are counted once by keys and value; medians and the cascade of each
+    combination come from those stored counts, and rows look up their
+    combination.
+    """
+    keys = list(keys)
+    cells = settle(df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_cell")))
+    medians = settle(grouped_medians(cells, value, keys, "_cell"))
+    counts = cells.groupBy(*keys).agg(F.sum("_cell").alias("n"))
+    table = settle(median_cascade(counts, medians, keys, out))
+    return lookup(df, table.drop("n"), keys, table.select(*keys, "n"), null_safe=True)

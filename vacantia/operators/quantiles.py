@@ -1,8 +1,10 @@
-"""Exact quantiles that never gather a group in one task.
+"""Exact quantiles and numbering that never gather a group in one task.
 
-``percentile`` keeps every distinct value of a group in one buffer.  Here the
-wanted rank is narrowed down instead: count values per bucket, find the bucket
-that holds the rank, and read the value off among that bucket's values only.
+``percentile`` keeps every distinct value of a group in one buffer.  Here
+equal values are counted first; the counts are dealt out by ranges of (key,
+value) into parts of bounded size, whatever the values and however a group's
+values lie together.  The parts' sums tell which part holds a wanted rank, and
+only that part is sorted to read the value off.
 """
 
 from __future__ import annotations
@@ -12,42 +14,31 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .skew import lookup, same
-
-# Buckets per unit of the logarithm.  Amounts between a thousand and a billion
-# fall into 57,000 buckets however many rows there are, so a map task sends few
-# rows per group.  A bucket spans 1/4096 of its value, which is 2.4 million
-# different cents at a hundred million: what one task sorts in the end.
-LOG_STEPS = 1 << 12
-
-
-def _pick(rows: DataFrame, group: list[str], picks: DataFrame | None,
-          probs: Sequence[float]) -> DataFrame:
-    """For every wanted rank, the bucket ``_b`` of its group that holds it."""
-    hist = rows.groupBy(*group, "_b").agg(F.sum("_n").alias("_n"))
-    w = Window.partitionBy(*group)
-    cum = hist.withColumn("_upto", F.sum("_n").over(w.orderBy("_b")))
-
-    def inside(rank: Column) -> Column:
-        return (rank >= F.col("_upto") - F.col("_n")) & (rank < F.col("_upto"))
-
-    if picks is None:
-        cum = cum.withColumn("_total", F.sum("_n").over(w))
-        wanted = []
-        for i, p in enumerate(probs):
-            at = F.lit(float(p)) * (F.col("_total") - 1)
-            low = F.floor(at)
-            wanted += [F.struct(F.lit(i).alias("_q"), F.lit(up).alias("_up"),
-                                (F.ceil(at) if up else low).cast("bigint").alias("_rank"),
-                                (at - low).alias("_part")) for up in (False, True)]
-        hits = F.filter(F.array(*wanted), lambda t: inside(t["_rank"]))
-        found = (cum.select(*group, "_b", "_n", "_upto", F.explode(hits).alias("_t"))
-                 .select(*group, "_b", "_n", "_upto", "_t.*"))
-    else:
-        right = picks.withColumnsRenamed({c: f"_p_{c}" for c in group})
-        found = cum.join(right, same(cum, right, [(c, f"_p_{c}") for c in group]))
-        found = found.filter(inside(F.col("_rank"))).drop(*[f"_p_{c}" for c in group])
-    return found.withColumn("_rank", F.col("_rank") - (F.col("_upto") - F.col("_n"))).drop("_n", "_upto")
+from ..shared import settle
+from .skew import same
+
+# Rows of a range; ranges are cut by a sample, so a part may be somewhat larger.
+PART_ROWS = 16_384
+PART = "_part"
+
+
+def in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows of a stored table in parts ``_part`` that follow the order."""
+    parts = -(-df.count() // PART_ROWS)
+    if parts <= 1:
+        return df.withColumn(PART, F.lit(0))
+    return settle(df.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()))
+
+
+def numbered(labels: DataFrame, name: str, out: str) -> DataFrame:
+    """Numbers 0, 1, 2, ... of the rows of a stored column of distinct values, in their order."""
+    placed = in_ranges(labels, [name])
+    sizes = placed.groupBy(PART).agg(F.count(F.lit(1)).alias("_n"))
+    # One row for each part.
+    before = sizes.select(F.col(PART).alias("_p"), (F.sum("_n").over(Window.orderBy(PART)) - F.col("_n")).alias("_before"))
+    local = F.row_number().over(Window.partitionBy(PART).orderBy(name)) - 1
+    return (placed.withColumn("_local", local).join(before, F.col(PART) == F.col("_p"))
+            .select(name, (F.col("_local") + F.col("_before")).cast("bigint").alias(out)))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
@@ -55,32 +46,40 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     """One row per key with the linearly interpolated quantiles of ``value``.
 
     Nulls and NaN do not count.  ``weight`` names a column of repeat counts.
+    The counts of equal values are computed and stored at once.
     """
     keys, names = list(keys), list(names or [f"q{i}" for i in range(len(probs))])
     v = F.col(value).cast("double")
     n = F.col(weight) if weight else F.lit(1)
-    rows = (df.filter(v.isNotNull() & ~F.isnan(v))
-            .select(*keys, v.alias("_v"), n.cast("bigint").alias("_n"))
-            .withColumn("_bucket", F.floor(F.signum("_v") * F.log1p(F.abs("_v")) * LOG_STEPS)))
-
-    group = [*keys, "_bucket"]
-    picks = _pick(rows.withColumnRenamed("_bucket", "_b"), keys, None, probs).withColumnRenamed("_b", "_bucket")
-    chosen = picks.select(*group).distinct().withColumn("_wanted", F.lit(True))
-    if keys:
-        sizes = rows.groupBy(*group).agg(F.sum("_n").alias("n"))
-        inside = lookup(rows, chosen, group, sizes, null_safe=True).filter("_wanted")
-    else:
-        # Two buckets per quantile at most.
-        inside = rows.join(F.broadcast(chosen), "_bucket")
-    inside = inside.drop("_wanted")
-    last = _pick(inside.withColumnRenamed("_v", "_b"), group, picks, probs)
+    counts = settle(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("_v"), n.cast("bigint").alias("_n"))
+                    .groupBy(*keys, "_v").agg(F.sum("_n").alias("_n")))
+    placed = in_ranges(counts, [*keys, "_v"])
+
+    group = Window.partitionBy(*keys)
+    sums = placed.groupBy(*keys, PART).agg(F.sum("_n").alias("_sum"))
+    upto = sums.withColumns({"_upto": F.sum("_sum").over(group.orderBy(PART)), "_total": F.sum("_sum").over(group)})
+    wanted = []
+    for i, p in enumerate(probs):
+        at = F.lit(float(p)) * (F.col("_total") - 1)
+        low = F.floor(at)
+        wanted += [F.struct(F.lit(i).alias("q"), F.lit(up).alias("up"),
+                            ((F.ceil(at) if up else low).cast("bigint") - (F.col("_upto") - F.col("_sum"))).alias("rank"),
+                            (at - low).alias("share")) for up in (False, True)]
+    # Ranks that lie in the part, counted from its begin.
+    picks = upto.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col(PART).alias("_p"), F.filter(
+        F.array(*wanted), lambda t: (t["rank"] >= 0) & (t["rank"] < F.col("_sum"))).alias("_wanted")).filter(F.size("_wanted") > 0)
+    pairs = [(k, f"_p_{k}") for k in keys]
+    held = placed.join(picks, same(placed, picks, [*pairs, (PART, "_p")]))
+    held = held.withColumn("_to", F.sum("_n").over(Window.partitionBy(*keys, PART).orderBy("_v")))
+    hits = F.filter("_wanted", lambda t: (t["rank"] >= F.col("_to") - F.col("_n")) & (t["rank"] < F.col("_to")))
+    last = held.select(*keys, "_v", F.explode(hits).alias("_t")).select(*keys, "_v", "_t.*")
 
     def pick(i: int, up: bool) -> Column:
-        return F.max(F.when((F.col("_q") == i) & (F.col("_up") == F.lit(up)), F.col("_b")))
+        return F.max(F.when((F.col("q") == i) & (F.col("up") == F.lit(up)), F.col("_v")))
 
     out = []
     for i, name in enumerate(names):
         low, high = pick(i, False), pick(i, True)
-        part = F.max(F.when(F.col("_q") == i, F.col("_part")))
-        out.append((low + (high - low) * part).alias(name))
+        share = F.max(F.when(F.col("q") == i, F.col("share")))
+        out.append((low + (high - low) * share).alias(name))
     return last.groupBy(*keys).agg(*out)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, text, vocab
 from ..operators import columns, dedup, filters, impute, lookups
+from ..shared import settle
 
 # Names of the first board's columns in the merged table.
 BOARD_A_NAMES = {"seniority": "job_level", "standardized_role": "search_role", "city": "location"}
@@ -40,10 +41,12 @@ def with_features(df: DataFrame) -> DataFrame:
 
 
 def analysis_table(board_a: DataFrame, board_b: DataFrame,
-                   spec: impute.ForestSpec = impute.ForestSpec()) -> DataFrame:
+                   spec: impute.ForestSpec = impute.ForestSpec(), keep_source: bool = False) -> DataFrame:
     """Merged postings without missing salaries, ready for the questions.
 
-    Features are added after the filling, so none of them is trained on.
+    The merged table is stored once, as several steps read it.  Features are
+    added after the filling, so none of them is trained on.  ``keep_source``
+    keeps the origin of each salary.
     """
-    filled = impute.hybrid_impute(merge(board_a, board_b), spec)
-    return columns.drop_ignore(with_features(filled), "salary_source", "city")
+    filled = impute.hybrid_impute(settle(merge(board_a, board_b)), spec)
+    return columns.drop_ignore(with_features(filled), "city", *([] if keep_source else ["salary_source"]))
