@@ -56,6 +56,15 @@ def text_slices(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return body[starts[0]:starts[-1]], (starts - starts[0]).astype(np.int64)
 
 
+def row_ranges(starts: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
+    """(first, last + 1) rows of stretches of about so many bytes; one text at least."""
+    first, n = 0, len(starts) - 1
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(starts, starts[first] + limit, "right")) - 1)
+        yield first, last
+        first = last
+
+
 def gather(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.Table]:
     """Join batches until their texts hold about so many bytes."""
     held, size = [], 0

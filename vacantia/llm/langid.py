@@ -78,7 +78,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) over the columns lang and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in gather(batches, "text", 8 << 20):
+        for table in gather(batches, "text", 4 << 20):
             langs = table.column("lang").to_pylist()
             texts = table.column("text").to_pylist()
             for lang in sorted(set(langs)):
@@ -167,7 +167,7 @@ def predicted(text: Column, filters: Filters, spark) -> Column:
             at = 0
             while at < len(texts):
                 size, end = 0, at
-                while end < len(texts) and size < 4 << 20:
+                while end < len(texts) and size < 1 << 20:
                     size += len(texts[end] or "")
                     end += 1
                 some, share = decide(texts[at:end], filters, rates)

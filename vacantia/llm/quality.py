@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import text_slices
+from .common import row_ranges, text_slices
 
 NONE, GOOD, BAD = 0, 1, 2
 #: (name, good up to, bad from): the feature of a text, in between no vote.
@@ -158,11 +158,14 @@ class Scorer:
 
     def logits(self, data: np.ndarray, starts: np.ndarray, patterns: np.ndarray) -> np.ndarray:
         """One number per text; starts has one entry more than there are texts."""
-        running = np.concatenate([[0.0], np.cumsum(self.weights[gram_buckets(data)], dtype=np.float64)])
-        begin = np.minimum(starts[:-1], len(running) - 1)
-        end = np.clip(starts[1:] - GRAM + 1, begin, len(running) - 1)
-        seen = self.vote_weights[np.arange(len(LABELLERS)), digits(patterns)].sum(axis=1)
-        return self.bias + seen + (running[end] - running[begin]) / (end - begin + SHRINK)
+        out = self.bias + self.vote_weights[np.arange(len(LABELLERS)), digits(patterns)].sum(axis=1)
+        for first, last in row_ranges(starts, 1 << 20):
+            part = data[starts[first]:starts[last]]
+            running = np.concatenate([[0.0], np.cumsum(self.weights[gram_buckets(part)], dtype=np.float64)])
+            begin = np.minimum(starts[first:last] - starts[first], len(running) - 1)
+            end = np.clip(starts[first + 1:last + 1] - starts[first] - GRAM + 1, begin, len(running) - 1)
+            out[first:last] += (running[end] - running[begin]) / (end - begin + SHRINK)
+        return out
 
 
 def fit_scorer(texts: list[np.ndarray], patterns: np.ndarray, labels: np.ndarray, rounds: int = 3, batch: int = 64,

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 
 from vacantia.shared import new_path
 
-from .common import mixed, parts, store, text_slices, total_bytes
+from .common import mixed, parts, row_ranges, store, text_slices, total_bytes
 
 #: A null id comes after all others.
 LAST = np.iinfo(np.int64).max
@@ -178,15 +178,12 @@ class Anchors:
 def anchors_of(units: Units, kind: Kind, chunk: int = 1 << 21) -> Anchors:
     """Anchors of all windows, some texts at a time."""
     found: list[tuple] = []
-    n, first = len(units.ids), 0
-    while first < n:
-        last = max(first + 1, int(np.searchsorted(units.starts, units.starts[first] + chunk, "right")) - 1)
+    for first, last in row_ranges(units.starts, chunk):
         base = units.starts[first]
         data = units.data[base:units.starts[last]]
         starts = units.starts[first:last + 1] - base
         if len(data) >= kind.window:
             found.append(_anchors(data, starts, kind, int(base), first))
-        first = last
     if not found:
         empty = np.zeros(0, np.int64)
         return Anchors(empty, empty, empty, empty, np.zeros(0, np.uint64))
