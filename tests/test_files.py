@@ -175,10 +175,10 @@ def test_collect_stream(spark, tmp_path):
     def put(name, *records):
         (source / name).write_text("\n".join(json.dumps(dict(zip(["id", "job_url", "search_role", "at"], r))) for r in records))
 
-    def run():
+    def run(state="state"):
         stream = spark.readStream.schema(schema).json(str(source))
         key = text.identity_key(F.col("id"), F.col("job_url"))
-        query = collect(stream, target, str(tmp_path / "state"), key, ["at"])
+        query = collect(stream, target, str(tmp_path / state), key, ["at"])
         query.awaitTermination(120)
         assert query.exception() is None
         return sorted(r["at"] for r in spark.read.parquet(target).collect())
@@ -188,3 +188,8 @@ def test_collect_stream(spark, tmp_path):
     put("2.json", ("7", "w", "C", 5), ("8", "", "C", 6), ("", "", "C", 7), ("", "u", "C", 8))
     assert run() == [1, 3, 4, 6, 7]
     assert run() == [1, 3, 4, 6, 7]
+    # The checkpoint is lost: epochs count from 0 again, and everything that was collected stays.
+    (source / "1.json").unlink()
+    (source / "2.json").unlink()
+    put("3.json", ("9", "", "C", 9))
+    assert run("new state") == [1, 3, 4, 6, 7, 9]

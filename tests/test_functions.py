@@ -151,10 +151,10 @@ def test_level_maps(apply):
 
 
 def test_bands_are_right_closed(apply):
-    assert apply(lambda c: rules.band(c, vocab.SKILL_COUNT_BANDS), [0, 1, 2, 3, 8, 9, 100, 101, None], "int") == [
-        None, "0–2", "0–2", "3–4", "7–8", "9+", "9+", None, None]
-    assert apply(lambda c: rules.band(c, vocab.COMPANY_SIZE_BANDS), [1, 3, 10, 11, 9999, 10000], "int") == [
-        "Small (1–2)", "Medium (3–5)", "Large (6–10)", "Enterprise (10+)", "Enterprise (10+)", None]
+    assert apply(lambda c: rules.band(c, vocab.SKILL_COUNT_BANDS), [0, 1, 2, 3, 8, 9, 100, 120, None], "int") == [
+        None, "0–2", "0–2", "3–4", "7–8", "9+", "9+", "9+", None]
+    assert apply(lambda c: rules.band(c, vocab.COMPANY_SIZE_BANDS), [1, 3, 10, 11, 9999, 20000], "int") == [
+        "Small (1–2)", "Medium (3–5)", "Large (6–10)", "Enterprise (10+)", "Enterprise (10+)", "Enterprise (10+)"]
 
 
 @pytest.mark.parametrize("raw, low, high, shown", [

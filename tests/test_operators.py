@@ -1,6 +1,7 @@
 """Operators on small tables, against literal values or brute force."""
 
 import random
+import re
 import statistics
 
 import pytest
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from vacantia.functions import text, vocab
 from vacantia.operators import columns, dedup, filters, impute, lookups, quality, ranking, reports, skew
-from vacantia.operators.quantiles import exact_quantiles
+from vacantia.operators import quantiles
+from vacantia.operators.quantiles import exact_quantiles, in_ranges
 
 
 def rows(df, *order):
@@ -52,6 +54,22 @@ def test_grouped_quantiles_with_a_hot_group(spark):
         assert got[k] == pytest.approx((statistics.median(vs), quantile(vs, 0.9)), rel=1e-12)
 
 
+def test_quantiles_of_close_values(spark):
+    """Values that lie close together are dealt out all the same."""
+    df = spark.range(200_000).select((F.col("id") / 2e9).alias("v"), F.lit("g").alias("k"))
+    counts = df.groupBy("k", "v").agg(F.count(F.lit(1)).alias("_n")).cache()
+    parts = in_ranges(counts, ["k", "v"]).groupBy("k", "_part").count().agg(F.max("count"), F.count("*")).first()
+    assert parts[0] <= 65_536 and parts[1] > 5
+    assert exact_quantiles(df, "v", [0.25], ["k"]).first()["q0"] == pytest.approx(49_999.75 / 2e9, rel=1e-12)
+
+
+def test_numbering_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "PART_ROWS", 50)
+    labels = spark.range(1000).select(F.format_string("%05d", F.col("id") * 7 % 1000).alias("c")).cache()
+    got = dict(rows(quantiles.numbered(labels, "c", "n")))
+    assert got == {f"{i:05d}": i for i in range(1000)}
+
+
 def test_percentile_trim_keeps_the_limit(spark):
     df = spark.range(1, 102).withColumn("v", F.col("id").cast("double"))
     assert filters.percentile_trim(df, "v").count() == 100
@@ -76,10 +94,24 @@ def test_lookup_deals_out_hot_keys(spark):
     assert out.filter("k like 'k%'").agg(F.min("n"), F.max("n")).first() == (1, 1)
 
 
-def test_lookup_joins_on_the_salt(spark):
-    df = spark.range(100).select("id", F.lit("x").alias("k"))
-    plan = lookups.with_group_size(df, "k")._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan and "_t_salt" in plan
+def test_hot_rows_spread_evenly(spark):
+    """A third of the rows has one key; the shuffle of the look-up deals them out like all others."""
+    df = spark.range(30_000).select("id", F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    spread = (df.withColumn("s", F.when(F.col("k") == "hot", skew.row_hash(df)).otherwise(F.xxhash64("k")))
+              .repartition(8, "k", "s").groupBy(F.spark_partition_id()).count().collect())
+    assert max(r["count"] for r in spread) < 1.2 * 30_000 / 8
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = lookups.with_group_size(df, "k")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert re.search(r"hashpartitioning\(k#\d+, _spread#\d+", plan)
+
+
+def test_lookup_with_nested_maps_and_hot_misses(spark):
+    df = spark.range(500).select("id", F.lit("x").alias("k"), F.array(F.create_map(F.lit("a"), "id")).alias("m"))
+    some = spark.createDataFrame([("y", 1)], "k string, w int")
+    assert skew.lookup(df, some, ["k"]).filter("w IS NULL").count() == 500
 
 
 def test_null_safe_lookup(spark):
@@ -154,7 +186,8 @@ def test_stop_skill(spark):
 
 @pytest.mark.parametrize("n", [3, 1500])
 def test_top_per_group(spark, n):
-    df = spark.range(6000).select("id", F.when(F.col("id") < 4000, "hot").otherwise("cold").alias("k"))
+    df = spark.range(6000).select("id", F.when(F.col("id") < 4000, "hot").otherwise("cold").alias("k"),
+                                  F.create_map(F.lit("a"), "id").alias("m"))
     got = ranking.top_per_group(df, ["k"], [F.desc("id")], n).groupBy("k").agg(F.count("*"), F.min("id"), F.max("id"))
     assert rows(got, "k") == [("cold", min(n, 2000), 6000 - min(n, 2000), 5999), ("hot", n, 4000 - n, 3999)]
 
@@ -181,6 +214,11 @@ def test_dedup_key(spark):
     assert rows(dedup.dedup_key(once, ["at"]), "at") == want
 
 
+def test_dedup_key_of_a_table_without_ids(spark):
+    df = spark.createDataFrame(POSTINGS, "id string, title string, company string, at int").drop("id")
+    assert rows(dedup.dedup_key(df, ["at"]).select("at"), "at") == [(2,), (6,), (7,)]
+
+
 def test_dedup_subset_keeps_first(spark):
     df = spark.createDataFrame(POSTINGS, "id string, title string, company string, at int")
     assert rows(dedup.dedup_subset(df, ["at"], ["title", "company"]).select("at"), "at") == [(1,), (2,), (5,)]
@@ -348,6 +386,22 @@ def test_hybrid_impute(salaries):
     assert reports.value_counts(out, "city").count() == 2
 
 
+def test_impute_without_support(salaries):
+    """No role has enough known values: nothing is trained, medians fill the rest."""
+    spec = impute.ForestSpec(trees=5, min_support=10_000)
+    out = impute.hybrid_impute(salaries, spec)
+    assert out.filter("salary_avg is null").count() == 0
+    assert {r[0] for r in out.select("salary_source").distinct().collect()} == {"actual", "estimated_median"}
+    same = impute.forest_impute(salaries, spec)
+    assert same.filter("salary_avg is null").count() == salaries.filter("salary_avg is null").count()
+
+
+def test_forest_does_not_depend_on_the_partitions(salaries):
+    spec = impute.ForestSpec(trees=5)
+    one, many = (dict(rows(impute.forest_impute(salaries.repartition(n), spec).select("id", "salary_avg"))) for n in (1, 13))
+    assert one == many
+
+
 def test_forest_only_fills_supported_roles(salaries):
     out = impute.forest_impute(salaries, impute.ForestSpec(trees=10))
     got = {r[0] for r in out.filter("salary_avg is null").select("search_role").distinct().collect()}
@@ -358,6 +412,7 @@ def test_scores(salaries):
     spec = impute.ForestSpec(trees=10)
     scores = {r["fold"]: r for r in impute.cv_scores(salaries, ["id"], spec).collect()}
     assert set(scores) == {"0", "1", "2", "3", "4", "mean"} and scores["mean"]["r2"] > 0.8
+    assert all(scores[f]["trained"] + scores[f]["tested"] == scores["mean"]["tested"] for f in "01234")
     imp = rows(impute.feature_importance(salaries, spec))
     assert sum(x for _, x in imp) == pytest.approx(1.0) and [x for _, x in imp] == sorted(x for _, x in imp)
 

@@ -1,16 +1,17 @@
 """Every registered query against its SQL, and what its plan must not do."""
 
 import os
+import re
 
 import pytest
 
 import __spark_entry__ as entry
 from tests.oracle import compare, connect
+from vacantia.plans import catalog
 
 SF = os.environ.get("ORACLE_SF", "0.001")
 SF_DIR = f"/root/testdata/sf{SF}"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = {"ml_rf_impute", "ml_hybrid_impute", "ml_feature_importance", "ml_cv_scores", "market_table"}
+QUERIES, SQL = catalog.QUERIES, catalog.SQL
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,7 @@ def con():
 
 
 def test_registry():
-    assert set(SQL) <= set(QUERIES) and set(QUERIES) - set(SQL) == ROWS_ONLY
+    assert set(SQL) == set(QUERIES) and set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
@@ -35,11 +36,6 @@ def test_query(spark, con, name):
     assert compare(df, con, SQL[name]) is None
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY - {"ml_cv_scores"}))
-def test_rows_only(spark, name):
-    assert QUERIES[name](spark, SF_DIR).count() > 0
-
-
 @pytest.mark.parametrize("name", ["win_keep_last", "win_keep_first", "win_topn_per_group", "agg_top_skills_per_role",
                                   "setop_dedup_key", "setop_dedup_subset", "setop_seen_ids"])
 def test_groups_shrink_before_the_shuffle(spark, name):
@@ -47,6 +43,21 @@ def test_groups_shrink_before_the_shuffle(spark, name):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+@pytest.mark.parametrize("name, pattern, most", [
+    ("sc_salary_parse", "regexp_extract_all", 2), ("board_b_table", r"regexp_extract_all\(lambda", 2),
+    ("sc_skills_word", r"regexp_extract_all\(", 1), ("board_a_table", r"regexp_extract_all\(lambda", 1)])
+def test_texts_are_parsed_once(spark, name, pattern, most):
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert 1 <= len(re.findall(pattern, plan)) <= most
+
+
+@pytest.mark.parametrize("name", ["ml_rf_impute", "ml_hybrid_impute", "market_table"])
+def test_imputation_reads_the_base_a_few_times(spark, name):
+    """The stored counts stand between the raw tables and all else: what is left reads them for the filling only."""
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("o_custkey") and len(re.findall(r"Relation \[o_orderkey", plan)) <= 2
+
+
 def test_filter_reaches_the_scan(spark):
     plan = QUERIES["filt_range"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "FileScan" in line and "o_totalprice" in line][0]

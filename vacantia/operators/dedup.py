@@ -34,7 +34,9 @@ def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataF
 
 def dedup_key(df: DataFrame, order: Sequence[str], id_col: str = "id",
               fallback: Sequence[str] = ("title", "company")) -> DataFrame:
-    """Last row per id; rows without an id are unique by the fallback columns."""
+    """Last row per id; rows without an id, or of a table without ids, are unique by the fallback columns."""
+    if id_col not in df.columns:
+        return keep_last(df, list(fallback), order)
     has_id = ~text.is_blank(F.col(id_col))
     keys = {"_id": F.when(has_id, F.col(id_col))}
     for c in fallback:

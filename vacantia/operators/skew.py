@@ -57,9 +57,9 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str],
     """Left join of ``rows`` to a table that is unique by ``keys``.
 
     The table's entries of hot keys, at most 1 / HOT_SHARE rows, are
-    broadcast, so rows of hot keys are answered where they are.  In the join
-    for all other keys they carry a hash of the row as a further key, which
-    matches nothing and spreads them evenly over all tasks.
+    broadcast, so rows of hot keys are answered where they are.  The join has
+    the hash of the keys as a further key; rows of hot keys carry a hash of the
+    whole row instead, which matches nothing and spreads them over all tasks.
 
     ``counts`` (keys, n) are the rows per key.  Give them when ``rows`` is the
     result of earlier look-ups, so that the chain is not computed again.
@@ -76,9 +76,9 @@ def lookup(rows: DataFrame, table: DataFrame, keys: Sequence[str],
                                 *[F.col(f"_e_{c}").alias(f"_h_{c}") for c in extra], F.lit(True).alias("_hot")))
     marked = rows.join(marks, same(rows, marks, [(k, f"_h_{k}") for k in keys]), "left").select(
         *[rows[c] for c in rows.columns], *[marks[f"_h_{c}"] for c in extra], "_hot")
-    spread = F.when(F.col("_hot"), row_hash(rows).bitwiseOR(F.lit(1))).otherwise(F.lit(0))
-    left = marked.withColumn("_spread", spread)
-    right = table.select(*[F.col(c).alias(f"_t_{c}") for c in [*keys, *extra]], F.lit(0).cast("bigint").alias("_t_spread"))
+    # A constant for all other rows would be optimised out of the join's keys.
+    left = marked.withColumn("_spread", F.when(F.col("_hot"), row_hash(rows)).otherwise(F.xxhash64(*keys)))
+    right = table.select(*[F.col(c).alias(f"_t_{c}") for c in [*keys, *extra]], F.xxhash64(*keys).alias("_t_spread"))
     on = equal(left, right, [(k, f"_t_{k}") for k in keys]) & (left["_spread"] == right["_t_spread"])
     return left.join(right, on, "left").select(
         *[left[c] for c in rows.columns],

@@ -286,11 +286,14 @@ def _(spark, d):
 
 
 @query("setop_dedup_url", """
-SELECT page_id, url FROM (SELECT page_id, split_part(url, '/', 3) AS url FROM pages)
-QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id) = 1""")
+SELECT page_id, url FROM (SELECT page_id, url FROM pages UNION ALL SELECT page_id + 1000000, url FROM pages WHERE page_id % 3 = 0)
+QUALIFY row_number() OVER (PARTITION BY url ORDER BY page_id DESC) = 1""")
 def _(spark, d):
-    hosts = table(spark, d, "pages").select("page_id", F.split_part("url", F.lit("/"), F.lit(3)).alias("url"))
-    return dedup.dedup_url(hosts, ["page_id"], "url")
+    # A third of the pages was collected twice; the later copy comes first here.
+    pages = table(spark, d, "pages").select("page_id", "url")
+    again = pages.filter("page_id % 3 = 0").withColumn("page_id", F.col("page_id") + 1_000_000)
+    order = pages.union(again).withColumn("age", -F.col("page_id"))
+    return dedup.dedup_url(order, ["age"], "url").drop("age")
 
 
 @query("setop_seen_ids", """
@@ -308,6 +311,16 @@ def _(spark, d):
                            text.identity_key(ident, url)).select("event_id", "event_type")
 
 
+OWN_SKILLS = ["python", "sql", "r", "git"]
+
+
+@query("setop_missing_skills", over_jobs(f"""
+SELECT id, array_to_string(list_sort(list_filter(extracted_skills, lambda x: x NOT IN ({', '.join(repr(s) for s in OWN_SKILLS)}))), ',')
+  AS missing FROM jobs"""))
+def _(spark, d):
+    return jobs(spark, d).select("id", F.array_join(dedup.missing_skills(F.col("extracted_skills"), OWN_SKILLS), ",").alias("missing"))
+
+
 @query("setop_skill_gap", """
 SELECT DISTINCT word AS skill FROM (
   SELECT lang, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS word FROM documents)

@@ -239,10 +239,10 @@ def _(spark, d):
 @query("sc_skill_vector", over_jobs("""
 SELECT id, array_to_string(list_transform((SELECT list(skill ORDER BY n DESC, skill) FROM (
     SELECT skill, count(*) AS n FROM (SELECT unnest(extracted_skills) AS skill FROM jobs) GROUP BY skill
-    ORDER BY n DESC, skill LIMIT 12)),
+    ORDER BY n DESC, skill LIMIT 50)),
   lambda s: list_contains(extracted_skills, s)::INTEGER), '') AS bits FROM jobs"""))
 def _(spark, d):
-    df = reports.skill_vector(jobs(spark, d), n=12)
+    df = reports.skill_vector(jobs(spark, d))
     return df.select("id", F.array_join(F.col("skill_vector").cast("array<string>"), "").alias("bits"))
 
 
@@ -270,16 +270,18 @@ def _(spark, d):
     return impute.label_encode(df, ["location", "level"]).select("id", "location_code", "level_code")
 
 
+SPARSE_TABLES = (
+    f"s AS (SELECT id, search_role, job_level, city, CASE WHEN {SPARSE} THEN salary_avg END AS salary_avg FROM jobs)",
+    "k AS (SELECT * FROM s WHERE salary_avg IS NOT NULL)", CASCADE_SQL,
+    "sup AS (SELECT search_role, true AS supported FROM k WHERE search_role IS NOT NULL GROUP BY ALL HAVING count(*) >= 30)")
+
 FILLED_SQL = over_jobs("""
-SELECT s.id, round(CASE WHEN s.salary_avg IS NULL AND sup.search_role IS NULL
+SELECT s.id, round(CASE WHEN s.salary_avg IS NULL AND sup.supported IS NULL
                         THEN coalesce(g3.m, g2.m, g1.m, g0.m) ELSE s.salary_avg END, 4) AS salary_avg,
-       CASE WHEN s.salary_avg IS NOT NULL THEN 'actual' WHEN sup.search_role IS NULL THEN 'estimated_median'
+       CASE WHEN s.salary_avg IS NOT NULL THEN 'actual' WHEN sup.supported IS NULL THEN 'estimated_median'
             ELSE 'missing' END AS salary_source
 FROM s LEFT JOIN g3 USING (search_role, job_level, city) LEFT JOIN g2 USING (search_role, job_level)
-LEFT JOIN g1 USING (search_role) CROSS JOIN g0
-LEFT JOIN (SELECT search_role FROM k GROUP BY ALL HAVING count(*) >= 30) sup USING (search_role)""",
-    f"s AS (SELECT id, search_role, job_level, city, CASE WHEN {SPARSE} THEN salary_avg END AS salary_avg FROM jobs)",
-    "k AS (SELECT * FROM s WHERE salary_avg IS NOT NULL)", CASCADE_SQL)
+LEFT JOIN g1 USING (search_role) CROSS JOIN g0 LEFT JOIN sup USING (search_role)""", *SPARSE_TABLES)
 
 
 @query("ml_median_impute", FILLED_SQL)
@@ -292,40 +294,72 @@ def _features(spark, d):
     return _sparse(spark, d).join(jobs(spark, d).select("id", "skills_count"), "id")
 
 
-@query("ml_rf_impute")
+# A forest's numbers cannot come from SQL: its rows are compared by origin and bounds, all others by value.
+IN_BOUNDS = f"salary_avg BETWEEN {vocab.SALARY_LOW} AND {vocab.SALARY_HIGH}"
+
+
+def by_origin(df, *more: str):
+    forest = F.col("salary_source") == "estimated_rf"
+    return df.select("id", "salary_source", r4(F.when(~forest, F.col("salary_avg"))).alias("exact"),
+                     F.when(forest, F.expr(IN_BOUNDS)).alias("in_bounds"), *more)
+
+
+def origin_sql(rest: str, median: str) -> str:
+    """Origin, exact value and bounds of each row; ``rest`` is the origin of rows that no forest fills."""
+    return f"""
+SELECT s.id, CASE WHEN s.salary_avg IS NOT NULL THEN 'actual' WHEN sup.supported THEN 'estimated_rf' ELSE '{rest}' END AS salary_source,
+       round(CASE WHEN s.salary_avg IS NULL AND sup.supported IS NULL THEN {median} ELSE s.salary_avg END, 4) AS exact,
+       CASE WHEN s.salary_avg IS NULL AND sup.supported THEN true END AS in_bounds
+FROM s LEFT JOIN g3 USING (search_role, job_level, city) LEFT JOIN g2 USING (search_role, job_level)
+LEFT JOIN g1 USING (search_role) CROSS JOIN g0 LEFT JOIN sup USING (search_role)"""
+
+
+@query("ml_rf_impute", over_jobs(origin_sql("missing", "NULL"), *SPARSE_TABLES))
 def _(spark, d):
-    return impute.forest_impute(_features(spark, d)).select("id", "salary_avg", "salary_source")
+    return by_origin(impute.forest_impute(_features(spark, d)))
 
 
-@query("ml_hybrid_impute")
+@query("ml_hybrid_impute", over_jobs(origin_sql("estimated_median", "coalesce(g3.m, g2.m, g1.m, g0.m)"), *SPARSE_TABLES))
 def _(spark, d):
-    return impute.hybrid_impute(_features(spark, d)).select("id", "salary_avg", "salary_source")
+    return by_origin(impute.hybrid_impute(_features(spark, d)))
 
 
-@query("ml_feature_importance")
+@query("ml_feature_importance", """
+SELECT unnest(['search_role', 'job_level', 'city', 'skills_count']) AS feature, true AS in_range, 1.0::DOUBLE AS total""")
 def _(spark, d):
-    return impute.feature_importance(_features(spark, d))
+    found = impute.feature_importance(_features(spark, d))
+    total = found.agg(F.round(F.sum("importance"), 6)).scalar()
+    return found.select("feature", F.col("importance").between(0, 1).alias("in_range"), total.alias("total"))
 
 
-@query("ml_cv_scores")
+@query("ml_cv_scores", over_jobs("""
+SELECT fold::VARCHAR AS fold, (SELECT count(*) FROM t) - count(*) AS trained, count(*) AS tested, true AS plausible FROM t GROUP BY fold
+UNION ALL SELECT 'mean', 4 * count(*), count(*), true FROM t""", *SPARSE_TABLES,
+    "t AS (SELECT id % 5 AS fold FROM k JOIN sup USING (search_role))"))
 def _(spark, d):
-    return impute.cv_scores(_features(spark, d), ["id"])
+    scores = impute.cv_scores(_features(spark, d), ["id"], fold=F.col("id") % 5)
+    finite = (F.col("mae") >= 0) & (F.col("mae") < float("inf")) & (F.col("r2") <= 1)
+    return scores.select("fold", "trained", "tested", finite.alias("plausible"))
 
 
 HISTOGRAM_SQL = over_jobs("""
 SELECT salary_source, bin, n, source_rows, round(source_rows * 100.0::DOUBLE / (SELECT count(*) FROM v), 4) AS source_pct
 FROM (SELECT salary_source, bin, count(*) AS n FROM (
-        SELECT salary_source, least(floor((x - lo) / (hi - lo) * 40), 39)::INTEGER AS bin
+        SELECT salary_source, CASE WHEN hi > lo THEN least(floor((x - lo) / (hi - lo) * 40), 39) ELSE 0 END::INTEGER AS bin
         FROM v JOIN b USING (salary_source)) GROUP BY ALL) JOIN b USING (salary_source)""",
-    """v AS (SELECT raw_salary / 1e6::DOUBLE AS x, CASE WHEN salary_avg IS NULL THEN 'missing' ELSE 'actual' END
-       AS salary_source FROM jobs)""",
+    *SPARSE_TABLES[:3],
+    """v AS (SELECT coalesce(s.salary_avg, g3.m, g2.m, g1.m, g0.m) / 1e6::DOUBLE AS x,
+       CASE WHEN s.salary_avg IS NULL THEN 'estimated_median' ELSE 'actual' END AS salary_source
+       FROM s LEFT JOIN g3 USING (search_role, job_level, city) LEFT JOIN g2 USING (search_role, job_level)
+       LEFT JOIN g1 USING (search_role) CROSS JOIN g0)""",
     "b AS (SELECT salary_source, min(x) AS lo, max(x) AS hi, count(*) AS source_rows FROM v GROUP BY ALL)")
 
 
 @query("ml_impute_validation", HISTOGRAM_SQL)
 def _(spark, d):
-    df = jobs(spark, d).select("raw_salary", salary.source_flag(F.col("salary_avg")).alias("salary_source"))
-    return impute.source_histogram(df, "raw_salary").withColumn("source_pct", r4("source_pct"))
+    # Without a supported role every missing value is filled by a median.
+    filled = impute.median_impute(_sparse(spark, d), ["search_role", "job_level", "city"], min_support=1 << 62)
+    return impute.source_histogram(filled).withColumn("source_pct", r4("source_pct"))
 
 
 @query("ml_cosine_topk", """

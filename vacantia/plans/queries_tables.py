@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import rules, text, vocab
 from . import board_a, board_b, dashboard, market
 from .queries_filters import lexicon_sql
-from .queries_scalars import PLACE_CASE, SALARY_SQL, salary_text, tfidf_sql
+from .queries_scalars import PLACE_CASE, SALARY_SQL, SPARSE_TABLES, by_origin, origin_sql, salary_text, tfidf_sql
 from .registry import bands_case_sql, contains_sql, patterns_case_sql, query, words_case_sql
 from .tables import jobs, over_jobs
 
@@ -96,9 +96,23 @@ def _(spark, d):
         "id", "title", "search_role", "job_level", "company", "location", "salary_avg", "skills_count", "job_url")
 
 
-@query("market_table")
+LOWERED_TITLES = [(label, [w.lower() for w in words]) for label, words in vocab.TITLE_SENIORITY_WORDS]
+
+
+@query("market_table", over_jobs(f"""
+SELECT o.*, m.title, m.search_role, m.job_level, m.company, m.location, m.skills_count, m.job_url, company_hiring_freq,
+       {bands_case_sql('company_hiring_freq', vocab.COMPANY_SIZE_BANDS)} AS company_size_proxy,
+       {words_case_sql('lower(m.title)', LOWERED_TITLES, "'Tidak Disebutkan'")} AS title_seniority
+FROM ({origin_sql('estimated_median', 'coalesce(g3.m, g2.m, g1.m, g0.m)')}) o JOIN m ON o.id = m.id
+JOIN (SELECT company, count(*) AS company_hiring_freq FROM m GROUP BY company) f ON m.company = f.company""",
+    f"""m AS (SELECT id, title, search_role, job_level, company, CASE WHEN {FIRST_BOARD} THEN city
+         WHEN location = '' THEN 'DKI Jakarta' ELSE {PLACE_CASE} END AS location,
+       CASE WHEN NOT {FIRST_BOARD} THEN salary_avg END AS salary_avg, skills_count, job_url FROM jobs)""",
+    "s AS (SELECT *, trim(split_part(location, ',', 1)) AS city FROM m)", *SPARSE_TABLES[1:]))
 def _(spark, d):
-    return market.analysis_table(*_boards(spark, d)).drop("extracted_skills", "scraped_at")
+    table = market.analysis_table(*_boards(spark, d), keep_source=True)
+    return by_origin(table, "title", "search_role", "job_level", "company", "location", "skills_count", "job_url",
+                     "company_hiring_freq", "company_size_proxy", "title_seniority")
 
 
 @query("dashboard_table", over_jobs(f"""
