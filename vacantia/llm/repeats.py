@@ -303,46 +303,37 @@ class Entries:
     it, as bytes.  ``owner`` gives the entry of each place (an anchor).
     """
 
-    bucket: list[int]
+    bucket: np.ndarray
     right: list[bytes]
     left: list[bytes]
-    least: list[tuple[int, int]]
-    frequent: list[bool]
+    least: np.ndarray
+    frequent: np.ndarray
     place: np.ndarray
     owner: np.ndarray
 
 
 def entries_of(units: Units, anchors: Anchors, number: np.ndarray, keys: np.ndarray, flags: np.ndarray, kind: Kind,
                buckets: int) -> Entries:
-    raw, size, window = units.data.tobytes(), units.data.itemsize, kind.window
+    raw, size = units.data.tobytes(), units.data.itemsize
     place = np.flatnonzero(flags[number] > 0)
-    bucket = bucket_of(keys, buckets)
+    low, at = (size * anchors.low[place]).tolist(), (size * anchors.at[place]).tolist()
+    high = (size * (anchors.high[place] + kind.window)).tolist()
     seen: dict[tuple[bytes, bytes], int] = {}
-    least: list[tuple[int, int]] = []
-    owner = np.empty(len(place), dtype=np.int64)
-    key_number: list[int] = []
-    spot = anchors.at[place] - units.starts[anchors.row[place]]
-    for i, (at, low, high, doc, here, k) in enumerate(zip(
-            (size * anchors.at[place]).tolist(), (size * anchors.low[place]).tolist(), (size * (anchors.high[place] + window)).tolist(),
-            units.ids[anchors.row[place]].tolist(), spot.tolist(), number[place].tolist())):
-        context = raw[at:high], raw[low:at]
-        e = seen.get(context)
-        if e is None:
-            e = seen[context] = len(least)
-            least.append((doc, here))
-            key_number.append(k)
-        elif (doc, here) < least[e]:
-            least[e] = (doc, here)
-        owner[i] = e
+    owner = np.array([seen.setdefault((raw[b:c], raw[a:b]), len(seen)) for a, b, c in zip(low, at, high)], dtype=np.int64)
     contexts = list(seen)
-    number_of = np.array(key_number, dtype=np.int64)
-    home = bucket[number_of].astype(np.int64).tolist() if len(number_of) else []
-    frequent = (flags[number_of] == 2).tolist() if len(number_of) else []
-    order = sorted(range(len(contexts)), key=lambda e: (home[e], contexts[e]))
-    rank = np.empty(len(order), dtype=np.int64)
-    rank[order] = np.arange(len(order))
-    return Entries([home[e] for e in order], [contexts[e][0] for e in order], [contexts[e][1] for e in order],
-                   [least[e] for e in order], [frequent[e] for e in order], place, rank[owner] if len(owner) else owner)
+    # The least place of each context: the first of its places in the order of all places.
+    doc, spot = units.ids[anchors.row[place]], anchors.at[place] - units.starts[anchors.row[place]]
+    order = np.lexsort((spot, doc))
+    first = order[np.unique(owner[order], return_index=True)[1]] if len(owner) else owner
+    key = number[place[first]]
+    home = bucket_of(keys, buckets)[key].astype(np.int64)
+    heads = [h.to_bytes(8, "big") + right for h, (right, _) in zip(home.tolist(), contexts)]
+    sent = sorted(range(len(contexts)), key=heads.__getitem__)
+    rank = np.empty(len(sent), dtype=np.int64)
+    rank[sent] = np.arange(len(sent))
+    return Entries(home[sent], [contexts[e][0] for e in sent], [contexts[e][1] for e in sent],
+                   np.stack([doc[first][sent], spot[first][sent]], axis=1) if sent else np.zeros((0, 2), np.int64),
+                   flags[key[sent]] == 2 if sent else np.zeros(0, bool), place, rank[owner] if sent else owner)
 
 
 def front_coded(rights: list[bytes]) -> tuple[bytes, bytes, bytes]:
@@ -369,8 +360,8 @@ def front_decoded(common: bytes, length: bytes, rest: bytes) -> tuple[list[int],
     return shared, out
 
 
-def pairs_raw(pairs: list[tuple[int, int]]) -> bytes:
-    return np.array(pairs, dtype=np.int64).reshape(-1, 2).T.tobytes()
+def pairs_raw(pairs: np.ndarray | list[tuple[int, int]]) -> bytes:
+    return np.asarray(pairs, dtype=np.int64).reshape(-1, 2).T.tobytes()
 
 
 def pairs_read(raw: bytes) -> list[tuple[int, int]]:
@@ -383,13 +374,12 @@ def window_entries(entries: Entries, kind: Kind, size: int, buckets: int) -> tup
 
     seen: dict[bytes, tuple[int, int]] = {}
     width = kind.window * size
-    for right, left, least, often in zip(entries.right, entries.left, entries.least, entries.frequent):
-        if often:
-            whole = left + right
-            for at in range(0, len(whole) - width + 1, size):
-                w = whole[at:at + width]
-                if w not in seen or least < seen[w]:
-                    seen[w] = least
+    for e in np.flatnonzero(entries.frequent).tolist():
+        whole, least = entries.left[e] + entries.right[e], tuple(entries.least[e].tolist())
+        for at in range(0, len(whole) - width + 1, size):
+            w = whole[at:at + width]
+            if w not in seen or least < seen[w]:
+                seen[w] = least
     hashes = np.array([xxhash.xxh64_intdigest(w) for w in seen], dtype=np.uint64)
     order = np.lexsort((hashes, bucket_of(hashes, buckets)))
     contents = list(seen)
@@ -413,13 +403,13 @@ def send_contexts(table: pa.Table, answers: pa.Table, kind: Kind, buckets: int)
         return messages([])
     _, units, _, entries = read_block(table, answers, kind, buckets)
     block, size, out = table.column("block")[0].as_py(), units.data.itemsize, []
-    rare = [e for e, often in enumerate(entries.frequent) if not often]
-    for bucket, a, b in slices(np.array([entries.bucket[e] for e in rare])):
-        some = rare[a:b]
+    rare = np.flatnonzero(~entries.frequent)
+    for bucket, a, b in slices(entries.bucket[rare]):
+        some = rare[a:b].tolist()
         lefts = [entries.left[e] for e in some]
         out.append((bucket, block, CONTEXTS, squeeze((
             *front_coded([entries.right[e] for e in some]), np.array([len(x) for x in lefts], np.uint16).tobytes(),
-            b"".join(lefts), pairs_raw([entries.least[e] for e in some])))))
+            b"".join(lefts), pairs_raw(entries.least[some])))))
     contents, least, home = window_entries(entries, kind, size, buckets)
     for bucket, a, b in slices(home):
         out.append((bucket, block, WINDOWS, squeeze((b"".join(contents[a:b]), pairs_raw(least[a:b])))))
@@ -482,18 +472,18 @@ def masks_of(entries: Entries, answers: pa.Table, kind: Kind, size: int, buckets
     told: dict[tuple[int, int], bytes] = {
         (k, b): unsqueeze(d) for b, k, d in zip(*(answers.column(c).to_pylist() for c in ("bucket", "kind", "data"))) if k != FLAGS}
     masks = np.zeros(len(entries.right), dtype=np.uint64)
-    rare = np.flatnonzero(~np.array(entries.frequent, dtype=bool))
+    rare = np.flatnonzero(~entries.frequent)
     masks[rare] = np.frombuffer(b"".join(told[k] for k in sorted(told) if k[0] == CONTEXTS), np.uint64)
     if len(rare) < len(masks):
         contents, least, _ = window_entries(entries, kind, size, buckets)
         held = np.frombuffer(b"".join(told[k] for k in sorted(told) if k[0] == WINDOWS), np.uint8).tolist()
         first = {w: place for w, place, h in zip(contents, least, held) if h}
         width = kind.window * size
-        for e in np.flatnonzero(np.array(entries.frequent, dtype=bool)).tolist():
-            whole, mask = entries.left[e] + entries.right[e], 0
+        for e in np.flatnonzero(entries.frequent).tolist():
+            whole, own, mask = entries.left[e] + entries.right[e], tuple(entries.least[e].tolist()), 0
             for j, at in enumerate(range(0, len(whole) - width + 1, size)):
                 place = first.get(whole[at:at + width])
-                if place is None or not earliest(place, entries.least[e], kind):
+                if place is None or not earliest(place, own, kind):
                     mask |= 1 << j
             masks[e] = mask
     return masks
@@ -505,7 +495,7 @@ def removed_units(units: Units, anchors: Anchors, entries: Entries, masks: np.nd
     edge = np.zeros(len(units.data) + 1, dtype=np.int32)
     low, high = anchors.low[place], anchors.high[place]
     if len(place):
-        least = np.array(entries.least, dtype=np.int64)[owner]
+        least = entries.least[owner]
         doc = units.ids[anchors.row[place]]
         at_least = doc == least[:, 0]
         if kind.by_place:
