@@ -39,13 +39,43 @@ def test_delimited(spark, delimited):
 
 
 def test_audit(spark, delimited):
-    audit = readers.audit_delimited(spark, delimited, ["id", "title", "company"])
+    audit = readers.audit_delimited(spark, delimited)
     total, head = readers.audit_head(audit)
     assert total.first()[0] == 2
     assert [(r["line_no"], r["n_fields"], r["preview"]) for r in head.collect()] == [
         (6, 4, ["5", "too", "many", "fields"]), (7, 2, ["6", "short"])]
 
 
+def test_audit_counts_blank_records(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\ufeffid;title\n\n1;x;y\n2;"two\n\nlines"\n\n3\n')
+    (tmp_path / "b.csv").write_text("id;title;company\n1;a;b\n2;a\n")
+    got = sorted((r["file"][-5:], r["line_no"], r["n_fields"], r["preview"]) for r in readers.audit_delimited(spark, str(tmp_path / "*.csv")).collect())
+    assert got == [("a.csv", 2, 0, []), ("a.csv", 3, 3, ["1", "x", "y"]), ("a.csv", 5, 0, []), ("a.csv", 6, 1, ["3"]), ("b.csv", 3, 2, ["2", "a"])]
+
+
+def test_audit_of_a_split_file(spark, tmp_path):
+    """The same answers if the file is read in many parts, quoted line breaks across them included."""
+    lines = ["id;title;company"]
+    for i in range(400):
+        lines.append(f'{i};"a\nb;c\n";x' if i % 3 == 0 else f"{i};short" if i % 7 == 0 else f"{i};plain;x")
+    (tmp_path / "long.csv").write_text("\n".join(lines) + "\n")
+    whole = sorted(map(tuple, readers.audit_delimited(spark, str(tmp_path / "long.csv")).collect()))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 500)
+    try:
+        assert sorted(map(tuple, readers.audit_delimited(spark, str(tmp_path / "long.csv")).collect())) == whole
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r[1] for r in whole] == [i + 2 for i in range(400) if i % 7 == 0 and i % 3]
+
+
+def test_missing_value_texts(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("id;company\n1;N/A\n2;null\n3;None\n4;nan\n5;\n6;Nada\n")
+    path = str(tmp_path / "m.csv")
+    assert [r["company"] for r in readers.read_delimited(spark, path, ["id", "company"]).collect()] == [None] * 5 + ["Nada"]
+    kept = readers.read_delimited(spark, path, ["id", "company"], missing=[""]).collect()
+    assert [r["company"] for r in kept] == ["N/A", "null", "None", "nan", None, "Nada"]
+
+
 def test_audit_records(spark):
     data = [(2, "a;b;c"), (3, '"x;y";b;c'), (4, "a;b"), (5, 'a;"b ""q""; z";c;d;e;f')]
     df = spark.createDataFrame(data, "line_no int, record string")
@@ -66,10 +96,27 @@ def test_glob(spark, tmp_path):
     (tmp_path / "checkpoint_c.csv").write_text("\n")
     (tmp_path / "other.csv").write_text("id\n9\n")
     got = readers.read_glob(spark, str(tmp_path / "checkpoint_*.csv")).orderBy("_source", "_row").collect()
-    assert [(r["_source"], r["id"], r["title"], r["company"]) for r in got] == [
+    assert [(r["_source"].rsplit("/")[-1], r["id"], r["title"], r["company"]) for r in got] == [
         ("checkpoint_a.csv", "1", "a, b", None), ("checkpoint_a.csv", "2", None, None), ("checkpoint_b.csv", None, "t", "c")]
 
 
+def test_glob_tells_what_it_skips(spark, tmp_path):
+    (tmp_path / "checkpoint_a.csv").write_text("id\n1\n")
+    (tmp_path / "checkpoint_b.csv").write_text("\n\n")
+    (tmp_path / "checkpoint_c.csv.gz").write_bytes(b"\x1f\x8b\x08\x00 damaged")
+    found = readers.headers(spark, str(tmp_path / "checkpoint_*"))
+    assert sorted(r["file"].rsplit("_")[-1] for r in readers.skipped(found).collect()) == ["b.csv", "c.csv.gz"]
+    assert [r["id"] for r in readers.read_glob(spark, str(tmp_path / "checkpoint_*")).collect()] == ["1"]
+
+
+def test_glob_of_equal_file_names(spark, tmp_path):
+    for folder, title in (("x", "old"), ("y", "new")):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "checkpoint_1.csv").write_text(f"id,title\n1,{title}\n")
+    got = readers.read_glob(spark, str(tmp_path / "*/checkpoint_*.csv"))
+    assert got.select("_source").distinct().count() == 2
+
+
 def test_glob_without_files(spark, tmp_path):
     (tmp_path / "checkpoint_c.csv").write_text("\n")
     with pytest.raises(FileNotFoundError):

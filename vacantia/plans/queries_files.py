@@ -50,15 +50,12 @@ def _(spark, d):
 
 
 @query("src_malformed_audit", f"""
-SELECT n_fields, count(*) AS n, min(line_no) AS first_line, min(p) AS preview FROM (
-  SELECT CASE WHEN p_type = 'PROMO' THEN 5 ELSE 3 END AS n_fields,
-         p_partkey + 2 AS line_no, p_partkey::VARCHAR || '|' || {TITLE_SQL} AS p FROM part WHERE p_type IN ('PROMO', 'SMALL'))
-GROUP BY n_fields""")
+SELECT CASE WHEN p_type = 'PROMO' THEN 5 ELSE 3 END AS n_fields, row_number() OVER (ORDER BY p_partkey) + 1 AS line_no,
+       p_partkey::VARCHAR || '|' || {TITLE_SQL} || '|' || p_brand || CASE WHEN p_type = 'PROMO' THEN '|PROMO|surplus' ELSE '' END AS preview
+FROM part QUALIFY p_type IN ('PROMO', 'SMALL')""")
 def _(spark, d):
-    audit = readers.audit_delimited(spark, _delimited(spark, d), HEADER)
-    start = F.concat_ws("|", F.get("preview", F.lit(0)), F.get("preview", F.lit(1)))
-    return audit.groupBy("n_fields").agg(
-        F.count(F.lit(1)).alias("n"), F.min("line_no").alias("first_line"), F.min(start).alias("preview"))
+    audit = readers.audit_delimited(spark, _delimited(spark, d))
+    return audit.select("n_fields", "line_no", F.array_join("preview", "|").alias("preview"))
 
 
 FLAT = ["id", "title", "search_role", "company", "location", "salary_avg", "extracted_skills",

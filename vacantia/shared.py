@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -13,8 +15,9 @@ SETTING = "spark.checkpoint.dir"
 def shared_dir(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``.
 
-    Only a local session without the setting gets a folder of its own; a
-    cluster must name one that all its machines see.
+    Only a local session without the setting gets a folder of its own, which
+    goes when the session's process ends; a cluster must name one that all its
+    machines see.
     """
     sc = spark.sparkContext
     named = spark.conf.get(SETTING, None) or sc.getConf().get(SETTING) or sc.getCheckpointDir()
@@ -23,6 +26,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not sc.master.startswith("local"):
         raise ValueError(f"set {SETTING} to a folder that all executors can reach")
     own = tempfile.mkdtemp(prefix="vacantia-")
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
     sc.setCheckpointDir(own)
     return sc.getCheckpointDir()
 

@@ -2,33 +2,37 @@
 
 from __future__ import annotations
 
+import csv
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import strip
+from ..operators.skew import lookup
 
-EXTRA, BROKEN = "_extra", "_broken"
+EXTRA = "_extra"
+
+# Field texts that stand for a missing value.
+MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+           "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 
 
 def _strings(names: Sequence[str]) -> StructType:
     return StructType([StructField(n, StringType()) for n in names])
 
 
-def _empty_to_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    return df.withColumns({n: F.nullif(F.col(n), F.lit("")) for n in names})
+def _missing_to_null(df: DataFrame, names: Sequence[str], missing: Sequence[str]) -> DataFrame:
+    return df.withColumns({n: F.when(~F.col(n).isin(*missing), F.col(n)) for n in names}) if missing and names else df
 
 
 def read_delimited(spark: SparkSession, path, columns: Sequence[str], sep: str = ";",
-                   multi_line: bool = True) -> DataFrame:
+                   multi_line: bool = True, missing: Sequence[str] = MISSING) -> DataFrame:
     """Delimited text with a header; rows with too many fields are skipped.
 
-    Short rows are padded with nulls and empty fields are null.  A byte order
+    Short rows are padded with nulls and ``missing`` texts are null.  A byte order
     mark is part of the header, which is not used.  One extra column catches
     the surplus, so that only rows with a surplus are lost.  With
     ``multi_line`` fields may hold line breaks, at the price of one task per
@@ -39,55 +43,66 @@ def read_delimited(spark: SparkSession, path, columns: Sequence[str], sep: str =
             .options(header=True, sep=sep, quote='"', escape='"', multiLine=multi_line,
                      mode="PERMISSIVE", encoding="UTF-8", columnPruning=False)
             .csv(path))
-    return _empty_to_null(rows.filter(F.col(EXTRA).isNull()).drop(EXTRA), names)
+    return _missing_to_null(rows.filter(F.col(EXTRA).isNull()).drop(EXTRA), names, missing)
+
 
+def read_plain(spark: SparkSession, path, schema, multi_line: bool = True, missing: Sequence[str] = ()) -> DataFrame:
+    """Comma-separated text with a header and a given schema.
 
-def read_plain(spark: SparkSession, path, schema, multi_line: bool = True) -> DataFrame:
-    """Comma-separated text with a header and a given schema."""
-    return (spark.read.schema(schema)
+    ``missing`` texts become null; without any, empty fields are null only.
+    """
+    rows = (spark.read.schema(schema)
             .options(header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
             .csv(path))
+    return _missing_to_null(rows, [f.name for f in rows.schema.fields if isinstance(f.dataType, StringType)], missing)
 
 
-def _files(spark: SparkSession, glob: str) -> list[str]:
-    """Paths below a glob; file contents are not read."""
-    listing = spark.read.format("binaryFile").load(glob).select("path").orderBy("path")
-    return [r["path"] for r in listing.collect()]
+def _lines(spark: SparkSession, path, **options) -> DataFrame:
+    """Lines of text files with ``file``, ``block`` (where the read part begins) and ``at`` (order within it)."""
+    return (spark.read.options(**options).text(path)
+            .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                    F.monotonically_increasing_id().alias("at"), "value"))
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...] | None:
-    """Column names of a file, or None if it has none or cannot be read."""
-    try:
-        fields = spark.read.options(quote='"', escape='"', multiLine=True).csv(path).head(1)
-    except PySparkException:
-        return None
-    names = tuple((f or "").lstrip("﻿") for f in fields[0]) if fields else ()
-    return names if any(n.strip() for n in names) else None
+def headers(spark: SparkSession, glob: str) -> DataFrame:
+    """(file, header) of every file of a glob in one distributed read.
+
+    The header is the first line that is not blank; it is null for a file that
+    has none or cannot be read at all.  Files of no bytes are not listed.
+    """
+    listed = spark.read.format("binaryFile").load(glob).select(F.col("path").alias("file"))
+    lines = _lines(spark, glob, ignoreCorruptFiles=True).filter(~F.col("value").rlike("^\ufeff?[\\s,]*$"))
+    first = lines.groupBy("file").agg(F.min_by("value", F.struct("block", "at")).alias("header"))
+    return listed.join(first, "file", "left")
 
 
-def read_glob(spark: SparkSession, glob: str, source: str = "_source", row: str = "_row") -> DataFrame:
-    """All files of a glob as strings, with file name and a row number that
-    grows within a file, united by column name.
+def skipped(found: DataFrame) -> DataFrame:
+    """(file, reason) of the files that ``read_glob`` leaves out, from ``headers``."""
+    return found.filter("header IS NULL").select("file", F.lit("no header line, or unreadable").alias("reason"))
 
-    Files are read together per distinct header.  Unreadable and empty files
-    are skipped; it is an error if none is left.
+
+def read_glob(spark: SparkSession, glob: str, source: str = "_source", row: str = "_row",
+              missing: Sequence[str] = MISSING) -> DataFrame:
+    """All files of a glob as strings, with the file's full path and a row
+    number that grows within a file, united by column name.
+
+    Files are read together per distinct header.  Files without a header line
+    are left out (``skipped`` lists them); it is an error if none is left, and
+    a file that turns out damaged after its header ends the read.
     """
     groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    paths = _files(spark, glob)
-    # Each header is one tiny job; many files are looked at side by side.
-    with ThreadPoolExecutor(16) as pool:
-        for path, header in zip(paths, pool.map(lambda p: _header(spark, p), paths)):
-            if header:
-                groups[header].append(path)
+    # One short row for each file, as many as the reader itself lists.
+    for r in headers(spark, glob).filter("header IS NOT NULL").orderBy("file").collect():
+        groups[tuple(next(csv.reader([r["header"].lstrip("\ufeff")])))].append(r["file"])
     if not groups:
         raise FileNotFoundError(f"no readable file matches {glob}")
     out = None
     for header, paths in groups.items():
         part = (spark.read.schema(_strings(header))
                 .options(header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE")
-                .csv(paths).withColumns({source: F.col("_metadata.file_name"),
+                .csv(paths).withColumns({source: F.col("_metadata.file_path"),
                                           row: F.monotonically_increasing_id()}))
-        part = _empty_to_null(part, header)
+        part = _missing_to_null(part, header, missing)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
@@ -120,29 +135,50 @@ def audit_records(df: DataFrame, record: str, line_no: str, n_fields: int, sep:
             .select(line_no, "n_fields", record_fields(F.col(record), sep).alias("preview")))
 
 
-def audit_delimited(spark: SparkSession, path, columns: Sequence[str], sep: str = ";") -> DataFrame:
-    """Records of files whose field count differs from the header, short and long.
+def raw_records(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
+    """(file, line_no, record) of every record, blank ones included, and (file, n) lines per file.
+
+    A record ends with a line at which the quotes so far are even.  Quotes and
+    records are counted per read part of a file first, so a large file is
+    split among tasks; only records of several lines are gathered.
+    """
+    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
+    lines = _lines(spark, path).withColumn("odd", odd)
+    here = Window.partitionBy("file", "block").orderBy("at")
+    lines = lines.withColumn("before", (F.sum("odd").over(here) - F.col("odd")) % 2)
+    # For either state in which a part may begin, the records that begin in it.
+    blocks = lines.groupBy("file", "block").agg(
+        F.sum("odd").alias("odds"), F.count_if(F.col("before") == 0).alias("even"), F.count_if(F.col("before") == 1).alias("uneven"))
+    past = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    begun = blocks.withColumn("open", F.coalesce(F.sum("odds").over(past) % 2, F.lit(0)))
+    begun = begun.withColumn("records", F.when(F.col("open") == 0, F.col("even")).otherwise(F.col("uneven")))
+    begun = begun.withColumn("done", F.coalesce(F.sum("records").over(past), F.lit(0))).select(
+        F.col("file").alias("f"), F.col("block").alias("b"), "open", "done")
+    placed = lines.join(begun, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    starts = F.col("before") == F.col("open")
+    placed = placed.withColumn("line_no", F.col("done") + F.sum(starts.cast("int")).over(here))
+    whole = starts & (F.col("odd") == 0)
+    single = placed.filter(whole).select("file", "line_no", F.col("value").alias("record"))
+    several = placed.filter(~whole).groupBy("file", "line_no").agg(F.array_join(F.transform(
+        F.sort_array(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"]), "\n").alias("record"))
+    return single.unionByName(several), blocks.groupBy("file").agg(F.sum(F.col("even") + F.col("uneven")).alias("n"))
+
+
+def audit_delimited(spark: SparkSession, path, sep: str = ";") -> DataFrame:
+    """Records whose field count differs from that of their file's header, short, long and blank.
 
     (file, line_no, n_fields, preview); line numbers count records of the
-    file, the header being line 1.
+    file, blank ones too, the header being line 1.  A blank record has no fields.
     """
-    rows = (spark.read.schema(_strings([*columns, BROKEN]))
-            .options(header=True, sep=sep, quote='"', escape='"', multiLine=True, mode="PERMISSIVE",
-                     columnNameOfCorruptRecord=BROKEN, columnPruning=False)
-            .csv(path)
-            .select(F.col("_metadata.file_path").alias("file"), BROKEN, F.col(columns[0]).alias("_head"),
-                    F.monotonically_increasing_id().alias("_pos")))
-    # Records of a file are read by one task and numbered in a row.
-    first = rows.groupBy("file").agg(F.min("_pos").alias("_first"))
-    # Spark refuses to read the raw record alone, hence the first field here.
-    is_broken = F.concat(F.col(BROKEN), F.coalesce("_head", F.lit(""))) != ""
-    broken = rows.filter(is_broken).join(first, "file")
-    numbered = broken.withColumn("line_no", F.col("_pos") - F.col("_first") + 2)
-    record = strip(F.col(BROKEN))
-    # The parser has the first field already.
-    preview = F.concat(F.array(F.coalesce("_head", F.lit(""))),
-                       F.slice(record_fields(record, sep), 2, 4))
-    return numbered.select("file", "line_no", field_count(record, sep).alias("n_fields"), preview.alias("preview"))
+    records, lines = raw_records(spark, path)
+    record = F.regexp_replace("record", "^\ufeff", "")
+    counted = records.withColumn("record", F.when(F.col("line_no") == 1, record).otherwise(F.col("record")))
+    blank = F.col("record") == ""
+    counted = counted.withColumn("n_fields", F.when(blank, 0).otherwise(field_count(F.col("record"), sep)))
+    wanted = counted.filter("line_no = 1").select("file", F.col("n_fields").alias("_wanted"))
+    broken = lookup(counted, wanted, ["file"], lines).filter("n_fields <> _wanted")
+    preview = F.when(blank, F.array().cast("array<string>")).otherwise(record_fields(F.col("record"), sep))
+    return broken.select("file", "line_no", "n_fields", preview.alias("preview"))
 
 
 def audit_head(audit: DataFrame, n: int = 10) -> tuple[DataFrame, DataFrame]:
