@@ -41,6 +41,18 @@ def value_counts(df: DataFrame, name: str) -> DataFrame:
     return key_counts(known(df, name), [name]).orderBy(F.desc("n"), name)
 
 
+def facet_values(df: DataFrame, names: Sequence[str], value: str | None = None) -> DataFrame:
+    """(facet, value, n, mean) of several columns in one pass over the rows.
+
+    ``mean`` is that of the ``value`` column; with it, rows that lack it do not count.
+    """
+    kept = known(df, value) if value else df
+    pairs = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).cast("string").alias("value")) for c in names])
+    measure = F.col(value) if value else F.lit(None).cast("double")
+    rows = kept.select(measure.alias("_m"), F.explode(pairs).alias("_f")).select("_m", "_f.*")
+    return known(rows, "value").groupBy("facet", "value").agg(F.count(F.lit(1)).alias("n"), F.avg("_m").alias("mean"))
+
+
 def other_rate(df: DataFrame, role: str, other: str = vocab.OTHER_ROLE) -> DataFrame:
     """Percent of rows with the catch-all role."""
     hit = F.when(F.col(role) == other, 1.0).otherwise(0.0)

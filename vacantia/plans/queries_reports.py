@@ -42,12 +42,7 @@ SELECT facet, value, n FROM (
   UNION ALL SELECT 'location', location, count(*) FROM jobs GROUP BY ALL
   UNION ALL SELECT 'company', company, count(*) FROM jobs GROUP BY ALL) WHERE value IS NOT NULL"""))
 def _(spark, d):
-    out = None
-    for name in ("job_level", "location", "company"):
-        part = (reports.value_counts(jobs(spark, d), name)
-                .select(F.lit(name).alias("facet"), F.col(name).alias("value"), "n"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return reports.facet_values(jobs(spark, d), ["job_level", "location", "company"]).drop("mean")
 
 
 @query("agg_other_rate", over_jobs("""
@@ -107,12 +102,11 @@ UNION ALL SELECT 'level', job_level, round(avg(salary_avg), 4) FROM sized WHERE
 UNION ALL SELECT 'size', size_band, round(avg(salary_avg), 4) FROM sized WHERE salary_avg IS NOT NULL GROUP BY ALL""",
     SIZED_SQL))
 def _(spark, d):
-    df = jobs(spark, d)
-    parts = [("role", reports.mean_by(df, "search_role")), ("level", reports.mean_by(df, "job_level")),
-             ("size", reports.mean_by(sized(spark, d), "size_band"))]
-    frames = [p.select(F.lit(by).alias("by"), F.col(p.columns[0]).alias("key"), r4("mean").alias("mean"))
-              for by, p in parts]
-    return frames[0].unionByName(frames[1]).unionByName(frames[2])
+    rows = lookups.with_group_size(jobs(spark, d).select("company", "search_role", "job_level", "salary_avg"), "company", "freq")
+    named = rows.select("salary_avg", F.col("search_role").alias("role"), F.col("job_level").alias("level"),
+                        rules.band(F.col("freq"), vocab.COMPANY_SIZE_BANDS).alias("size"))
+    means = reports.facet_values(named, ["role", "level", "size"], "salary_avg")
+    return means.select(F.col("facet").alias("by"), F.col("value").alias("key"), r4("mean").alias("mean"))
 
 
 LEVEL_COLUMNS = {v: v.lower().replace(" ", "_").replace("/", "_").replace("-", "_") for v in vocab.LEVEL_ORDER}
