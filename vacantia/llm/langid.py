@@ -78,7 +78,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) over the columns lang and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in gather(batches, "text", 4 << 20):
+        for table in gather(batches, "text", 2 << 20):
             langs = table.column("lang").to_pylist()
             texts = table.column("text").to_pylist()
             for lang in sorted(set(langs)):

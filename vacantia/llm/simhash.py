@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vacantia.operators.skew import lookup
+
 from .common import store
 from .components import components
 
@@ -241,10 +243,11 @@ def links(keys: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 3) -> DataFrame:
     """doc_id, fp, fingerprint (hex) and component_id of every document."""
     rows = store(fingerprints(docs, doc_id, text, size), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     member = components(links(candidate_keys(nodes)))
     tied = member.join(nodes, member["node"] == nodes["fp"]).select("fp", "root", "least")
     named = tied.join(tied.groupBy("root").agg(F.min("least").alias("component")), "root").select("fp", "component")
     entry = nodes.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id"))
-    return rows.join(entry, "fp").select(
+    # A fingerprint of very many copies is answered from a broadcast of at most a thousand such.
+    return lookup(rows, entry, ["fp"], nodes.select("fp", "n")).select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
