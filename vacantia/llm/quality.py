@@ -37,13 +37,14 @@ NONE, GOOD, BAD = 0, 1, 2
 LABELLERS = [
     ("symbols per word", 0.05, 0.25),
     ("bars per word", 0.02, 0.20),
-    ("words with other than letters", 0.12, 0.45),
-    ("marks per byte", 0.05, 0.09),
+    ("words with marks", 0.05, 0.30),
+    ("marks per byte", 0.01, 0.05),
     ("exclamations per word", 0.05, 0.30),
     ("capitals per letter", 0.15, 0.40),
     ("repeats of the word before", 0.02, 0.20),
     ("repeated lines", 0.05, 0.40),
     ("words used before", 0.60, 0.85),
+    ("pairs of words used before", 0.35, 0.60),
 ]
 UPPER, LETTERS, SYMBOLS, EXCLAMATIONS, BARS, MARKS = range(6)
 CLASSES = np.zeros((256, 6))
@@ -51,9 +52,9 @@ CLASSES[65:91, UPPER] = 1
 CLASSES[65:91, LETTERS] = CLASSES[97:123, LETTERS] = CLASSES[128:, LETTERS] = 1
 CLASSES[np.frombuffer(b"#*$%&<>", np.uint8), SYMBOLS] = 1
 CLASSES[ord("!"), EXCLAMATIONS] = CLASSES[ord("|"), BARS] = 1
-CLASSES[33:127, MARKS] = 1 - CLASSES[33:127, LETTERS]
-CLASSES[48:58, MARKS] = 0
-PLAIN = re.compile(rb"(?<!\S)[A-Za-z\x80-\xff]+[.,;:!?]?(?!\S)")
+CLASSES[np.frombuffer(b"#*$%&<>|!~^", np.uint8), MARKS] = 1
+#: Words without such marks, but for a single one of exclamation at the end; numbers and addresses are plain.
+PLAIN = re.compile(rb"(?<!\S)[^\s#*$%&<>|!~^]+!?(?!\S)")
 FALSE_ALARM = 0.002
 GRAM = 4
 BUCKET_BITS = 16
@@ -73,12 +74,13 @@ def votes(body: bytes, data: np.ndarray) -> int:
         count[SYMBOLS] / n,
         count[BARS] / n,
         1 - len(PLAIN.findall(body)) / n if n >= 5 else None,
-        count[MARKS] / len(data) if len(data) >= 100 else None,
+        count[MARKS] / len(data),
         count[EXCLAMATIONS] / n,
         count[UPPER] / count[LETTERS] if count[LETTERS] >= 30 else None,
         sum(map(eq, words, words[1:])) / n if n >= 10 else None,
         1 - len(set(lines)) / len(lines) if len(lines) >= 4 else None,
         _used_before(words) if n >= 20 else None,
+        _used_before(list(zip(words, words[1:]))) if n >= 20 else None,
     )
     pattern = 0
     for value, (_, good, bad) in zip(values, LABELLERS):
@@ -86,8 +88,8 @@ def votes(body: bytes, data: np.ndarray) -> int:
     return pattern
 
 
-def _used_before(words: list[bytes], part: int = 1000) -> float:
-    """Share of words that occurred before in the same part of the text."""
+def _used_before(words: list, part: int = 1000) -> float:
+    """Share of entries that occurred before in the same part of the text."""
     fresh = sum(len(set(words[i:i + part])) for i in range(0, len(words), part))
     return 1 - fresh / len(words)
 

@@ -112,7 +112,10 @@ def pack_blocks(docs: DataFrame, doc_id: str, text: str, kind: Kind) -> tuple[Da
     name = f"blocks_{uuid.uuid4().hex}"
     (rows.mapInArrow(run, "block int, payload binary").repartition(buckets, "block")
      .write.bucketBy(buckets, "block").option("path", new_path(spark, name)).option("compression", "none").saveAsTable(name))
-    return spark.table(name), blocks
+    packed = spark.table(name)
+    # The frame reads the files from now on; its name is of no further use.
+    spark.sql(f"DROP TABLE {name}")
+    return packed, blocks
 
 
 def unpack(payloads: list[bytes]) -> pa.Table:
