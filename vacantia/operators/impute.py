@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import salary, text, vocab
-from ..shared import settle
+from ..shared import settle, settle_partitions
 from .lookups import grouped_medians, median_cascade, with_median_cascade, with_support
 from .quantiles import numbered
 from .skew import key_counts, lookup
@@ -138,7 +138,7 @@ def training_rows(known: DataFrame, profile: DataFrame, spec: ForestSpec, *keep:
     rows = settle(ready)
     total = rows.agg(F.coalesce(F.sum("_cell"), F.lit(0))).first()[0]
     content = [*spec.features, spec.value, *keep, "_copy"]
-    return settle(rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_cell")))).drop("_cell")
+    return settle_partitions(rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_cell")))).drop("_cell")
                   .repartition(max(1, -(-total // TRAINING_PART)), *content).sortWithinPartitions(*content).drop("_copy"))
 
 

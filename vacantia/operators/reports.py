@@ -7,19 +7,21 @@ subquery over the already aggregated counts.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions import vocab
 from ..functions.rules import band, rank_in
 from ..functions.skills import flag_columns
+from ..shared import settle
 from .filters import percentile_trim
 from .quantiles import exact_quantiles
 from .ranking import top_by_count, top_per_group
 from .skew import key_counts
 
+
 def known(df: DataFrame, name: str) -> DataFrame:
     return df.filter(F.col(name).isNotNull())
 
@@ -307,19 +309,32 @@ def step_counts(df: DataFrame, steps: Sequence[tuple[str, Column]]) -> DataFrame
 def step_log(stages: Sequence[tuple[str, DataFrame]]) -> DataFrame:
     """Rows after each stage of a pipeline, and rows the stage removed.
 
-    For stages that are no plain filter, such as dropping repeats.
+    For stages that are no plain filter, such as dropping repeats.  If each
+    stage is made from the one before, observing them while the last one runs
+    counts all of them in one pass (``observed``).
     """
-    log = None
-    previous = None
+    counts = None
     for position, (name, stage) in enumerate(stages):
-        rows = stage.agg(F.count(F.lit(1))).scalar()
-        before = previous if previous is not None else rows
-        line = stage.sparkSession.range(1).select(
-            F.lit(position).alias("position"), F.lit(name).alias("step"),
-            rows.alias("after"), (before - rows).alias("removed"))
-        log = line if log is None else log.unionByName(line)
-        previous = rows
-    return log
+        line = stage.agg(F.count(F.lit(1)).alias("after")).select(F.lit(position).alias("position"), F.lit(name).alias("step"), "after")
+        counts = line if counts is None else counts.unionByName(line)
+    before = F.lag("after").over(Window.orderBy("position"))
+    return counts.select("position", "step", "after", (F.coalesce(before, F.col("after")) - F.col("after")).alias("removed"))
+
+
+def observed(df: DataFrame, steps: Sequence[tuple[str, Callable[[DataFrame], DataFrame]]], name: str = "read") -> tuple[DataFrame, DataFrame]:
+    """Apply steps one after the other, store the result, and log it: (result, rows after each step and rows removed).
+
+    Every step's output is observed while the result is written, so nothing is computed again for the log.
+    """
+    watched = [(name, Observation())]
+    df = df.observe(watched[0][1], F.count(F.lit(1)).alias("n"))
+    for step, apply in steps:
+        watched.append((step, Observation()))
+        df = apply(df).observe(watched[-1][1], F.count(F.lit(1)).alias("n"))
+    result = settle(df)
+    after = [(i, step, seen.get["n"]) for i, (step, seen) in enumerate(watched)]
+    rows = [(i, step, n, after[max(0, i - 1)][2] - n) for i, step, n in after]
+    return result, df.sparkSession.createDataFrame(rows, "position int, step string, after bigint, removed bigint")
 
 
 def skill_trend(df: DataFrame, time: str = "scraped_at", skills: str = "extracted_skills",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,6 +38,12 @@ def hot_keys(counts: DataFrame, n: str = "n") -> DataFrame:
     return counts.filter(F.col(n) >= F.lit(HOT_SHARE) * total)
 
 
+def per_distinct(df: DataFrame, keys: Sequence[str], add: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``add``'s columns, computed once for each distinct combination of the keys and looked up by the rows."""
+    counts = key_counts(df, keys)
+    return lookup(df, add(counts.select(*keys)), keys, counts, null_safe=True)
+
+
 def _has_map(kind: DataType) -> bool:
     if isinstance(kind, ArrayType):
         return _has_map(kind.elementType)

@@ -373,7 +373,7 @@ UNION ALL SELECT 1, 'distinct text', (SELECT count(DISTINCT text) FROM documents
 UNION ALL SELECT 2, 'long enough', (SELECT count(DISTINCT text) FROM documents WHERE length(text) >= 200),
   (SELECT count(DISTINCT text) FROM documents WHERE length(text) < 200)""")
 def _(spark, d):
-    read = table(spark, d, "documents")
-    distinct = dedup.dedup_subset(read, ["doc_id"], ["text"])
-    return reports.step_log([("read", read), ("distinct text", distinct),
-                             ("long enough", filters.min_length(distinct, "text"))])
+    _, log = reports.observed(table(spark, d, "documents"), [
+        ("distinct text", lambda df: dedup.dedup_subset(df, ["doc_id"], ["text"])),
+        ("long enough", lambda df: filters.min_length(df, "text"))])
+    return log

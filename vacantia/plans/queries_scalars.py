@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, salary, similarity, skills, text, vocab
 from ..operators import impute, lookups, reports
+from ..operators.skew import per_distinct
 from .queries_filters import CASCADE_SQL, SPARSE, _sparse, lexicon_sql
 from .queries_reports import sized, SIZED_SQL
 from .registry import (bands_case_sql, patterns_case_sql, query, r4, values_sql, words_case_sql)
@@ -58,8 +59,9 @@ SELECT id, CASE WHEN sim >= {vocab.ROLE_SIMILARITY_FLOOR} THEN role ELSE 'Other'
                 CASE WHEN sim >= {vocab.ROLE_SIMILARITY_FLOOR} THEN role ELSE 'Other' END) AS standardized_role
 FROM jobs LEFT JOIN near USING (title)""", tfidf_sql("jobs").strip()))
 def _(spark, d):
-    df = similarity.with_role_by_similarity(jobs(spark, d).select("id", "title"), "title")
-    df = similarity.with_standard_role(df, "title")
+    # Titles repeat: each is scored once.
+    df = per_distinct(jobs(spark, d).select("id", "title"), ["title"], lambda titles: similarity.with_standard_role(
+        similarity.with_role_by_similarity(titles, "title"), "title"))
     return df.select("id", "similar_role", F.round("similarity", 6).alias("similarity"), "standardized_role")
 
 

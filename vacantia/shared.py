@@ -37,7 +37,14 @@ def new_path(spark: SparkSession, name: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once and cut the lineage with a reliable checkpoint."""
+    """Compute once: write the table to the shared folder and read it back, which cuts the lineage."""
+    path = new_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle_partitions(df: DataFrame) -> DataFrame:
+    """Like ``settle``, by a reliable checkpoint that keeps partitions and their order."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
