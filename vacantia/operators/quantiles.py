@@ -18,7 +18,7 @@ from ..shared import settle
 from .skew import same
 
 # Rows of a range; ranges are cut by a sample, so a part may be somewhat larger.
-PART_ROWS = 16_384
+PART_ROWS = 32_768
 PART = "_part"
 
 
