@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,18 +65,11 @@ def row_ranges(starts: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
         first = last
 
 
-def gather(batches: Iterable[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.Table]:
-    """Join batches until their texts hold about so many bytes."""
-    held, size = [], 0
-    for batch in batches:
-        if batch.num_rows:
-            held.append(batch)
-            size += batch.column(column).nbytes
-            if size >= limit:
-                yield pa.Table.from_batches(held).combine_chunks()
-                held, size = [], 0
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks()
+def stretches(batch: pa.RecordBatch, column: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch whose texts hold about so many bytes each."""
+    starts = text_slices(batch.column(column))[1]
+    for first, last in row_ranges(starts, limit):
+        yield batch.slice(first, last - first)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:

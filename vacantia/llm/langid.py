@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from .common import gather, mixed, remainder, store
+from .common import mixed, remainder, store, stretches
 
 SIZE = 5
 UNKNOWN = "und"
@@ -78,9 +78,8 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     """(lang, gram, n) over the columns lang and text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in gather(batches, "text", 2 << 20):
-            langs = table.column("lang").to_pylist()
-            texts = table.column("text").to_pylist()
+        for langs, texts in ((x.column(0).to_pylist(), x.column(1).to_pylist())
+                             for batch in batches for x in stretches(batch, 1, 4 << 20)):
             for lang in sorted(set(langs)):
                 grams, begins, ends = grams_of([t for t, x in zip(texts, langs) if x == lang])
                 inside = np.zeros(len(grams) + 1, dtype=np.int8)
@@ -163,17 +162,10 @@ def predicted(text: Column, filters: Filters, spark) -> Column:
         filters, rates = shipped.value
         for column in columns:
             names, scores = [], []
-            texts = column.to_pylist()
-            at = 0
-            while at < len(texts):
-                size, end = 0, at
-                while end < len(texts) and size < 1 << 20:
-                    size += len(texts[end] or "")
-                    end += 1
-                some, share = decide(texts[at:end], filters, rates)
+            for part in stretches(pa.RecordBatch.from_arrays([column], ["text"]), 0, 1 << 20):
+                some, share = decide(part.column(0).to_pylist(), filters, rates)
                 names += some
                 scores.append(share)
-                at = end
             yield pa.StructArray.from_arrays(
                 [pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())], ["lang", "score"])
 
