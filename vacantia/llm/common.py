@@ -41,12 +41,6 @@ def parts(total: int, each: int, least: int = 1) -> int:
     return max(least, -(-int(total) // each))
 
 
-def packed(starts: np.ndarray, data: bytes | memoryview) -> pa.BinaryArray:
-    """A binary column whose values are consecutive slices of one buffer."""
-    offsets = np.asarray(starts, dtype="<i4")
-    return pa.BinaryArray.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)])
-
-
 def text_slices(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a text column and where each text starts (one entry more); null is empty."""
     column = column.cast(pa.large_string()).fill_null("")
