@@ -129,6 +129,21 @@ def test_packing_of_documents(spark):
     assert packed_rightly(got, [r["text"] for r in docs.collect()], 2048) == best_fit_decreasing([r["length"] for r in got], 2048)
 
 
+def test_packing_matches_added_tokens_in_text(spark):
+    """Ids are those of the JSON file's tokenizer as it is, which finds its added token inside texts."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    oracle = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    texts = ["one <|endoftext|> two", "<|endoftext|>", "a  <|endoftext|><|endoftext|>  b\n", "<|endoftext| > <|ENDOFTEXT|>", "plain"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pieces(df).collect()}
+    for i, text in enumerate(texts):
+        ids = [*oracle.encode(text, add_special_tokens=False).ids, packing.END]
+        assert got[i] == (len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+    assert got[0][0] == 5
+
+
 def test_packing_of_nothing(nothing):
     assert packing.best_fit_pack(nothing).count() == 0
 

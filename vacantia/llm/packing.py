@@ -15,8 +15,10 @@ from __future__ import annotations
 
 import base64
 import bisect
+import json
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,23 @@ END = 0
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def token_encoder(path: str, pattern: str):
-    """Byte-pair encoder of a rank file; texts of special tokens are ordinary text."""
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizer's JSON file; they are matched inside texts, too."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in found):
+        raise ValueError("added tokens must be matched as they stand")
+    return {t["content"]: t["id"] for t in found}
+
+
+def token_encoder(path: str, pattern: str, added: dict[str, int]):
+    """Byte-pair encoder of a rank file; ``added`` tokens are found in the text first."""
     import tiktoken
 
     with open(path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+    return partial(encoding.encode, allowed_special="all")
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -46,13 +58,14 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def pieces(docs: DataFrame, capacity: int = 2048, doc_id: str = "doc_id", text: str = "text",
-           ranks: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+           ranks: str = "byte_bpe_50k.tiktoken", tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
     """Tokenise whole documents and cut the longer ones; one row per piece."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        encode = token_encoder(public_tokenizers.path(ranks), public_tokenizers.PATTERN).encode_ordinary
+        added = added_tokens(public_tokenizers.path(tokenizer))
+        encode = token_encoder(public_tokenizers.path(ranks), public_tokenizers.PATTERN, added)
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for key, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
