@@ -98,6 +98,21 @@ def test_lm_beats_the_base(spark):
     assert got[0] > got[1]
 
 
+def test_lm_trains_on_every_training_document(spark, monkeypatch):
+    """Also on a corpus of more than 400,000 tokens, each document in one round."""
+    seen, fit = [], lm.fit
+
+    def spy(model, texts):
+        seen.extend(r["text"] for r in texts.collect())
+        fit(model, texts)
+
+    monkeypatch.setattr(lm, "fit", spy)
+    df = spark.range(1500).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.repeat(F.lit(" green river"), 250)).alias("text"))
+    training = ~lm.held_out(F.col("doc_id"))
+    assert lm.score_documents(df, training).first()["train_tokens"] > 400_000
+    assert Counter(seen) == Counter(r["text"] for r in df.where(training).collect())
+
+
 def test_lm_of_awkward_texts(spark, awkward, nothing):
     df, rows = awkward
     got = lm.score_documents(df, ~lm.held_out(F.col("doc_id")), share=1, rounds=1).collect()

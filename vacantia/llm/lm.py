@@ -10,9 +10,9 @@ words never seen.  So every text has a proper likelihood.
 Counts, totals and vocabulary come from all training rows.  The network is
 trained by truncated backpropagation through windows that carry the state
 along a document, on every task's own rows: a round starts all tasks from the
-same weights and averages theirs by tokens.  Gradient steps are taken on
-``share`` of the training documents, chosen by the hash of the id, so training
-grows with the corpus.  Scoring carries the state through all windows of a
+same weights and averages theirs by tokens.  Every training document gives
+gradients in one of the rounds, chosen by the hash of the id, at every size of
+the corpus.  Scoring carries the state through all windows of a
 document, from its first word to its end.
 
 The vocabulary and the table of frequent counts have fixed sizes and are the
@@ -387,11 +387,11 @@ def fit(model: Model, texts: DataFrame) -> None:
 
 
 def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", shape: Shape = Shape(),
-                    rounds: int = 2, share: int = 8) -> DataFrame:
+                    rounds: int = 2, share: int = 1) -> DataFrame:
     """Train on the rows where ``training`` holds and score every row.
 
-    Gradients use one of ``share`` training documents, a different part in
-    each round.  Returns doc_id, training, n_tokens, n_known, train_tokens,
+    Every training document gives gradients in one of the rounds; a ``share``
+    above 1 uses only one in so many of them.  Returns doc_id, training, n_tokens, n_known, train_tokens,
     base_score and score (logarithms to base ten).
     """
     spark = docs.sparkSession
@@ -399,8 +399,6 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
     learned = rows.where("training")
     counts = store(word_counts(learned.select("text")), "counts")
     model = count_model(counts, shape)
-    # A corpus of less than 200,000 tokens a share gives more of its documents.
-    share = max(1, min(share, model.train_tokens // 200_000))
     for number in range(rounds):
         part = F.pmod(F.xxhash64("doc_id"), F.lit(share * rounds)) == number
         fit(model, learned.where(part).select("text"))
