@@ -113,6 +113,11 @@ def test_lm_trains_on_every_training_document(spark, monkeypatch):
     assert Counter(seen) == Counter(r["text"] for r in df.where(training).collect())
 
 
+def test_lm_repeats_only_what_is_all_of_a_task():
+    """The remainder after a task's full groups is passed once."""
+    assert lm.passes(200, 500_000) == 1 and lm.passes(200, 0) == 500 and lm.passes(500_000, 0) == 1
+
+
 def test_lm_of_awkward_texts(spark, awkward, nothing):
     df, rows = awkward
     got = lm.score_documents(df, ~lm.held_out(F.col("doc_id")), share=1, rounds=1).collect()

@@ -346,6 +346,14 @@ def count_model(counts: DataFrame, shape: Shape, frequent: int = 65_536) -> Mode
                  np.append(np.where(is_rare, np.log10((c + 0.5) / rare_total), 0.0), 0.0), n, v, rare_total)
 
 
+def passes(size: int, seen: int) -> int:
+    """How often a task trains on texts of so many tokens, having seen others before.
+
+    A few documents alone would hardly move the weights: they are passed several times.
+    """
+    return 1 if seen else parts(100_000, max(1, size))
+
+
 def fit(model: Model, texts: DataFrame) -> None:
     """One round: every task trains on its own texts; the weights are averaged by tokens."""
     spark = texts.sparkSession
@@ -359,8 +367,7 @@ def fit(model: Model, texts: DataFrame) -> None:
         seen, held, size = 0, [], 0
 
         def learn() -> None:
-            # A few documents alone would hardly move the weights: they are passed several times.
-            for _ in range(parts(100_000, max(1, size))):
+            for _ in range(passes(size, seen)):
                 train(own.weights, own.vocabulary, held, own.shape, squares)
 
         for batch in batches:
