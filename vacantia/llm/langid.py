@@ -8,7 +8,7 @@ A text is given to the language with the largest count of its n-grams, after
 taking off what that filter's false-positive rate alone would give.
 
 An n-gram enters a filter if it makes up at least ``rare`` of its language's
-n-grams, so a filter holds at most 1 / rare of them and the broadcast table
+n-grams and occurs in at least ``least_docs`` of its documents, so a filter holds at most 1 / rare of them and the broadcast table
 has a fixed size, whatever the corpus.
 
 Defined cases: null text or text without a letter is ``und`` with score 0;
@@ -74,8 +74,22 @@ def grams_of(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return grams, ends - [len(b) for b in bodies], ends - SIZE + 1
 
 
-def gram_counts(docs: DataFrame) -> DataFrame:
-    """(lang, gram, n) over the columns lang and text."""
+def gram_counts(docs: DataFrame, texts_too: bool = False) -> DataFrame:
+    """(lang, gram, n, docs) over the columns lang and text; docs is the number of texts that hold the n-gram, if asked for."""
+
+    def texts_of(grams: np.ndarray, used: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """Per distinct n-gram: how many texts hold it."""
+        starts = np.zeros(len(grams), dtype=np.int32)
+        np.add.at(starts, begins[begins < len(grams)], 1)
+        text, grams = np.cumsum(starts, dtype=np.int32)[used], grams[used]
+        order = np.argsort(grams, kind="stable")
+        grams, text = grams[order], text[order]
+        first = np.ones(len(grams), dtype=bool)
+        first[1:] = grams[1:] != grams[:-1]
+        at = np.flatnonzero(first)
+        # Texts of an n-gram come in order, so each begins where its number changes.
+        first[1:] |= text[1:] != text[:-1]
+        return np.add.reduceat(first, at, dtype=np.int64) if len(at) else np.zeros(0, np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for langs, texts in ((x.column(0).to_pylist(), x.column(1).to_pylist())
@@ -85,18 +99,19 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 inside = np.zeros(len(grams) + 1, dtype=np.int8)
                 np.add.at(inside, begins[begins < len(grams)], 1)
                 np.add.at(inside, ends[ends <= len(grams)], -1)
-                grams = grams[(np.cumsum(inside[:-1]) > 0) & (grams != BLANK)]
-                found, n = np.unique(grams, return_counts=True)
+                used = (np.cumsum(inside[:-1]) > 0) & (grams != BLANK)
+                found, n = np.unique(grams[used], return_counts=True)
+                held = texts_of(grams, used, begins) if texts_too else np.ones(len(found), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(n, pa.int64())],
-                    ["lang", "gram", "n"])
+                    [pa.array([lang] * len(found), pa.string()), pa.array(found.view(np.int64)), pa.array(n, pa.int64()), pa.array(held, pa.int64())],
+                    ["lang", "gram", "n", "docs"])
 
-    return (docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long")
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    return (docs.select("lang", "text").mapInArrow(run, "lang string, gram long, n long, docs long")
+            .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
 
 def learn(docs: DataFrame, lang: str = "lang", text: str = "text", size: int = 1 << 21, hashes: int = 3,
-          rare: float = 1e-6) -> Filters:
+          rare: float = 1e-6, least_docs: int = 1) -> Filters:
     """Filters of the languages of the given rows.
 
     The table has ``size`` bytes for every eight languages; only it and one
@@ -104,7 +119,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", size: int = 1
     """
     spark = docs.sparkSession
     known = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text")).where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = store(gram_counts(known), "grams")
+    counts = store(gram_counts(known, least_docs > 1), "grams")
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     languages = sorted(totals)
     if not languages:
@@ -119,7 +134,7 @@ def learn(docs: DataFrame, lang: str = "lang", text: str = "text", size: int = 1
                     [pa.array((i // 8).astype(np.int32)), pa.array(at.astype(np.int32)), pa.array((1 << i % 8).astype(np.int32))],
                     ["slot", "at", "bits"])
 
-    bits = (counts.join(F.broadcast(number), "lang").where("n >= least").select("i", "gram")
+    bits = (counts.join(F.broadcast(number), "lang").where((F.col("n") >= F.col("least")) & (F.col("docs") >= least_docs)).select("i", "gram")
             .mapInArrow(run, "slot int, at int, bits int").groupBy("slot", "at").agg(F.bit_or("bits").alias("bits")))
     table = np.zeros((-(-len(languages) // 8), size), dtype=np.uint8)
     found = bits.toArrow()
