@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automata, langid, lm, packing, pieces, quality, rules, simhash, suffixes, topk
+from . import automata, langid, lm, packing, pieces, quality, rules, simhash, suffixes, topk, variants, whitening
 from .common import documents
 from .registry import QUERIES, SQL, query
 
@@ -63,3 +63,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_substring_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return automata.digest(documents(spark, sf_dir), 20)
+
+
+@query("op11_spelling_variants")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(variants.counts(documents(spark, sf_dir)))
+
+
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
