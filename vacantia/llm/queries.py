@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import automata, langid, lm, packing, pieces, quality, rules, simhash, suffixes, topk, variants, whitening
+from . import automata, langid, lm, multiindex, packing, pieces, quality, rules, simhash, suffixes, topk, variants, whitening
 from .common import documents
 from .registry import QUERIES, SQL, query
 
@@ -73,3 +73,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_embedding_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+@query("op13_embedding_near_dedup")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiindex.near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
