@@ -1,6 +1,7 @@
 """Readers, writers, pipelines and the collection stream, in temporary folders."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ def delimited(tmp_path):
 
 
 def test_delimited(spark, delimited):
-    got = readers.read_delimited(spark, delimited, ["id", "title", "company"]).collect()
+    got = readers.read_delimited(spark, delimited, ["id", "title", "company"]).orderBy("id").collect()
     assert [tuple(r) for r in got] == [
         ("1", "plain", "x"), ("2", "semi;colon", "x"), ("3", 'double "quote"', "x"), ("4", "two\nlines", "x"),
         ("6", "short", None), ("7", None, "x"), ("8", None, 'last "one"')]
@@ -68,6 +69,62 @@ def test_audit_of_a_split_file(spark, tmp_path):
     assert [r[1] for r in whole] == [i + 2 for i in range(400) if i % 7 == 0 and i % 3]
 
 
+def spark_rows(spark, path, columns, sep):
+    """Spark's own reader of quoted text, one task for each file."""
+    schema = ", ".join(f"{c} string" for c in columns)
+    return spark.read.schema(schema).options(header=True, sep=sep, quote='"', escape='"', multiLine=True, mode="PERMISSIVE").csv(path)
+
+
+@pytest.mark.parametrize("end, part", [("\n", 997), ("\r\n", 613), ("\n", 1 << 20)])
+def test_quoted_text_is_read_in_parts(spark, tmp_path, end, part):
+    """Random quotes, separators, blanks and line breaks: as Spark's reader of one task, in however many parts."""
+    rng = random.Random(part)
+
+    def field():
+        kind = rng.randrange(8)
+        if kind < 3:
+            return "".join(rng.choice("ab é") for _ in range(rng.randrange(6)))
+        if kind == 3:
+            return rng.choice(['3" pipe', 'a"b"', 'x""y', 'say ""no""', "q'"])
+        body = "".join(rng.choice(["a", "b", ";", '""', end, " ", "é"]) for _ in range(rng.choice([0, 3, 9, 400 if kind == 7 else 5])))
+        return f'"{body}"' + (rng.choice(["", "tail", " "]) if kind == 6 else "")
+
+    for name in ("a", "b"):
+        rows = [";".join([f"{name}{i}", *(field() for _ in range(rng.choice([1, 2, 2, 2])))]) for i in range(300)]
+        rows = [r for row in rows for r in ([row, ""] if rng.random() < 0.1 else [row])]
+        (tmp_path / f"{name}.csv").write_text("\ufeffid;x;y" + end + end.join(rows) + rng.choice(["", end]), newline="", encoding="utf-8")
+    path = str(tmp_path / "*.csv")
+    wanted = sorted(map(tuple, spark_rows(spark, path, ["id", "x", "y"], ";").collect()), key=str)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", part)
+    try:
+        read = readers.read_delimited(spark, path, ["id", "x", "y"], missing=())
+        got = sorted(map(tuple, read.collect()), key=str)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == wanted
+    assert any(v and "\n" in v for r in got for v in r) and len(got) == 600
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    """A record across three parts, and at least eight tasks for one file."""
+    rows = [f'{i};"a ""b"";\n{"x" * (60_000 if i == 50 else 40)}";y' for i in range(3000)]
+    (tmp_path / "one.csv").write_text("id;title;company\n" + "\n".join(rows) + "\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 20_000)
+    try:
+        assert readers._lines(spark, str(tmp_path / "one.csv"), lineSep="\n").rdd.getNumPartitions() >= 8
+        got = {r["id"]: r["title"] for r in readers.read_delimited(spark, str(tmp_path / "one.csv"), ["id", "title", "company"]).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == {str(i): f'a "b";\n{"x" * (60_000 if i == 50 else 40)}' for i in range(3000)}
+
+
+def test_a_quote_that_is_never_closed_is_an_error(spark, tmp_path):
+    (tmp_path / "u.csv").write_text("id;title\n1;a\n2;\"open\n" + "3;more text\n" * 400)
+    with pytest.raises(Exception, match="u.csv, record 3"):
+        readers.quoted_records(spark, str(tmp_path / "u.csv"), longest=1000).collect()
+    assert readers.quoted_records(spark, str(tmp_path / "u.csv")).count() == 3
+
+
 def test_missing_value_texts(spark, tmp_path):
     (tmp_path / "m.csv").write_text("id;company\n1;N/A\n2;null\n3;None\n4;nan\n5;\n6;Nada\n")
     path = str(tmp_path / "m.csv")
@@ -100,6 +157,18 @@ def test_glob(spark, tmp_path):
         ("checkpoint_a.csv", "1", "a, b", None), ("checkpoint_a.csv", "2", None, None), ("checkpoint_b.csv", None, "t", "c")]
 
 
+def test_glob_of_many_headers(spark, tmp_path):
+    """Quoted names, other orders, names twice, and short and long rows, in one pass."""
+    (tmp_path / "checkpoint_a.csv").write_text('\ufeffid,"ti,tle",id\n1,x,2\n2\n3,"two\nlines",4,surplus\n')
+    (tmp_path / "checkpoint_b.csv").write_text('\n\n"ti,tle",id\n\ny,5\nNA,6\n')
+    (tmp_path / "checkpoint_c.csv").write_text("company\nz\n")
+    got = readers.read_glob(spark, str(tmp_path / "checkpoint_*.csv"))
+    assert set(got.columns) == {"id", "ti,tle", "company", "_source", "_row"}
+    rows = {(r["_source"][-5:], r["_row"]): (r["id"], r["ti,tle"], r["company"]) for r in got.collect()}
+    assert rows == {("a.csv", 2): ("1", "x", None), ("a.csv", 3): ("2", None, None), ("a.csv", 4): ("3", "two\nlines", None),
+                    ("b.csv", 5): ("5", "y", None), ("b.csv", 6): ("6", None, None), ("c.csv", 2): (None, None, "z")}
+
+
 def test_glob_tells_what_it_skips(spark, tmp_path):
     (tmp_path / "checkpoint_a.csv").write_text("id\n1\n")
     (tmp_path / "checkpoint_b.csv").write_text("\n\n")

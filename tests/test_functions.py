@@ -1,12 +1,13 @@
 """Column expressions on hand-made values."""
 
+import ast
 import math
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
-from vacantia.functions import rules, salary, similarity, skills, text, vocab
+from vacantia.functions import html, rules, salary, similarity, skills, text, vocab
 
 NBSP = " "
 
@@ -48,6 +49,29 @@ def test_parse_list(apply, raw, want):
     assert apply(text.parse_list, [raw]) == [want]
 
 
+LITERALS = [
+    "['python', None, 'sql']", "('a','b')", "['a',]", "['a']", "('a')", "('a',)", "()", "[]", "[,]", "['a',,]", "['a' 'b', 'c']", "[1, -2, +3, 0, 1_000]",
+    "[1.5, .5, 2., 1e3]", "[True, False, None]", "['a', ['b']]", "['a', x]", "'a', 'b'", "  ['a'] \n", "[\n 'a' ,\n\t'b'\n]", "['a", "['a'] 'b'", "['a\nb']",
+    r"['a\nb\t\\', '\'', '\x41\u00e9\101\U0001F600', '\d']", r"[r'a\nb', u'c']", r"['\x4']", r"['\u12']", "{'a': 1}", "['a\\\nb']", "['it\"s', \"it's\"]",
+    "['', \"\"]", "[007]", "['a'", "'a']", "None", "5", "['[x]', '(y', ',']", "['日本', 'é😀']", "[1 2]", "['a' 1]", "[__import__('os')]"]
+
+
+@pytest.mark.parametrize("raw", LITERALS)
+def test_parse_list_as_a_literal(apply, raw):
+    """As the interpreter reads it; what is no flat list or tuple is empty."""
+    try:
+        value = ast.literal_eval(raw)
+    except (ValueError, SyntaxError):
+        value = []
+    flat = isinstance(value, (list, tuple)) and all(x is None or isinstance(x, (str, bool, int, float)) for x in value)
+    assert apply(text.parse_list, [raw]) == [[None if x is None else str(x) for x in value] if flat else []]
+
+
+def test_parse_list_of_many_items(apply):
+    items = [f"it's {i}" for i in range(5000)]
+    assert apply(text.parse_list, [repr(items)]) == [items]
+
+
 def test_parse_list_lenient(apply):
     assert apply(text.parse_list_lenient, ["['a', \"b\"]", "a, ,b", "[]", None, "['react native']"]) == [
         ["a", "b"], ["a", "b"], [], [], ["react native"]]
@@ -90,12 +114,47 @@ def test_page_fields(apply):
         "Jakarta, Bandung", ""]
 
 
-def test_longest_block(apply):
+def test_longest_text(apply):
     a, b = "a" * 51, "b" * 60
     pages = [f"<div>{a}</div><div>{b}</div><div>{'c' * 60}</div>", f"<div>{'a' * 50}</div><p>{'x' * 60}</p><p>{'y' * 40}</p>",
-             f"<div>{'a' * 50}</div><p>{'x' * 60}</p><p>{'y' * 39}</p>"]
-    got = apply(lambda c: text.longest_block(c, "<div>(.*?)</div>", "<p>(.*?)</p>"), pages)
-    assert got == [b, "x" * 60 + "\n" + "y" * 40, ""]
+             f"<div>{'a' * 50}</div><p>{'x' * 60}</p><p>{'y' * 39}</p>", None]
+    assert apply(lambda c: html.longest_text(c, ["div"], "p"), pages) == [b, "x" * 60 + "\n" + "y" * 40, "", ""]
+
+
+def test_nested_elements(apply):
+    pages = ["<div><div>short</div>long text</div>", "<div id=a>x<br>y<div class='k jd z'>in<p>one<p>two</div>z", "<ul><li>a<ul><li>b</ul><li>c</ul>",
+             "</div>stray<div>open <b>bold</div>after</b>", "<table><tr><td>1<td>2<tr><td><table><tr><td>in</table>out</table>",
+             "<DIV>a<img src='x'>b<hr/><!-- <div>no</div> --><script>'<div>no'</script></DIV>", "no tags < at all", "", None]
+    wanted = [[["short long text", "short"], []], [["x y in one two z", "in one two"], []], [[], []], [["open bold"], []],
+              [[], ["1", "2", "in out", "in"]], [["a b"], []], [[], []], [[], []], [[], []]]
+    assert apply(lambda c: html.texts(c, ["div", "td"]), pages) == wanted
+    assert apply(lambda c: html.texts(c, ["li"]), [pages[2]]) == [[["a b", "b", "c"]]]
+
+
+@pytest.mark.parametrize("selector, want", [
+    ('[data-x="1"]', ["one"]), ("div", ["one", "two deep", "deep"]), ("#it", ["two deep"]), (".big", ["deep"]), ("div.small.big", ["deep"]),
+    ('div[id*="t"]', ["two deep"]), ("section div", ["two deep", "deep"]), ("section div:not([id])", ["deep"]), ("span, div.big", ["deep", "three"]),
+    ("#it div", ["deep"]), ("div section", []), ("[data-x]", ["one", "three"]), ('[data-x="2"]', []), (".bi", []), ("*.big", ["deep"])])
+def test_selectors(apply, selector, want):
+    page = ('<div data-x="1">one</div><section><div id="it">two <div class=\'small big\'>deep</div></div></section>'
+            '<span data-x=3 title="a > b">three</span>'.replace(' title="a > b"', ""))
+    assert apply(lambda c: html.texts(c, [selector]), [page]) == [[want]]
+
+
+def test_selectors_are_tried_in_order(apply):
+    long = "w" * 60
+    page = f'<div class="outer"><div id="jobDescription">{long}</div><p>{"x" * 120}</p></div>'
+    assert apply(lambda c: html.longest_text(c, ['[data-a="none"]', "#jobDescription", ".outer"], "p"), [page]) == [long]
+    assert apply(lambda c: html.longest_text(c, ["h2", "h3"], "p"), [page]) == ["x" * 120]
+    assert apply(lambda c: html.first_text(c, ["h1", "p", "div"]), [page, "<h1> </h1><p></p><div>d</div>", "<h1></h1><h1>second</h1>"]) == ["x" * 120, "d", "second"]
+    with pytest.raises(ValueError):
+        html.texts(F.lit(""), ["div > p"])
+
+
+def test_many_elements_of_a_long_page(apply):
+    page = "<div>" * 300 + "deep" + "</div>" * 300 + "".join(f"<p>{i}" for i in range(700))
+    got = apply(lambda c: html.texts(c, ["div", "p"]), [page])[0]
+    assert got[0] == ["deep"] * 300 and got[1] == [str(i) for i in range(700)]
 
 
 def test_role_by_keyword(apply):

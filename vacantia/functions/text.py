@@ -54,10 +54,87 @@ def clip(c: Column, low: float = vocab.SALARY_LOW, high: float = vocab.SALARY_HI
     return F.when(c.isNotNull(), F.least(F.greatest(c, F.lit(float(low))), F.lit(float(high))))
 
 
+# Pieces of a written list: strings with their prefix, numbers, names, marks, white space, anything else.
+_STRING = r"""[uUrR]?(?:'[^'\\\n]*+(?:\\.[^'\\\n]*+)*+'|"[^"\\\n]*+(?:\\.[^"\\\n]*+)*+")"""
+_NUMBER = r"[+-]?(?:\d[\d_]*(?:\.[\d_]*)?|\.\d[\d_]*)(?:[eE][+-]?\d+)?(?![\w.'\"])"
+LITERAL = rf"(?s){_STRING}|{_NUMBER}|[A-Za-z_]\w*|\s+|."
+WHOLE = r"^[+-]?(?:0[0_]*|[1-9]\d*(?:_\d+)*)$"
+REAL = r"^[+-]?(?:\d+(?:_\d+)*)?(?:\.(?:\d+(?:_\d+)*)?)?(?:[eE][+-]?\d+)?$"
+# What a letter after a backslash stands for.
+ESCAPES = {"n": "\n", "t": "\t", "r": "\r", "b": "\b", "f": "\f", "v": "\v", "a": "\a", "\\": "\\", "'": "'", '"': '"', "\n": ""}
+ESCAPE = r"(?s)[^\\]+|\\(?:x[0-9a-fA-F]{2}|u[0-9a-fA-F]{4}|U[0-9a-fA-F]{8}|[0-7]{1,3}|.)"
+
+
+def _unescaped(piece: Column) -> Column:
+    """The text that a piece of a string stands for; null for a broken escape."""
+    mark, digits = F.substring(piece, 2, 1), F.substr(piece, F.lit(3))
+    wide = F.lpad(F.conv(F.when(mark.rlike("[0-7]"), F.conv(F.substr(piece, F.lit(2)), 8, 16)).otherwise(digits), 16, 16), 8, "0")
+    out = F.when(~piece.startswith("\\"), piece)
+    for letter, text in ESCAPES.items():
+        out = out.when(mark == letter, F.lit(text))
+    out = out.when(mark.isin("x", "u", "U") & (F.length(piece) == 2), F.lit(None).cast("string"))
+    return out.when(mark.rlike("[xuU0-7]"), F.decode(F.unhex(wide), "UTF-32")).otherwise(piece)
+
+
+def _string(token: Column) -> Column:
+    """The text that a written string stands for; null if an escape in it is broken."""
+    raw = token.rlike("^[rR]")
+    body = F.regexp_replace(token, r"(?s)^[uUrR]?['\"]|['\"]$", "")
+
+    def joined(pieces: Column) -> Column:
+        return F.when(~F.exists(pieces, lambda x: x.isNull()), F.array_join(pieces, ""))
+    return F.when(raw | ~token.contains("\\"), body).otherwise(
+        once(F.transform(F.regexp_extract_all(body, F.lit(ESCAPE), F.lit(0)), _unescaped), joined))
+
+
+def _kind(token: Column) -> Column:
+    """s for a string, n for a number or name that is a value, the mark itself, x for what no list may hold."""
+    number = token.rlike(WHOLE) | (token.rlike(REAL) & token.rlike(r"[\d]") & token.rlike("[.eE]"))
+    return (F.when(token.rlike(f"(?s)^{_STRING}$"), "s").when(token.isin("[", "]", "(", ")", ","), token)
+            .when(token.isin("None", "True", "False") | number, "n").otherwise("x"))
+
+
+def _value(token: Column, kind: Column) -> Column:
+    bare = F.regexp_replace(token, "[_+]", "")
+    return (F.when(kind == "s", _string(token)).when(token.isin("True", "False"), token)
+            .when(token.rlike(WHOLE), F.regexp_replace(bare, "^-?0+$", "0"))
+            .when((kind == "n") & (token != "None"), F.regexp_replace(token, "_", "").try_cast("double").cast("string")))
+
+
 def parse_list(c: Column) -> Column:
-    """``"['a', 'b']"`` to an array; empty, ``nan`` and broken text to ``[]``."""
-    parsed = F.from_json(c, "array<string>", {"allowBackslashEscapingAnyCharacter": "true"})
-    return F.coalesce(parsed, F.array().cast("array<string>"))
+    """A list or tuple as it is written in source text to an array; anything else to ``[]``.
+
+    Items are strings (either quote, escapes, ``r`` and ``u`` prefixes,
+    neighbours joined), decimal numbers, ``True`` and ``False`` as texts, and ``None``
+    as null; a comma may trail.  Nested lists, other names and broken text
+    make the whole value ``[]``.
+    """
+    empty = F.array().cast("array<string>")
+    is_value = lambda x: x["kind"].isin("s", "n")
+
+    def plain(values: Column) -> Column:
+        return F.transform(F.filter(values, is_value), lambda x: x["value"])
+
+    def joined(values: Column) -> Column:
+        """Neighbouring strings are one."""
+        def add(state: Column, x: Column) -> Column:
+            items = state["items"]
+            last = F.concat(F.slice(items, F.lit(1), F.size(items) - 1), F.array(F.concat(F.element_at(items, -1), x["value"])))
+            more = F.when(~is_value(x), items).when((x["kind"] == "s") & (state["before"] == "s"), last).otherwise(F.concat(items, F.array(x["value"])))
+            return F.struct(more.alias("items"), x["kind"].alias("before"))
+        return F.aggregate(values, F.struct(empty.alias("items"), F.lit("").alias("before")), add, lambda s: s["items"])
+
+    def read(values: Column) -> Column:
+        kinds = F.array_join(F.transform(values, lambda x: x["kind"]), "")
+        whole = F.regexp_replace(kinds, "s+|n", "e")
+        fits = whole.rlike(r"^\[(?:e,)*+e?\]$") | whole.rlike(r"^\((?:(?:e,)++e?)?\)$") | whole.rlike(r"^(?:e,)++e?$")
+        broken = F.exists(values, lambda x: (x["kind"] == "s") & x["value"].isNull())
+        return F.when(fits & ~broken, F.when(kinds.contains("ss"), joined(values)).otherwise(plain(values))).otherwise(empty)
+
+    tokens = F.filter(F.regexp_extract_all(c, F.lit(LITERAL), F.lit(0)), lambda t: ~t.rlike(r"^\s+$"))
+    kinds = F.transform(tokens, lambda t: F.struct(_kind(t).alias("kind"), t.alias("token")))
+    values = F.transform(kinds, lambda x: F.struct(x["kind"].alias("kind"), _value(x["token"], x["kind"]).alias("value")))
+    return F.coalesce(once(values, read), empty)
 
 
 def parse_list_lenient(c: Column) -> Column:
@@ -138,20 +215,3 @@ def all_matches(html: Column, pattern: str) -> Column:
 
 def join_matches(html: Column, pattern: str, sep: str = ", ") -> Column:
     return F.array_join(F.filter(all_matches(html, pattern), lambda s: s != ""), sep)
-
-
-def longest_block(html: Column, block: str, fallback: str,
-                  min_block: int = 50, min_joined: int = 100) -> Column:
-    """Longest block over ``min_block`` characters (the first of equals).
-
-    Without one: the ``fallback`` pieces joined by line breaks if that is
-    longer than ``min_joined``, else ``""``.
-    """
-    def longer(best: Column, text: Column) -> Column:
-        return F.when(F.length(text) > F.greatest(F.length(best), F.lit(min_block)), text).otherwise(best)
-
-    best = F.aggregate(all_matches(html, block), F.lit(""), longer)
-    joined = F.array_join(F.filter(all_matches(html, fallback), lambda s: s != ""), "\n")
-    return (F.when(best != "", best)
-            .when(F.length(joined) > min_joined, joined)
-            .otherwise(F.lit("")))

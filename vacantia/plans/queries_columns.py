@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text, vocab
+from ..functions import html, text, vocab
 from ..operators import columns
 from .registry import query
 from .tables import jobs, over_jobs, table
@@ -129,6 +129,18 @@ def _(spark, d):
     return df.select("p_partkey", F.array_join("items", "|").alias("joined"), F.size("items").alias("n"))
 
 
+@query("clean_parse_list_mixed", """
+SELECT p_partkey, 'it''s ' || p_name || CASE WHEN p_size % 2 = 0 THEN '|' || p_size || '|?|True' ELSE '' END AS joined,
+       CASE WHEN p_size % 2 = 0 THEN 4 ELSE 1 END AS n FROM part""")
+def _(spark, d):
+    """Tuples, lists with numbers, names and missing items, trailing commas, escapes and joined strings."""
+    text_ = F.concat(F.lit("'it\\'s '  \""), "p_name", F.lit('"'))
+    raw = F.when(F.col("p_size") % 2 == 0, F.concat(F.lit("["), text_, F.lit(", "), F.col("p_size").cast("string"), F.lit(", None, True]"))).otherwise(
+        F.concat(F.lit("("), text_, F.lit(",)")))
+    df = table(spark, d, "part").select("p_partkey", text.parse_list(raw).alias("items"))
+    return df.select("p_partkey", F.array_join("items", "|", "?").alias("joined"), F.size("items").alias("n"))
+
+
 @query("clean_parse_list_lenient", """
 SELECT p_partkey, p_brand || '|' || p_name AS joined FROM part""")
 def _(spark, d):
@@ -170,23 +182,24 @@ def _(spark, d):
                                  text.url_id(F.col("title")).alias("none"))
 
 
-FIELD = [r"(?is)<h3\b[^>]*>(.*?)</h3>", r"(?is)<h1\b[^>]*>(.*?)</h1>", r"(?is)<title\b[^>]*>(.*?)</title>"]
+def inner_sql(name):
+    return STRIP_SQL.format(f"regexp_extract(html, '(?is)<{name}\\b[^>]*>(.*?)</{name}>', 1)")
 
 
 @query("extract_html_field", "SELECT page_id, coalesce(" + ", ".join(
-    f"nullif({STRIP_SQL.format(f'regexp_extract(html, $${p}$$, 1)')}, '')" for p in FIELD) + ", '') AS heading FROM pages")
+    f"nullif({inner_sql(n)}, '')" for n in ("h3", "h1", "title")) + ", '') AS heading FROM pages")
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", text.first_match(F.col("html"), FIELD).alias("heading"))
-
-
-BLOCK = r"(?is)<div\b[^>]*>(.*?)</div>"
-PIECE = r"(?is)<(?:p|li)\b[^>]*>(.*?)</(?:p|li)>"
+    return table(spark, d, "pages").select("page_id", html.first_text(F.col("html"), ["h3", "h1", "title"]).alias("heading"))
 
 
-@query("extract_longest_block", f"""
+# A paragraph that is not closed ends where the next begins, or with the article.
+LONGEST_SQL = f"""
 WITH b AS (
-  SELECT page_id, list_transform(regexp_extract_all(html, $${BLOCK}$$, 1), lambda x: {STRIP_SQL.format('x')}) AS blocks,
-         list_transform(regexp_extract_all(html, $${PIECE}$$, 1), lambda x: {STRIP_SQL.format('x')}) AS pieces
+  SELECT page_id, list_transform(regexp_extract_all(html, '(?is)<div\\b[^>]*>(.*?)</div>', 1), lambda x: {STRIP_SQL.format('x')}) AS blocks,
+         list_transform(list_concat(
+           regexp_extract_all(html, '(?is)<li\\b[^>]*>(.*?)</li>', 1),
+           list_transform(string_split(regexp_replace(html, '(?is)<script\\b[^>]*>.*?</script\\s*>', '', 'g'), '<p')[2:],
+                          lambda x: regexp_extract(x, '(?s)^[^>]*>(.*?)(?:</p|</article|$)', 1))), lambda x: {STRIP_SQL.format('x')}) AS pieces
   FROM pages),
 c AS (
   SELECT page_id, list_filter(blocks, lambda x: length(x) > 50) AS long_ones,
@@ -195,9 +208,28 @@ SELECT page_id, CASE
   WHEN len(long_ones) > 0 THEN long_ones[list_position(list_transform(long_ones, lambda x: length(x)),
                                                        list_max(list_transform(long_ones, lambda x: length(x))))]
   WHEN length(joined) > 100 THEN joined ELSE '' END AS block
-FROM c""")
+FROM c"""
+
+
+@query("extract_longest_block", LONGEST_SQL)
+def _(spark, d):
+    return table(spark, d, "pages").select("page_id", html.longest_text(F.col("html"), ["div"], "p, li").alias("block"))
+
+
+@query("extract_nested_block", f"""
+SELECT page_id, 'before ' || {STRIP_SQL.format('html')} || ' after' AS panel, {STRIP_SQL.format('html')} AS description,
+       'short' AS field, {inner_sql('h1')} AS heading
+FROM pages""")
 def _(spark, d):
-    return table(spark, d, "pages").select("page_id", text.longest_block(F.col("html"), BLOCK, PIECE).alias("block"))
+    """Every page inside two more levels of the elements that it holds itself."""
+    page = F.concat(F.lit('<div class="wide panel">before '), F.lit("<div id='FEA_VJOBS_1'>"), "html",
+                    F.lit("</div> after</div><div>short</div>"))
+    found = table(spark, d, "pages").select("page_id", page.alias("page"))
+    return found.select(
+        "page_id", html.longest_text(F.col("page"), ['[data-automation="jobAdDetails"]', "div.panel", 'div[id*="FEA_VJOBS"]'], "p").alias("panel"),
+        html.longest_text(F.col("page"), ["section div", 'div.panel div[id*="FEA_VJOBS"]', "div"], "p").alias("description"),
+        html.first_text(F.col("page"), ["h4", "div:not([id]):not([class])"]).alias("field"),
+        html.first_text(F.col("page"), ["#FEA_VJOBS_1 article h1"]).alias("heading"))
 
 
 LINK = r"(?is)<a\b[^>]*>(.*?)</a>"

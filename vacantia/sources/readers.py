@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import csv
-from collections import defaultdict
+import io
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -12,8 +12,11 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import strip
 from ..operators.skew import lookup
+from ..shared import settle
 
 EXTRA = "_extra"
+#: Characters that one record may have within a read part.
+LONGEST = 1 << 24
 
 # Field texts that stand for a missing value.
 MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -35,14 +38,17 @@ def read_delimited(spark: SparkSession, path, columns: Sequence[str], sep: str =
     Short rows are padded with nulls and ``missing`` texts are null.  A byte order
     mark is part of the header, which is not used.  One extra column catches
     the surplus, so that only rows with a surplus are lost.  With
-    ``multi_line`` fields may hold line breaks, at the price of one task per
-    file.
+    ``multi_line`` fields may hold line breaks; a large file is still read by
+    many tasks (``quoted_records``).
     """
     names = list(columns)
-    rows = (spark.read.schema(_strings([*names, EXTRA]))
-            .options(header=True, sep=sep, quote='"', escape='"', multiLine=multi_line,
-                     mode="PERMISSIVE", encoding="UTF-8", columnPruning=False)
-            .csv(path))
+    schema = _strings([*names, EXTRA])
+    if multi_line:
+        rows = _parsed(quoted_records(spark, path, sep), schema, sep)
+    else:
+        rows = (spark.read.schema(schema)
+                .options(header=True, sep=sep, quote='"', escape='"', mode="PERMISSIVE", encoding="UTF-8", columnPruning=False)
+                .csv(path))
     return _missing_to_null(rows.filter(F.col(EXTRA).isNull()).drop(EXTRA), names, missing)
 
 
@@ -50,13 +56,24 @@ def read_plain(spark: SparkSession, path, schema, multi_line: bool = True, missi
     """Comma-separated text with a header and a given schema.
 
     ``missing`` texts become null; without any, empty fields are null only.
+    With ``multi_line`` fields may hold line breaks, as in ``read_delimited``.
     """
-    rows = (spark.read.schema(schema)
-            .options(header=True, quote='"', escape='"', multiLine=multi_line, mode="PERMISSIVE")
-            .csv(path))
+    if multi_line:
+        kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        rows = _parsed(quoted_records(spark, path, ","), kind, ",")
+    else:
+        rows = spark.read.schema(schema).options(header=True, quote='"', escape='"', mode="PERMISSIVE").csv(path)
     return _missing_to_null(rows, [f.name for f in rows.schema.fields if isinstance(f.dataType, StringType)], missing)
 
 
+def _parsed(records: DataFrame, schema: StructType, sep: str, *keep: str) -> DataFrame:
+    """The fields of the records after each file's header, by position; ``keep`` names columns that stay as they are."""
+    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema.fields)
+    fields = F.from_csv("record", kinds, {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "multiLine": "true"})
+    rows = records.filter("line_no > header_no AND record <> ''").select(*keep, fields.alias("_fields"))
+    return rows.select(*keep, *[F.col("_fields").getField(f.name).alias(f.name) for f in schema.fields])
+
+
 def _lines(spark: SparkSession, path, **options) -> DataFrame:
     """Lines of text files with ``file``, ``block`` (where the read part begins) and ``at`` (order within it)."""
     return (spark.read.options(**options).text(path)
@@ -86,25 +103,32 @@ def read_glob(spark: SparkSession, glob: str, source: str = "_source", row: str
     """All files of a glob as strings, with the file's full path and a row
     number that grows within a file, united by column name.
 
-    Files are read together per distinct header.  Files without a header line
-    are left out (``skipped`` lists them); it is an error if none is left, and
-    a file that turns out damaged after its header ends the read.
+    All files are read in one pass: a record's fields are numbered, and its
+    file's header says which column each number is.  Only the distinct headers
+    come to the driver.  Files without a header line are left out (``skipped``
+    lists them); it is an error if none is left, and a file that turns out
+    damaged after its header ends the read.
     """
-    groups: dict[tuple[str, ...], list[str]] = defaultdict(list)
-    # One short row for each file, as many as the reader itself lists.
-    for r in headers(spark, glob).filter("header IS NOT NULL").orderBy("file").collect():
-        groups[tuple(next(csv.reader([r["header"].lstrip("\ufeff")])))].append(r["file"])
-    if not groups:
+    found = headers(spark, glob)
+    counts = found.agg(F.count_if(F.expr("header IS NULL")), F.count_if(F.expr("header IS NOT NULL"))).first()
+    if not counts[1]:
         raise FileNotFoundError(f"no readable file matches {glob}")
-    out = None
-    for header, paths in groups.items():
-        part = (spark.read.schema(_strings(header))
-                .options(header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE")
-                .csv(paths).withColumns({source: F.col("_metadata.file_path"),
-                                          row: F.monotonically_increasing_id()}))
-        part = _missing_to_null(part, header, missing)
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    return out
+    # A file that cannot be opened must not be listed; only then the others are named one by one.
+    paths = [r["file"] for r in found.filter("header IS NOT NULL").select("file").collect()] if counts[0] else glob
+    records = quoted_records(spark, paths, ",")
+    # One short row for each file, asked for twice.
+    heads = settle(records.filter("line_no = header_no").select("file", F.col("record").alias("header")))
+    names = {r["header"]: next(csv.reader(io.StringIO(r["header"]), strict=False)) for r in heads.select("header").distinct().collect()}
+    columns = list(dict.fromkeys(n for header in sorted(names) for n in names[header]))
+    places = spark.createDataFrame(
+        [(h, [fields.index(c) if c in fields else None for c in columns]) for h, fields in names.items()], "header string, places array<int>")
+    width = max(map(len, names.values()))
+    rows = _parsed(records, _strings([f"_{i}" for i in range(width)]), ",", "file", "line_no")
+    placed = lookup(rows.select("file", "line_no", F.array(*[f"_{i}" for i in range(width)]).alias("fields")),
+                    heads.join(places, "header").select("file", "places"), ["file"],
+                    _lines(spark, paths).groupBy("file").agg(F.count("*").alias("n")))
+    value = [F.get("fields", F.get("places", F.lit(k))).alias(c) for k, c in enumerate(columns)]
+    return _missing_to_null(placed.select(*value, F.col("file").alias(source), F.col("line_no").alias(row)), columns, missing)
 
 
 def read_records(spark: SparkSession, path, schema=None, multi_line: bool = True) -> DataFrame:
@@ -135,33 +159,97 @@ def audit_records(df: DataFrame, record: str, line_no: str, n_fields: int, sep:
             .select(line_no, "n_fields", record_fields(F.col(record), sep).alias("preview")))
 
 
-def raw_records(spark: SparkSession, path) -> tuple[DataFrame, DataFrame]:
-    """(file, line_no, record) of every record, blank ones included, and (file, n) lines per file.
+def ends_quoted(line: Column, sep: str, starts_quoted: bool) -> Column:
+    """Is a quoted field open at the end of a line, given whether one is at its start?
 
-    A record ends with a line at which the quotes so far are even.  Quotes and
-    records are counted per read part of a file first, so a large file is
-    split among tasks; only records of several lines are gathered.
+    A quote opens a field where the field begins and is an ordinary character
+    elsewhere; in a quoted field two quotes are one, and after any other quote
+    the field goes on unquoted to the next separator.  The fold goes over the
+    texts before each quote: 0 in an unquoted field, 1 where a field begins, 2
+    in a quoted one, 3 after a quote in it.
     """
-    odd = (F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))) % 2
-    lines = _lines(spark, path).withColumn("odd", odd)
-    here = Window.partitionBy("file", "block").orderBy("at")
-    lines = lines.withColumn("before", (F.sum("odd").over(here) - F.col("odd")) % 2)
+    before = F.split(line, '"', -1)
+    state = F.aggregate(
+        F.slice(before, F.lit(1), F.size(before) - 1), F.lit(2 if starts_quoted else 1),
+        lambda at, text: F.when(at == 2, 3).when(text == "", F.when(at == 0, 0).otherwise(2)).when(text.endswith(sep), 2).otherwise(0))
+    return F.when(line.contains('"'), (state == 2).cast("int")).otherwise(int(starts_quoted))
+
+
+def _states(lines: DataFrame, group: Sequence[str], order: str) -> DataFrame:
+    """``before0/1`` and ``after0/1``: the state before and after each row, for either state before the first row of its group.
+
+    Each row maps the state by (to0, to1): it keeps it, swaps it or fixes it.
+    So a state is that of the last fixing row, turned by the swaps since.
+    """
+    fixes = F.col("to0") == F.col("to1")
+    upto = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    past = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    turned = lines.withColumn("swaps", F.coalesce(F.sum(((F.col("to0") == 1) & (F.col("to1") == 0)).cast("int")).over(upto), F.lit(0)))
+    turned = turned.withColumn("fixed", F.when(fixes, F.struct((F.col("to0") + F.col("swaps")).alias("value"))))
+    out = turned.withColumn("last_after", F.last("fixed", ignorenulls=True).over(upto)).withColumn(
+        "last_before", F.last("fixed", ignorenulls=True).over(past)).withColumn("swaps_before", F.coalesce(F.last("swaps").over(past), F.lit(0)))
+    for first in (0, 1):
+        out = out.withColumns({f"before{first}": ((F.coalesce("last_before.value", F.lit(first)) + F.col("swaps_before")) % 2).cast("int"),
+                               f"after{first}": ((F.coalesce("last_after.value", F.lit(first)) + F.col("swaps")) % 2).cast("int")})
+    return out.drop("swaps", "fixed", "last_after", "last_before", "swaps_before")
+
+
+def quoted_records(spark: SparkSession, path, sep: str = ";", longest: int = LONGEST) -> DataFrame:
+    """(file, line_no, header_no, record) of every record, blank ones included; ``header_no`` is the first that is not blank.
+
+    A record ends with a line at which no quoted field is open.  Each line maps
+    "open before" to "open after"; the maps of a read part of a file are
+    chained first, then those of the parts, so a large file is split among
+    tasks and only records of several lines are gathered.  Lines end with a
+    line feed; if a file's first line has a carriage return before it, so have
+    the others, and line breaks in its fields become line feeds.
+
+    A quote that is never closed would make one record of all that follows:
+    more than ``longest`` characters of a part within one record are an error
+    that names the file and the record.
+    """
+    lines = _lines(spark, path, lineSep="\n").withColumns(
+        {"to0": ends_quoted(F.col("value"), sep, False), "to1": ends_quoted(F.col("value"), sep, True)})
+    part = ["file", "block"]
+    lines = _states(lines, part, "at")
+    here = Window.partitionBy(*part).orderBy("at")
+    lines = lines.withColumn("index", F.row_number().over(here))
+    filled = ~F.col("value").rlike("^\ufeff?\r?$")
     # For either state in which a part may begin, the records that begin in it.
-    blocks = lines.groupBy("file", "block").agg(
-        F.sum("odd").alias("odds"), F.count_if(F.col("before") == 0).alias("even"), F.count_if(F.col("before") == 1).alias("uneven"))
+    parts = lines.groupBy(*part).agg(
+        F.max_by("after0", "at").alias("to0"), F.max_by("after1", "at").alias("to1"), F.count("*").alias("lines"),
+        F.count_if(F.col("before0") == 0).alias("records0"), F.count_if(F.col("before1") == 0).alias("records1"),
+        F.min(F.when(filled, F.col("index"))).alias("filled"), F.min_by(F.col("value").endswith("\r"), "at").alias("returns"))
     past = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begun = blocks.withColumn("open", F.coalesce(F.sum("odds").over(past) % 2, F.lit(0)))
-    begun = begun.withColumn("records", F.when(F.col("open") == 0, F.col("even")).otherwise(F.col("uneven")))
-    begun = begun.withColumn("done", F.coalesce(F.sum("records").over(past), F.lit(0))).select(
-        F.col("file").alias("f"), F.col("block").alias("b"), "open", "done")
+    begun = _states(parts, ["file"], "block").withColumn("open", F.col("before0"))
+    begun = begun.withColumn("done", F.coalesce(F.sum(F.when(F.col("open") == 0, F.col("records0")).otherwise(F.col("records1"))).over(past), F.lit(0)))
+    # Every line before the first that is not blank is a record of its own.
+    first = F.when(F.col("filled").isNotNull(), F.coalesce(F.sum("lines").over(past), F.lit(0)) + F.col("filled"))
+    begun = begun.withColumn("first", first).withColumns(
+        {"header_no": F.min("first").over(Window.partitionBy("file")),
+         "returns": F.first("returns").over(Window.partitionBy("file").orderBy("block"))}).select(
+        F.col("file").alias("f"), F.col("block").alias("b"), "open", "done", "header_no", "returns")
     placed = lines.join(begun, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
-    starts = F.col("before") == F.col("open")
-    placed = placed.withColumn("line_no", F.col("done") + F.sum(starts.cast("int")).over(here))
-    whole = starts & (F.col("odd") == 0)
-    single = placed.filter(whole).select("file", "line_no", F.col("value").alias("record"))
-    several = placed.filter(~whole).groupBy("file", "line_no").agg(F.array_join(F.transform(
+    starts = F.when(F.col("open") == 0, F.col("before0")).otherwise(F.col("before1")) == 0
+    placed = placed.withColumns({"starts": starts, "line_no": F.col("done") + F.sum(starts.cast("int")).over(here)})
+    alone = F.col("starts") & (F.col("to0") == 0)
+    # Characters since the record began, within the part.
+    run = F.sum(F.when(~alone, F.length("value"))).over(Window.partitionBy(*part, "line_no").orderBy("at"))
+    unclosed = F.raise_error(F.concat(F.lit("quote not closed within the longest record: "), "file", F.lit(", record "), F.col("line_no").cast("string")))
+    placed = placed.withColumn("value", F.when(run > longest, unclosed).otherwise(F.col("value")))
+    keys = ["file", "line_no", "header_no", "returns"]
+    single = placed.filter(alone).select(*keys, F.col("value").alias("record"))
+    several = placed.filter(~alone).groupBy(*keys).agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"]), "\n").alias("record"))
-    return single.unionByName(several), blocks.groupBy("file").agg(F.sum(F.col("even") + F.col("uneven")).alias("n"))
+    bare = F.when(F.col("returns"), F.regexp_replace(F.replace("record", F.lit("\r\n"), F.lit("\n")), "\r$", "")).otherwise(F.col("record"))
+    return single.unionByName(several).withColumn(
+        "record", F.when(F.col("line_no") == 1, F.regexp_replace(bare, "^\ufeff", "")).otherwise(bare)).drop("returns")
+
+
+def raw_records(spark: SparkSession, path, sep: str = ";") -> tuple[DataFrame, DataFrame]:
+    """(file, line_no, record) of every record, blank ones included, and (file, n) lines per file."""
+    counted = _lines(spark, path, lineSep="\n").groupBy("file").agg(F.count("*").alias("n"))
+    return quoted_records(spark, path, sep).select("file", "line_no", "record"), counted
 
 
 def audit_delimited(spark: SparkSession, path, sep: str = ";") -> DataFrame:
@@ -170,9 +258,7 @@ def audit_delimited(spark: SparkSession, path, sep: str = ";") -> DataFrame:
     (file, line_no, n_fields, preview); line numbers count records of the
     file, blank ones too, the header being line 1.  A blank record has no fields.
     """
-    records, lines = raw_records(spark, path)
-    record = F.regexp_replace("record", "^\ufeff", "")
-    counted = records.withColumn("record", F.when(F.col("line_no") == 1, record).otherwise(F.col("record")))
+    counted, lines = raw_records(spark, path, sep)
     blank = F.col("record") == ""
     counted = counted.withColumn("n_fields", F.when(blank, 0).otherwise(field_count(F.col("record"), sep)))
     wanted = counted.filter("line_no = 1").select("file", F.col("n_fields").alias("_wanted"))
