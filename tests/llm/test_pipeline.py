@@ -29,8 +29,7 @@ def test_stages_follow_one_another(spark):
         if number == 1:
             assert len(new) >= 0.99 * len(old)
         if number == 2:
-            fps = [(i, plain_fingerprint(r["text"])) for i, r in old.items()]
-            assert set(new) == set(plain_components(fps))
+            assert set(new) == set(jaccard_components([(i, r["text"]) for i, r in old.items()]).values())
         if number == 3:
             wanted = plain_word_dedup([(i, r["text"]) for i, r in sorted(old.items())], 20)
             for i, _, gone, digest in wanted:
@@ -111,6 +110,24 @@ def test_near_dedup_finds_all_pairs_at_four_fifths(spark):
     assert got == wanted
 
 
+def test_large_groups_are_split_without_a_loss(spark, monkeypatch):
+    """Chains through the members of one large group are found whether or not its keys are dealt into blocks."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    rows = []
+    for k in range(220):
+        changed = list(base)
+        for at in rng.sample(range(150), rng.randrange(6)):
+            changed[at] = f"x{rng.randrange(5000)}"
+        rows.append((k, " ".join(changed)))
+    wanted = jaccard_components(rows)
+    assert 3 < len(set(wanted.values())) < 150
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for members in (512, 16):
+        monkeypatch.setattr(copies, "MEMBERS", members)
+        assert {r["doc_id"]: r["component_id"] for r in copies.near_copies(df).collect()} == wanted
+
+
 def test_near_dedup_keeps_different_texts_of_one_id(spark):
     """The copy under a larger id goes; the other text of that id, and both texts of id 1, stay."""
     texts = {k: " ".join(f"{k}{i}" for i in range(40)) for k in "abcd"}

@@ -26,6 +26,15 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(stored: DataFrame) -> None:
+    """Delete a table of ``store`` once nothing that is still to be computed reads it."""
+    files = stored.inputFiles()
+    if files:
+        jvm = stored.sparkSession._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(stored.sparkSession._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def remainder(key: Column, divisor: int) -> Column:
     """crc32 of the key as text, modulo; a null key counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % divisor
