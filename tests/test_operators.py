@@ -63,6 +63,26 @@ def test_quantiles_of_close_values(spark):
     assert exact_quantiles(df, "v", [0.25], ["k"]).first()["q0"] == pytest.approx(49_999.75 / 2e9, rel=1e-12)
 
 
+@pytest.mark.parametrize("buckets", [4, 1024])
+def test_quantiles_of_groups_cut_by_sketches(spark, monkeypatch, buckets):
+    """Large and small groups, equal values and weights; the buckets never change the result."""
+    monkeypatch.setattr(quantiles, "PART_ROWS", 50)
+    monkeypatch.setattr(quantiles, "BUCKETS", buckets)
+    rng = random.Random(3)
+    data = [("hot", rng.choice([5.0, rng.gauss(0, 1e6)]), rng.randrange(1, 9)) for _ in range(4000)]
+    data += [(None, rng.random(), 1) for _ in range(300)] + [(f"k{i % 40}", rng.random(), 2) for i in range(400)] + [("hot", None, 1), ("one", 7.0, 3)]
+    df = spark.createDataFrame(data, "k string, v double, w int")
+    probs = [0.0, 0.1, 0.5, 0.999, 1.0]
+    groups = {}
+    for k, v, w in data:
+        if v is not None:
+            groups.setdefault(k, []).extend([v] * w)
+    got = {r["k"]: list(r)[1:] for r in exact_quantiles(df, "v", probs, ["k"], "w").collect()}
+    assert got == {k: pytest.approx([quantile(vs, p) for p in probs], rel=1e-12, abs=1e-9) for k, vs in groups.items()}
+    every = [v for vs in groups.values() for v in vs]
+    assert list(exact_quantiles(df, "v", probs, weight="w").first()) == pytest.approx([quantile(every, p) for p in probs], rel=1e-12, abs=1e-9)
+
+
 def test_numbering_over_many_ranges(spark, monkeypatch):
     monkeypatch.setattr(quantiles, "PART_ROWS", 50)
     labels = spark.range(1000).select(F.format_string("%05d", F.col("id") * 7 % 1000).alias("c")).cache()

@@ -1,10 +1,10 @@
 """Exact quantiles and numbering that never gather a group in one task.
 
 ``percentile`` keeps every distinct value of a group in one buffer.  Here
-equal values are counted first; the counts are dealt out by ranges of (key,
-value) into parts of bounded size, whatever the values and however a group's
-values lie together.  The parts' sums tell which part holds a wanted rank, and
-only that part is sorted to read the value off.
+equal values are counted first.  Groups of many distinct values are cut into
+buckets at the quantiles of a KLL sketch of them; the buckets' exact sums tell
+which one holds a wanted rank, and only that bucket is sorted to read the value
+off.  The sketch decides how even the buckets are, never the result.
 """
 
 from __future__ import annotations
@@ -15,11 +15,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shared import settle
-from .skew import same
+from .skew import lookup, same
 
 # Rows of a range; ranges are cut by a sample, so a part may be somewhat larger.
 PART_ROWS = 32_768
 PART = "_part"
+# Buckets of a group that has more distinct values than a part, and the size of
+# the sketch that cuts them: a bucket holds some thousandth of the group.
+BUCKETS, SKETCH = 1024, 4096
 
 
 def in_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
@@ -42,6 +45,33 @@ def numbered(labels: DataFrame, name: str, out: str) -> DataFrame:
             .select(name, (F.col("_local") + F.col("_before")).cast("bigint").alias(out)))
 
 
+def in_buckets(counts: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """The rows of a stored table in parts ``_part`` that follow the value within each group.
+
+    Small groups are one part.  The few large ones, at most one for every
+    ``PART_ROWS`` rows, are cut by their sketches; rows find their bucket by
+    binary search.
+    """
+    sizes = counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    large = sizes.filter(F.col("n") > PART_ROWS)
+    if large.isEmpty():
+        # Always 0, but no constant: that would be optimised out of joins on the part.
+        return counts.withColumn(PART, F.pmod(F.xxhash64(value), F.lit(1)).cast("int"))
+    ranks = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    names = [f"_b_{k}" for k in keys]
+    big = large.select(*[F.col(k).alias(b) for k, b in zip(keys, names)])
+    chosen = counts.join(big, same(counts, big, list(zip(keys, names))), "left_semi") if keys else counts
+    cuts = chosen.groupBy(*keys).agg(F.kll_sketch_agg_double(value, F.lit(SKETCH)).alias("_sketch")).select(
+        *keys, F.kll_sketch_get_quantile_double("_sketch", ranks).alias("_cuts"))
+    if keys:
+        marked = lookup(counts, cuts, keys, sizes, null_safe=True)
+    else:
+        marked = counts.withColumn("_cuts", cuts.scalar())
+    steps = F.array(*[F.lit(BUCKETS >> i) for i in range(1, BUCKETS.bit_length())])
+    place = F.aggregate(steps, F.lit(0), lambda low, step: F.when(F.get("_cuts", low + step - 1) <= F.col(value), low + step).otherwise(low))
+    return marked.withColumn(PART, F.when(F.col("_cuts").isNotNull(), place).otherwise(0)).drop("_cuts")
+
+
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Sequence[str] = (),
                     weight: str | None = None, names: Sequence[str] | None = None) -> DataFrame:
     """One row per key with the linearly interpolated quantiles of ``value``.
@@ -54,7 +84,7 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], keys: Seq
     n = F.col(weight) if weight else F.lit(1)
     counts = settle(df.filter(v.isNotNull() & ~F.isnan(v)).select(*keys, v.alias("_v"), n.cast("bigint").alias("_n"))
                     .groupBy(*keys, "_v").agg(F.sum("_n").alias("_n")))
-    placed = in_ranges(counts, [*keys, "_v"])
+    placed = in_buckets(counts, keys, "_v")
 
     group = Window.partitionBy(*keys)
     sums = placed.groupBy(*keys, PART).agg(F.sum("_n").alias("_sum"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules, skills, text, vocab
-from ..operators import dedup, filters, lookups, ranking, reports
+from ..operators import dedup, filters, lookups, phrases, ranking, reports
 from .registry import contains_sql, query, r4, values_sql, words_case_sql
 from .tables import jobs, over_jobs, table
 
@@ -167,6 +167,49 @@ def _(spark, d):
         "id", F.array_join(skills.whole_words(F.col("job_description")), ",").alias("found"))
 
 
+# Phrases of one to three words as the first sentences of the benchmark have them, and the skills.
+PIECES_SQL = r"regexp_extract_all({0}, '[\p{{L}}\p{{N}}_]+|[^\p{{L}}\p{{N}}_]+')"
+
+
+def windows_sql(source: str, key: str) -> str:
+    """Windows of one to three words, with what stands between the words."""
+    return f"""
+SELECT DISTINCT {key}, array_to_string(p[i:i + 2 * n - 2], '') AS phrase
+FROM (SELECT {key}, p, unnest(range(1, len(p) + 1)) AS i FROM (
+  SELECT {key}, {PIECES_SQL.format('lower(text)')} AS p FROM {source})), (VALUES (1), (2), (3)) AS v(n)
+WHERE regexp_matches(p[i], '^[\\p{{L}}\\p{{N}}_]') AND i + 2 * n - 2 <= len(p)"""
+
+
+LEXICON_SQL = f"""
+lexicon AS (SELECT phrase, min(item_id) AS number, max(item_id) AS last FROM ({windows_sql('benchmark', 'item_id')}) GROUP BY phrase),
+inside AS (SELECT doc_id, phrase FROM ({windows_sql('documents', 'doc_id')}) WHERE phrase IN (SELECT phrase FROM lexicon))"""
+
+
+def _lexicon(spark, d):
+    items = table(spark, d, "benchmark")
+    return (phrases.windows(items, ["item_id"], "text", [1, 2, 3]).groupBy(F.col("core").alias("phrase"))
+            .agg(F.min("item_id").alias("number"), F.max("item_id").alias("last")))
+
+
+@query("join_lexicon_table", f"""
+WITH {LEXICON_SQL}
+SELECT phrase, count(*) AS n_docs, min(doc_id) AS first_doc FROM inside GROUP BY phrase""")
+def _(spark, d):
+    found = phrases.phrases_in(table(spark, d, "documents"), ["doc_id"], "text", _lexicon(spark, d), "phrase")
+    return found.groupBy("phrase").agg(F.count(F.lit(1)).alias("n_docs"), F.min("doc_id").alias("first_doc"))
+
+
+@query("join_rules_table", f"""
+WITH {LEXICON_SQL}
+SELECT doc_id, coalesce(label, 'none') AS label FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN (
+  SELECT doc_id, arg_min('item ' || number, (number, phrase)) AS label FROM inside JOIN (SELECT phrase, number FROM lexicon WHERE number = last) USING (phrase)
+  GROUP BY doc_id) USING (doc_id)""")
+def _(spark, d):
+    """The first benchmark item of which a phrase that no other item has stands in the document."""
+    rules_ = _lexicon(spark, d).filter("number = last").withColumn("label", F.concat(F.lit("item "), F.col("number").cast("string")))
+    return phrases.first_rule(table(spark, d, "documents"), ["doc_id"], "text", rules_, "phrase", "label", "number", "none")
+
+
 @query("join_role_profile", over_jobs("""
 SELECT b.search_role, n, round(n * 100.0::DOUBLE / (SELECT count(*) FROM jobs), 4) AS pct, skill AS top_skill,
        job_level AS top_level, round(mean, 4) AS mean
