@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules, salary, similarity, skills, text, vocab
-from ..operators import impute, lookups, reports
+from ..operators import impute, lookups, reports, vectors
 from ..operators.skew import per_distinct
 from .queries_filters import CASCADE_SQL, SPARSE, _sparse, lexicon_sql
 from .queries_reports import sized, SIZED_SQL
@@ -373,3 +373,17 @@ def _(spark, d):
     query_vector = vectors.filter("vec_id = 0").select("embedding").scalar()
     best = similarity.nearest(vectors, "embedding", query_vector, 10, ["vec_id"])
     return best.select("vec_id", F.round("similarity", 6).alias("similarity"))
+
+
+@query("ml_cosine_topk_many", """
+SELECT q.vec_id AS query_id, e.vec_id, (row_number() OVER (PARTITION BY q.vec_id ORDER BY
+       round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 12) DESC, e.vec_id))::INT AS rank,
+       round(list_cosine_similarity(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) AS similarity
+FROM embeddings e, (SELECT vec_id, embedding FROM embeddings WHERE vec_id % 50 = 0) q QUALIFY rank <= 10""")
+def _(spark, d):
+    """The nearest ten of every fiftieth vector, by clusters."""
+    table_ = table(spark, d, "embeddings")
+    rows, clusters = vectors.index(table_, ["vec_id"], "embedding")
+    queries = table_.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    best, _ = vectors.nearest(queries, ["query_id"], "embedding", rows, clusters, ["vec_id"], 10)
+    return best.withColumn("similarity", F.round("similarity", 6))
