@@ -342,6 +342,15 @@ def test_profiles(jobs, spark):
     assert reports.duplicate_count(twice).first()[0] == 2
 
 
+def test_duplicates_of_one_fingerprint_are_compared_by_value(spark):
+    """Forced collisions, nulls, and a row that repeats very often."""
+    data = [("a", 1), ("b", 1), ("a", 1), (None, 2), (None, 2), ("a", None), ("", None)] + [("hot", 5)] * 500
+    df = spark.createDataFrame(data, "s string, n int")
+    for fingerprint in (reports.row_fingerprint, lambda columns: (F.length(F.coalesce("s", F.lit(""))), F.lit(0))):
+        assert reports.duplicate_count(df, fingerprint).first()[0] == len(data) - len(set(data))
+    assert reports.duplicate_count(df.limit(0)).first()[0] == 0
+
+
 def test_steps(jobs):
     steps = reports.step_counts(jobs, [("paid", F.col("salary_avg").isNotNull()), ("c1", F.col("company") == "c1")])
     assert rows(steps) == [(1, "paid", 5, 3, 2), (2, "c1", 3, 3, 0)]

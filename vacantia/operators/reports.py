@@ -19,7 +19,7 @@ from ..shared import settle
 from .filters import percentile_trim
 from .quantiles import exact_quantiles
 from .ranking import top_by_count, top_per_group
-from .skew import key_counts
+from .skew import key_counts, lookup
 
 
 def known(df: DataFrame, name: str) -> DataFrame:
@@ -275,9 +275,23 @@ def range_counts(df: DataFrame, name: str, low: float = vocab.SALARY_LOW,
                   F.count_if(c.isNull()).alias("missing"), F.count(c).alias("known"))
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row in every column."""
-    return df.agg((F.count(F.lit(1)) - F.count_distinct(F.struct(*df.columns))).alias("duplicates"))
+def row_fingerprint(columns: Sequence[str]) -> tuple[Column, Column]:
+    """128 bits of a row's values."""
+    return F.xxhash64(*columns), F.xxhash64(F.lit(1), *columns)
+
+
+def duplicate_count(df: DataFrame, fingerprint: Callable[[Sequence[str]], tuple[Column, Column]] = row_fingerprint) -> DataFrame:
+    """Rows that repeat an earlier row in every column.
+
+    Only fingerprints are shuffled at first; rows whose fingerprint occurs
+    again are compared by value, so different rows of one fingerprint count as
+    different.
+    """
+    a, b = fingerprint(df.columns)
+    marks = df.select(a.alias("_a"), b.alias("_b")).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("n"))
+    again = lookup(df.withColumns({"_a": a, "_b": b}), marks.filter("n > 1").select("_a", "_b", F.lit(True).alias("_again")), ["_a", "_b"], marks)
+    values = again.filter("_again").groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return values.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"))
 
 
 def dominant_value(df: DataFrame, key: str, value: str) -> DataFrame:
