@@ -51,7 +51,7 @@ TARGET, LEAST_CELLS = 0.995, 4
 #: Members of a cell that are wanted on average, and codewords of a half at most.
 PER_CELL, CODEWORDS = 16, 2_048
 #: Members and queries of a cell that meet in one group.
-MEMBERS, QUERIES = 2_048, 8_192
+MEMBERS, QUERIES = 512, 2_048
 #: Queries that are compared at once.
 TOGETHER = 512
 #: Angles that decide without a comparison keep this distance from the threshold.
