@@ -99,28 +99,45 @@ def test_lm_beats_the_base(spark):
 
 
 def test_lm_trains_on_every_training_document(spark, monkeypatch):
-    """Also on a corpus of more than 400,000 tokens, each document in one round."""
+    """Each in one shard of one wave, also where one row is repeated very often."""
     seen, fit = [], lm.fit
 
-    def spy(model, texts):
-        seen.extend(r["text"] for r in texts.collect())
-        fit(model, texts)
+    def spy(model, found):
+        seen.extend(found.select("doc_id", "training", "wave", "shard").collect())
+        fit(model, found)
 
     monkeypatch.setattr(lm, "fit", spy)
-    df = spark.range(1500).select(F.col("id").alias("doc_id"), F.concat(F.col("id").cast("string"), F.repeat(F.lit(" green river"), 250)).alias("text"))
+    often = next(i for i in range(9) if not held(i))
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, often).otherwise(F.col("id")).alias("doc_id"), F.repeat(F.lit("green river "), 400).alias("text"))
     training = ~lm.held_out(F.col("doc_id"))
-    assert lm.score_documents(df, training).first()["train_tokens"] > 400_000
-    assert Counter(seen) == Counter(r["text"] for r in df.where(training).collect())
+    total = lm.score_documents(df, training).first()["train_tokens"]
+    assert total > 3 * lm.SHARD_TOKENS
+    assert Counter(r["doc_id"] for r in seen if r["wave"] >= 0) == Counter(r["doc_id"] for r in df.where(training).collect())
+    assert all((r["wave"] == -1) != r["training"] for r in seen)
+    assert all(2 ** r["wave"] - 1 <= r["shard"] < 2 ** (r["wave"] + 1) - 1 for r in seen if r["training"])
+    per_shard = Counter(r["shard"] for r in seen if r["training"])
+    assert len(per_shard) == 2 ** lm.waves(total) - 1 and max(per_shard.values()) < 1.3 * sum(per_shard.values()) / len(per_shard)
 
 
-def test_lm_repeats_only_what_is_all_of_a_task():
-    """The remainder after a task's full groups is passed once."""
-    assert lm.passes(200, 500_000) == 1 and lm.passes(200, 0) == 500 and lm.passes(500_000, 0) == 1
+def test_lm_does_not_depend_on_partitions(spark):
+    docs = documents(spark, "/root/testdata/sf0.01")
+    found = []
+    for n in (1, 4, 32):
+        rows = lm.score_documents(docs.repartition(n), ~lm.held_out(F.col("doc_id"))).where(~F.col("training"))
+        found.append(rows.agg(F.sum("score") / F.sum("n_tokens"), F.sum("base_score") / F.sum("n_tokens")).first())
+    assert max(f[0] for f in found) - min(f[0] for f in found) < 0.001 and min(f[0] - f[1] for f in found) > 0.1
+
+
+def test_lm_waves_follow_the_tokens():
+    """Small corpora alone are passed more than once; shards hold half to all of SHARD_TOKENS."""
+    assert lm.passes(200) == 500 and lm.passes(100_000) == 1 and lm.waves(0) == 1
+    for total in (10 ** 5, 10 ** 6, 10 ** 7 + 3, 10 ** 13):
+        assert total / (2 ** lm.waves(total) - 1) <= lm.SHARD_TOKENS < 2 * max(total, lm.SHARD_TOKENS) / (2 ** lm.waves(total) - 1) + 1
 
 
 def test_lm_of_awkward_texts(spark, awkward, nothing):
     df, rows = awkward
-    got = lm.score_documents(df, ~lm.held_out(F.col("doc_id")), share=1, rounds=1).collect()
+    got = lm.score_documents(df, ~lm.held_out(F.col("doc_id"))).collect()
     matches(got, rows, lambda i: not held(i))
     assert all(math.isfinite(r["score"]) for r in got)
     untrained = lm.score_documents(df, F.lit(False)).collect()
@@ -190,6 +207,30 @@ def test_output_gradients_match_differences(tiny):
     assert rise == pytest.approx(back[0, 0], rel=1e-3, abs=1e-5)
 
 
+def test_gradients_through_time_match_differences(tiny):
+    """Recurrent and input weights, through all steps of a window that starts from a carried state."""
+    shape, vocabulary, weights = tiny
+    rng = np.random.default_rng(5)
+    docs = [rng.integers(0, len(vocabulary.class_of), n) for n in (5, 4, 2)]
+    inputs, targets, mask, rows, _ = next(lm.windows(docs, len(vocabulary.class_of), shape))
+    state = rng.normal(0, 0.5, (len(rows), shape.hidden))
+
+    def total(p):
+        states, _ = lm.forward(p, inputs, state)
+        return lm.log_likelihood(p, vocabulary, states[1:].reshape(-1, shape.hidden)[mask.ravel()], targets.ravel()[mask.ravel()]).sum()
+
+    gradients, used, after = lm.window_gradients(weights, vocabulary, inputs, targets, mask, state)
+    full = np.zeros_like(weights["input"])
+    full[used] = gradients["input"]
+    assert np.array_equal(after, lm.forward(weights, inputs, state)[0][-1])
+    for name, gradient in (("gates", gradients["gates"]), ("state", gradients["state"]), ("input", full)):
+        for spot in np.ndindex(gradient.shape):
+            up, down = {**weights, name: weights[name].copy()}, {**weights, name: weights[name].copy()}
+            up[name][spot] += 1e-5
+            down[name][spot] -= 1e-5
+            assert (total(up) - total(down)) / 2e-5 == pytest.approx(gradient[spot], rel=1e-4, abs=1e-7)
+
+
 def test_weights_are_summed_in_a_tree(spark):
     rows = [(i, 1.0, np.array([i, 1.0]).tobytes()) for i in range(70)]
     df = spark.createDataFrame(rows, "node long, tokens double, weights binary")

@@ -19,10 +19,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back; cuts the lineage."""
+def store(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write a table to the shared folder, one folder for each value of ``by``, and read it back; cuts the lineage."""
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

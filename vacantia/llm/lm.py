@@ -7,16 +7,23 @@ one entry of it, "rare", and share its probability in proportion to their
 counts in the whole training corpus, with half a count for each and for
 words never seen.  So every text has a proper likelihood.
 
-Counts, totals and vocabulary come from all training rows.  The network is
-trained by truncated backpropagation through windows that carry the state
-along a document, on every task's own rows: a round starts all tasks from the
-same weights and averages theirs by tokens.  Every training document gives
-gradients in one of the rounds, chosen by the hash of the id, at every size of
-the corpus.  Scoring carries the state through all windows of a
-document, from its first word to its end.
+Counts, totals and vocabulary come from all training rows.  Texts become word
+numbers once, in a table laid out by training wave.  Training documents are
+dealt by the hash of their content into shards of at most 500,000 tokens on average,
+and the shards into waves of 1, 2, 4, ... of them: all shards of a wave start
+from the same weights and step sizes, which are averaged by tokens after it.
+So every training document gives gradients exactly once, early waves move fast
+and late ones use the whole cluster, and shards, waves and result follow from
+the corpus, not from its partitioning.  Only a corpus of less than 100,000
+tokens is passed several times.  Within a shard the network is trained by
+truncated backpropagation through windows that carry the state along a document
+(stretches of 2,048 tokens of a longer one start anew).  Scoring carries the
+state through all windows of a document, from its first word to its end.
 
 The vocabulary and the table of frequent counts have fixed sizes and are the
 only things broadcast; counts of all other words reach the documents by a join.
+The table holds the words most frequent in all texts, held-out ones included,
+so no word in the join can hold more than its share of 1 in 65,536 tokens.
 
 Defined cases: a null or blank text is the end token alone; rows that repeat an
 id are scored each for itself; without training rows the model is uniform over
@@ -28,15 +35,16 @@ from __future__ import annotations
 
 import pickle
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import parts, remainder, store
+from .common import mixed, parts, remainder, row_ranges, store
 
 #: The end of a document; no word is empty or holds a space.
 END = " "
@@ -51,6 +59,7 @@ class Shape:
     hidden: int = 16
     window: int = 32
     lanes: int = 256
+    stretch: int = 2048
 
 
 @dataclass
@@ -62,31 +71,38 @@ class Vocabulary:
     begins: np.ndarray
     counts: np.ndarray
 
+    @property
+    def arrays(self) -> tuple[np.ndarray, ...]:
+        """What training and scoring of numbered words need."""
+        return self.class_of, self.begins, self.counts
+
 
 def tokens(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
-    """(word, c) of all texts; the end of each counts as a word."""
+    """(word, c, n) of (text, training): occurrences in training texts and in all; the end of each counts as a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(counts: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.binary()).cast(pa.string()), pa.array(counts.values(), pa.int64())], ["word", "c"])
-
-        counts: Counter = Counter()
+        def flush(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
+            for held, words in zip((False, True), counts):
+                if words:
+                    n = pa.array(words.values(), pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()).cast(pa.string()), n if held else pa.array([0] * len(n), pa.int64()), n], ["word", "c", "n"])
+                    words.clear()
+
+        counts = Counter(), Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(tokens(text))
-                counts[END.encode()] += 1
-                if len(counts) >= 1_000_000:
-                    yield flush(counts)
-                    counts.clear()
-        if counts:
-            yield flush(counts)
+            for text, training in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                words = counts[training]
+                words.update(tokens(text))
+                words[END.encode()] += 1
+                if len(words) >= 1_000_000:
+                    yield from flush(counts)
+        yield from flush(counts)
 
-    return texts.mapInArrow(run, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return texts.mapInArrow(run, "word string, c long, n long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
 
 def build_vocabulary(top: list[tuple[str, int]], total: int, shape: Shape) -> Vocabulary:
@@ -118,10 +134,10 @@ def initial(vocabulary: Vocabulary, shape: Shape) -> dict[str, np.ndarray]:
 def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
     """States after each step of a window: inputs (steps, lanes) -> (steps + 1, lanes, hidden)."""
     h = state.shape[1]
-    states = np.empty((len(inputs) + 1, *state.shape), dtype=np.float32)
+    states = np.empty((len(inputs) + 1, *state.shape), dtype=state.dtype)
     states[0] = state
-    gates = np.empty((len(inputs), len(state), 2 * h), dtype=np.float32)
-    fresh = np.empty((len(inputs), len(state), h), dtype=np.float32)
+    gates = np.empty((len(inputs), len(state), 2 * h), dtype=state.dtype)
+    fresh = np.empty((len(inputs), len(state), h), dtype=state.dtype)
     given = p["input"][inputs]
     for t in range(len(inputs)):
         before = states[t]
@@ -141,30 +157,34 @@ def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray,
     return states, (gates, fresh)
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-
 def gradients_of(p: dict, vocabulary: Vocabulary, hidden: np.ndarray, targets: np.ndarray) -> tuple[dict, np.ndarray]:
-    """Gradients of the targets' summed log-probability, of the weights and of the states."""
+    """Gradients of the targets' summed log-probability, of the weights and of the states; entries run down, tokens across."""
+    def missed(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+        x -= x.max(axis=0)
+        np.exp(x, out=x)
+        x *= -1 / x.sum(axis=0)
+        x[own, np.arange(len(own))] += 1
+        return x
+
     classes = vocabulary.class_of[targets]
-    rows = np.arange(len(targets))
-    wrong = -np.exp(log_softmax(hidden @ p["class_w"] + p["class_b"]))
-    wrong[rows, classes] += 1
-    gradients = {"class_w": hidden.T @ wrong, "class_b": wrong.sum(axis=0),
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    across = np.ascontiguousarray(hidden[order].T)
+    classes, inner = classes[order], targets[order]
+    wrong = missed(p["class_w"].T @ across + p["class_b"][:, None], classes)
+    gradients = {"class_w": across @ wrong.T, "class_b": wrong.sum(axis=1),
                  "word_w": np.zeros_like(p["word_w"]), "word_b": np.zeros_like(p["word_b"])}
-    back = wrong @ p["class_w"].T
-    order = np.argsort(classes, kind="stable")
-    cuts = np.searchsorted(classes[order], np.arange(len(vocabulary.begins)))
+    down = p["class_w"] @ wrong
+    cuts = np.searchsorted(classes, np.arange(len(vocabulary.begins)))
     for c, (a, b) in enumerate(zip(vocabulary.begins, vocabulary.begins[1:])):
-        some = order[cuts[c]:cuts[c + 1]]
-        if len(some) and b - a > 1:
-            wrong = -np.exp(log_softmax(hidden[some] @ p["word_w"][:, a:b] + p["word_b"][a:b]))
-            wrong[np.arange(len(some)), targets[some] - a] += 1
-            gradients["word_w"][:, a:b] = hidden[some].T @ wrong
-            gradients["word_b"][a:b] = wrong.sum(axis=0)
-            back[some] += wrong @ p["word_w"][:, a:b].T
+        low, high = cuts[c], cuts[c + 1]
+        if high > low and b - a > 1:
+            weights, part = p["word_w"][:, a:b], across[:, low:high]
+            wrong = missed(weights.T @ part + p["word_b"][a:b, None], inner[low:high] - a)
+            gradients["word_w"][:, a:b] = part @ wrong.T
+            gradients["word_b"][a:b] = wrong.sum(axis=1)
+            down[:, low:high] += weights @ wrong
+    back = np.empty_like(hidden)
+    back[order] = down.T
     return gradients, back
 
 
@@ -217,39 +237,55 @@ def windows(documents: list[np.ndarray], start: int, shape: Shape) -> Iterator[t
             yield inputs, targets, mask, group[:busy], begin == 0
 
 
+def window_gradients(p: dict, vocabulary: Vocabulary, inputs: np.ndarray, targets: np.ndarray, mask: np.ndarray,
+                     state: np.ndarray) -> tuple[dict, np.ndarray, np.ndarray]:
+    """Gradients through one window, the rows of ``input`` that its own gradient belongs to, and the state after it."""
+    h = state.shape[1]
+    states, (gates, fresh) = forward(p, inputs, state)
+    seen = mask.ravel()
+    gradients, back = gradients_of(p, vocabulary, states[1:].reshape(-1, h)[seen], targets.ravel()[seen])
+    flow = np.zeros((mask.size, h), state.dtype)
+    flow[seen] = back
+    flow = flow.reshape(*mask.shape, h)
+    old, r, z = states[:-1], gates[:, :, :h], gates[:, :, h:]
+    # What does not depend on later steps is computed for the whole window at once.
+    by_fresh = (1 - z) * (1 - fresh * fresh)
+    by_z = (old - fresh) * z * (1 - z)
+    by_r = old * r * (1 - r)
+    given = np.empty((*mask.shape, 3 * h), state.dtype)
+    later = np.zeros_like(state)
+    to_state, to_gates = p["state"].T.copy(), p["gates"].T.copy()
+    for t in range(len(inputs) - 1, -1, -1):
+        later += flow[t]
+        own = given[t]
+        np.multiply(later, by_fresh[t], out=own[:, 2 * h:])
+        kept = own[:, 2 * h:] @ to_state
+        np.multiply(kept, by_r[t], out=own[:, :h])
+        np.multiply(later, by_z[t], out=own[:, h:2 * h])
+        later *= z[t]
+        kept *= r[t]
+        later += kept
+        later += own[:, :2 * h] @ to_gates
+    flat_given = given.reshape(-1, 3 * h)
+    gradients["gates"] = old.reshape(-1, h).T @ flat_given[:, :2 * h]
+    gradients["state"] = (r * old).reshape(-1, h).T @ flat_given[:, 2 * h:]
+    flat = inputs.ravel()[seen]
+    order = np.argsort(flat.astype(np.int16) if len(p["input"]) < 32_768 else flat, kind="stable")
+    flat = flat[order]
+    begins = np.flatnonzero(np.diff(flat, prepend=-1))
+    gradients["input"] = np.add.reduceat(flat_given[seen][order], begins, axis=0)
+    return gradients, flat[begins], states[-1]
+
+
 def train(p: dict, vocabulary: Vocabulary, documents: list[np.ndarray], shape: Shape, squares: dict, rate: float = 0.2) -> None:
     """AdaGrad steps in place, one for each window of a group of documents."""
-    start, state, h = len(vocabulary.class_of), None, shape.hidden
-    for inputs, targets, mask, rows, first in windows(documents, start, shape):
-        state = np.zeros((len(rows), h), np.float32) if first else state[:len(rows)]
-        states, (gates, fresh) = forward(p, inputs, state)
-        seen = mask.ravel()
-        gradients, back = gradients_of(p, vocabulary, states[1:].reshape(-1, h)[seen], targets.ravel()[seen])
-        flow = np.zeros((mask.size, h), np.float32)
-        flow[seen] = back
-        flow = flow.reshape(*mask.shape, h)
-        given = np.zeros((*mask.shape, 3 * h), np.float32)
-        later = np.zeros((len(rows), h), np.float32)
-        gradients["gates"], gradients["state"] = np.zeros_like(p["gates"]), np.zeros_like(p["state"])
-        for t in range(len(inputs) - 1, -1, -1):
-            later = later + flow[t]
-            r, z, n, old = gates[t, :, :h], gates[t, :, h:], fresh[t], states[t]
-            to_n = later * (1 - z) * (1 - n * n)
-            to_z = later * (old - n) * z * (1 - z)
-            kept = to_n @ p["state"].T
-            to_r = kept * old * r * (1 - r)
-            both = np.concatenate([to_r, to_z], axis=1)
-            given[t, :, :2 * h], given[t, :, 2 * h:] = both, to_n
-            gradients["gates"] += old.T @ both
-            gradients["state"] += (r * old).T @ to_n
-            later = later * z + kept * r + both @ p["gates"].T
-        state = states[-1]
-        flat = inputs.ravel()[seen]
-        used, place = np.unique(flat, return_inverse=True)
-        rows_gradient = np.zeros((len(used), 3 * h), np.float32)
-        np.add.at(rows_gradient, place, given.reshape(-1, 3 * h)[seen])
-        size = 1.0 / np.sqrt(shape.lanes * shape.window)
-        rows_gradient *= size
+    start, state = len(vocabulary.class_of), None
+    stretches = [d[a:a + shape.stretch] for d in documents for a in range(0, len(d), shape.stretch)]
+    size = 1.0 / np.sqrt(shape.lanes * shape.window)
+    for inputs, targets, mask, rows, first in windows(stretches, start, shape):
+        state = np.zeros((len(rows), shape.hidden), np.float32) if first else state[:len(rows)]
+        gradients, used, state = window_gradients(p, vocabulary, inputs, targets, mask, state)
+        rows_gradient = gradients.pop("input") * size
         squares["input"][used] += rows_gradient ** 2
         p["input"][used] += rate * rows_gradient / np.sqrt(squares["input"][used])
         for name, gradient in gradients.items():
@@ -258,17 +294,30 @@ def train(p: dict, vocabulary: Vocabulary, documents: list[np.ndarray], shape: S
             p[name] += rate * gradient / np.sqrt(squares[name])
 
 
-def score(p: dict, vocabulary: Vocabulary, documents: list[np.ndarray], shape: Shape) -> np.ndarray:
-    """Log-likelihood of each whole document, its state carried across windows."""
+def score(p: dict, vocabulary: Vocabulary, documents: list[np.ndarray], shape: Shape, together: int = 32_768) -> np.ndarray:
+    """Log-likelihood of each whole document, its state carried across windows; softmax over several windows at once."""
     out, start, state = np.zeros(len(documents)), len(vocabulary.class_of), None
+    held: list[tuple] = []
+    size = 0
+
+    def settle() -> None:
+        logs = log_likelihood(p, vocabulary, *(np.concatenate([w[i] for w in held]) for i in range(2)))
+        out[:] += np.bincount(np.concatenate([w[2] for w in held]), logs, len(out))
+        held.clear()
+
     for inputs, targets, mask, rows, first in windows(documents, start, shape):
         state = np.zeros((len(rows), shape.hidden), np.float32) if first else state[:len(rows)]
         states, _ = forward(p, inputs, state)
         state = states[-1]
         seen = mask.ravel()
-        logs = np.zeros(mask.size)
-        logs[seen] = log_likelihood(p, vocabulary, states[1:].reshape(-1, shape.hidden)[seen], targets.ravel()[seen])
-        out[rows] += logs.reshape(mask.shape).sum(axis=0)
+        held.append((states[1:].reshape(-1, shape.hidden)[seen], targets.ravel()[seen],
+                     np.broadcast_to(np.asarray(rows), mask.shape).ravel()[seen]))
+        size += len(held[-1][1])
+        if size >= together:
+            settle()
+            size = 0
+    if held:
+        settle()
     return out
 
 
@@ -285,7 +334,7 @@ def restore(flat: np.ndarray, like: dict) -> dict:
     return out
 
 
-def total_weights(df: DataFrame, tasks: int, width: int = 32) -> tuple[float, np.ndarray] | None:
+def total_weights(df: DataFrame, tasks: int, width: int = 16) -> tuple[float, np.ndarray] | None:
     """Sum (tokens, weights) rows in a tree whose nodes add at most ``width`` rows."""
     def add(rows: pa.Table) -> pa.Table:
         total = sum(np.frombuffer(w.as_buffer(), np.float64) for w in rows.column("weights"))
@@ -329,11 +378,14 @@ class Model:
 
 def count_model(counts: DataFrame, shape: Shape, frequent: int = 65_536) -> Model:
     """Totals and the frequent words of stored counts; weights are untrained."""
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = [(r["word"], r["c"]) for r in counts.orderBy(F.desc("c"), "word").limit(frequent).collect()]
-    vocabulary = build_vocabulary(top, n, shape)
-    if all(w != END for w, _ in top):
-        top.append((END, 0))
+    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.when(F.col("c") > 0, 1))).first()
+    own = [(r["word"], r["c"]) for r in counts.where("c > 0").orderBy(F.desc("c"), "word").limit(shape.words + 1).collect()]
+    vocabulary = build_vocabulary(own, n, shape)
+    # The vocabulary's words first, then those most frequent in all texts.
+    listed = dict(own) | {END: dict(own).get(END, 0)}
+    for r in counts.orderBy(F.desc("n"), "word").limit(frequent).collect():
+        listed.setdefault(r["word"], r["c"])
+    top = list(listed.items())
     ids = np.array([vocabulary.ids.get(w, vocabulary.ids[RARE]) for w, _ in top], dtype=np.int64)
     c = np.array([c for _, c in top], dtype=np.float64)
     is_rare = ids == vocabulary.ids[RARE]
@@ -346,125 +398,161 @@ def count_model(counts: DataFrame, shape: Shape, frequent: int = 65_536) -> Mode
                  np.append(np.where(is_rare, np.log10((c + 0.5) / rare_total), 0.0), 0.0), n, v, rare_total)
 
 
-def passes(size: int, seen: int) -> int:
-    """How often a task trains on texts of so many tokens, having seen others before.
-
-    A few documents alone would hardly move the weights: they are passed several times.
-    """
-    return 1 if seen else parts(100_000, max(1, size))
+#: Training tokens of a shard at most, as an average over shards.
+SHARD_TOKENS = 500_000
+#: The wave of documents that are not learned from.
+UNTRAINED = -1
 
 
-def fit(model: Model, texts: DataFrame) -> None:
-    """One round: every task trains on its own texts; the weights are averaged by tokens."""
-    spark = texts.sparkSession
-    shipped = spark.sparkContext.broadcast(pickle.dumps(model))
+def waves(tokens_in_all: int) -> int:
+    """Waves of 1, 2, 4, ... shards that hold so many training tokens together."""
+    return parts(tokens_in_all, SHARD_TOKENS).bit_length()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
 
-        own = pickle.loads(shipped.value)
-        squares = {k: np.full(x.shape, 1e-2, np.float32) for k, x in own.weights.items()}
-        seen, held, size = 0, [], 0
+def passes(tokens_in_all: int) -> int:
+    """How often a corpus is passed: a few documents alone would hardly move the weights."""
+    return parts(100_000, max(1, tokens_in_all))
 
-        def learn() -> None:
-            for _ in range(passes(size, seen)):
-                train(own.weights, own.vocabulary, held, own.shape, squares)
 
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                ids = own.frequent_id[own.numbers([*tokens(text), END.encode()])]
-                held.append(ids)
-                size += len(ids)
-                if size >= 500_000:
-                    learn()
-                    seen, held, size = seen + size, [], 0
-        if held:
-            learn()
-            seen += size
-        if seen:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([float(seen)]),
-                 pa.array([(seen * flatten(own.weights).astype(np.float64)).tobytes()], pa.binary())],
-                ["node", "tokens", "weights"])
-
-    rows = texts.mapInArrow(run, "node long, tokens double, weights binary")
-    summed = total_weights(rows, texts.rdd.getNumPartitions())
-    if summed:
-        model.weights = restore(summed[1] / summed[0], model.weights)
-
-
-def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", shape: Shape = Shape(),
-                    rounds: int = 2, share: int = 1) -> DataFrame:
-    """Train on the rows where ``training`` holds and score every row.
-
-    Every training document gives gradients in one of the rounds; a ``share``
-    above 1 uses only one in so many of them.  Returns doc_id, training, n_tokens, n_known, train_tokens,
-    base_score and score (logarithms to base ten).
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"))
-    learned = rows.where("training")
-    counts = store(word_counts(learned.select("text")), "counts")
-    model = count_model(counts, shape)
-    for number in range(rounds):
-        part = F.pmod(F.xxhash64("doc_id"), F.lit(share * rounds)) == number
-        fit(model, learned.where(part).select("text"))
-    shipped = spark.sparkContext.broadcast(pickle.dumps(model))
+def numbered(rows: DataFrame, model: Model) -> DataFrame:
+    """Word numbers and count sums of each row (doc_id, text, training, content), stored by training wave."""
+    shipped = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))
+    shards = np.uint64(2 ** waves(model.train_tokens) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         own = pickle.loads(shipped.value)
         end = END.encode()
-        first = TaskContext.get().partitionId() << 33
+        row = TaskContext.get().partitionId() << 33
         known_count = np.append(own.base_log[:-1] > np.log10(0.5 / own.base_total) + 1e-12, False)
         held: list[tuple] = []
-        size = done = 0
+        size = 0
 
         def flush() -> pa.RecordBatch:
-            logs = score(own.weights, own.vocabulary, [h[0] for h in held], own.shape) / LOG10
-            keys = [h[1] for h in held]
-            rest = [h[5] for h in held]
+            nonlocal row, size
+            columns = list(zip(*held))
+            rest = columns.pop()
             words = [w for r in rest for w in r]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(range(first + done, first + done + len(held)), pa.int64()), pa.array([k[0] for k in keys], pa.int64()),
-                 pa.array([k[1] for k in keys], pa.bool_()), pa.array([len(h[0]) for h in held], pa.int64()),
-                 pa.array([h[2] for h in held], pa.int64()), pa.array([h[3] for h in held], pa.float64()),
-                 pa.array([h[4] for h in held] + logs, pa.float64()),
-                 pa.MapArray.from_arrays(np.cumsum([0, *map(len, rest)]).astype(np.int32), pa.array(words, pa.binary()).cast(pa.string()),
-                                         pa.array([n for r in rest for n in r.values()], pa.int64()))],
-                ["row", "doc_id", "training", "n_tokens", "n_known", "base", "score", "rest"])
+            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+            arrays.append(pa.MapArray.from_arrays(np.cumsum([0, *map(len, rest)]).astype(np.int32), pa.array(words, pa.binary()).cast(pa.string()),
+                                                  pa.array([n for r in rest for n in r.values()], pa.int64())))
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(range(row, row + len(held)), pa.int64()), *arrays],
+                ["row", "doc_id", "training", "content", "shard", "wave", "ids", "n_tokens", "n_known", "base", "rare", "rest"])
+            row, size = row + len(held), 0
+            held.clear()
+            return batch
 
         for batch in batches:
-            for key, body, is_training in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            copies: Counter = Counter()
+            for key, body, is_training, content in zip(*(batch.column(i).to_pylist() for i in range(4))):
                 words = [*tokens(body), end]
                 at = own.numbers(words)
                 other = Counter([words[i] for i in np.flatnonzero(at < 0).tolist()])
-                held.append((own.frequent_id[at], (key, is_training), int(known_count[at].sum()),
+                # Rows repeated as they are go to different shards.
+                place = int(mixed(np.uint64((content + 0x9E3779B97F4A7C15 * copies[content]) % 2 ** 64)) % shards)
+                copies[content] += 1
+                held.append((key, is_training, content, place, (place + 1).bit_length() - 1 if is_training else UNTRAINED,
+                             own.frequent_id[at].astype("<u2").tobytes(), len(words), int(known_count[at].sum()),
                              float(own.base_log[at].sum()), float(own.rare_log[at].sum()), other))
                 size += len(words)
-                if size >= 2_000_000:
+                if size >= 500_000:
                     yield flush()
-                    done, held, size = done + len(held), [], 0
         if held:
             yield flush()
 
-    scored = store(rows.mapInArrow(
-        run, "row long, doc_id long, training boolean, n_tokens long, n_known long, base double, score double, rest map<string,bigint>"),
-        "scored")
+    schema = ("row long, doc_id long, training boolean, content long, shard long, wave int, ids binary, n_tokens long, n_known long, "
+              "base double, rare double, rest map<string,bigint>")
+    return store(rows.mapInArrow(run, schema), "numbered", "wave")
+
+
+def shard_trainer(shipped: Broadcast, repeats: int) -> Callable[[pa.Table], pa.Table]:
+    """A function that trains on one shard (shard, content, ids) and returns its weights and step sizes, times its tokens."""
+
+    def run(group: pa.Table) -> pa.Table:
+        shape, arrays, weights, squares = pickle.loads(shipped.value)
+        group = group.sort_by([("content", "ascending")])
+        held = [np.frombuffer(b.as_buffer(), "<u2").astype(np.int64) for b in group.column("ids")]
+        for _ in range(repeats):
+            train(weights, Vocabulary({}, *arrays), held, shape, squares)
+        seen = float(sum(map(len, held)))
+        both = np.concatenate([flatten(weights), flatten(squares)]).astype(np.float64)
+        return pa.table({"node": group.column("shard").slice(0, 1), "tokens": pa.array([seen]),
+                         "weights": pa.array([(seen * both).tobytes()], pa.binary())})
+
+    return run
+
+
+def fit(model: Model, found: DataFrame) -> None:
+    """Train wave by wave on (wave, shard, content, ids); a wave's weights and step sizes are averaged by tokens."""
+    context = found.sparkSession.sparkContext
+    squares = {k: np.full(x.shape, 1e-2, np.float32) for k, x in model.weights.items()}
+    for wave in range(waves(model.train_tokens)):
+        shipped = context.broadcast(pickle.dumps((model.shape, model.vocabulary.arrays, model.weights, squares)))
+        # Shards of wave w are numbered from 2^w - 1.
+        shards = (found.where(F.col("wave") == wave).select((F.col("shard") - (2 ** wave - 1)).alias("shard"), "content", "ids")
+                  .repartition(2 ** wave, "shard").groupBy("shard")
+                  .applyInArrow(shard_trainer(shipped, passes(model.train_tokens)), "node long, tokens double, weights binary"))
+        summed = total_weights(shards, 2 ** wave)
+        if summed:
+            mean = summed[1] / summed[0]
+            half = len(mean) // 2
+            model.weights, squares = restore(mean[:half], model.weights), restore(mean[half:], squares)
+        shipped.unpersist()
+
+
+def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", text: str = "text", shape: Shape = Shape()) -> DataFrame:
+    """Train on the rows where ``training`` holds and score every row.
+
+    Returns doc_id, training, n_tokens, n_known, train_tokens, base_score and
+    score (logarithms to base ten).
+    """
+    spark = docs.sparkSession
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(training, F.lit(False)).alias("training"),
+                       F.xxhash64(F.col(doc_id), F.col(text)).alias("content"))
+    counts = store(word_counts(rows.select("text", "training")), "counts")
+    model = count_model(counts, shape)
+    found = numbered(rows, model)
+    fit(model, found)
+    shipped = spark.sparkContext.broadcast(pickle.dumps((model.shape, model.vocabulary.arrays, model.weights)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_shape, arrays, weights = pickle.loads(shipped.value)
+        vocabulary = Vocabulary({}, *arrays)
+        for batch in gathered(batches):
+            ids = [np.frombuffer(b.as_buffer(), "<u2").astype(np.int64) for b in batch.column("ids")]
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score(weights, vocabulary, ids, own_shape) / LOG10)], ["row", "logs"])
+
     # Words outside the frequent table: their counts come by a join, summed per document.
-    rest = scored.select("row", F.explode("rest").alias("word", "n")).join(counts, "word", "left")
+    rest = found.select("row", F.explode("rest").alias("word", "times")).join(counts.select("word", "c"), "word", "left")
     c = F.coalesce("c", F.lit(0))
     sums = rest.groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more_known"),
-        F.sum(F.col("n") * F.log10((c + 0.5) / model.base_total)).alias("more_base"),
-        F.sum(F.col("n") * F.log10((c + 0.5) / model.rare_total)).alias("more_score"))
-    return scored.drop("rest").join(sums, "row", "left").select(
+        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
+        F.sum(F.col("times") * F.log10((c + 0.5) / model.base_total)).alias("more_base"),
+        F.sum(F.col("times") * F.log10((c + 0.5) / model.rare_total)).alias("more_rare"))
+    logs = store(found.select("row", "ids").mapInArrow(run, "row long, logs double"), "logs")
+    return found.drop("rest", "ids", "content", "shard", "wave").join(logs, "row").join(sums, "row", "left").select(
         "doc_id", "training", "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"))
+        (F.col("logs") + F.col("rare") + F.coalesce("more_rare", F.lit(0.0))).alias("score"))
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+    """Batches put together, and cut, to about so many bytes of ids."""
+    held, total = [], 0
+    for batch in batches:
+        for first, last in row_ranges(np.cumsum([0, *(len(b.as_buffer()) for b in batch.column("ids"))]), size):
+            held.append(batch.slice(first, last - first))
+            total += sum(len(b.as_buffer()) for b in held[-1].column("ids"))
+            if total >= size:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, total = [], 0
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def held_out(doc_id: Column) -> Column:
