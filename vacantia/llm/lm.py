@@ -58,7 +58,7 @@ class Shape:
     classes: int = 46
     hidden: int = 16
     window: int = 32
-    lanes: int = 256
+    lanes: int = 512
     stretch: int = 2048
 
 
