@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import rules, vocab
-from ..operators import dedup, filters, impute, lookups, quality, reports
+from ..operators import cells, dedup, filters, frequent, impute, lookups, quality, reports
 from .registry import bands_case_sql, contains_sql, query, r4, values_sql, words_case_sql
 from .tables import jobs, over_jobs, table
 
@@ -194,6 +194,52 @@ def _(spark, d):
     return df.withColumns({c: r4(c) for c in ("mean_value", "pct_value", "mean_skills")})
 
 
+# Selections of the dashboard that one set of cells answers.
+SELECTIONS = {"all": {}, "levels": {"job_level": ["Senior", "Junior"]},
+              "role and levels": {"job_level": ["Senior", "Mid"], "search_role": ["Data Engineer", "Data Scientist"]}}
+
+
+def _chosen_sql(chosen):
+    return " AND ".join(["true", *(f"{c} IN ({', '.join(repr(v) for v in values)})" for c, values in chosen.items())])
+
+
+@query("agg_kpi_cells", over_jobs(" UNION ALL ".join(f"""
+SELECT '{name}' AS selection, count(*) AS total, count(DISTINCT search_role) AS roles,
+       round(coalesce(avg(salary_avg) FILTER (salary_avg BETWEEN 5e6 AND 9e7), 0), 4) AS mean_value,
+       count(DISTINCT company) AS companies,
+       round(coalesce(count(*) FILTER (salary_avg BETWEEN 5e6 AND 9e7) * 100.0::DOUBLE / nullif(count(*), 0), 0), 4) AS pct_value,
+       round(coalesce(avg(skills_count), 0), 4) AS mean_skills
+FROM jobs WHERE {_chosen_sql(chosen)}""" for name, chosen in SELECTIONS.items())))
+def _(spark, d):
+    stored = cells.build(jobs(spark, d), ["search_role", "job_level"], ["search_role", "company"])
+    found = [cells.kpi(stored, chosen, 5e6, 9e7).select(F.lit(name).alias("selection"), "*") for name, chosen in SELECTIONS.items()]
+    return dedup.union_by_name(*found).withColumns({c: r4(c) for c in ("mean_value", "pct_value", "mean_skills")})
+
+
+@query("agg_unique_titles_cells", over_jobs("""
+SELECT search_role, count(DISTINCT title) AS titles FROM jobs WHERE job_level IN ('Senior', 'Junior') GROUP BY search_role"""))
+def _(spark, d):
+    stored = cells.build(jobs(spark, d), ["search_role", "job_level"], ["title"])
+    return cells.distinct_counts(stored, "title", SELECTIONS["levels"], ["search_role"], "titles")
+
+
+@query("agg_top_companies_threshold", over_jobs("""
+SELECT company, count(*) AS n FROM jobs WHERE company IS NOT NULL GROUP BY company ORDER BY n DESC, company LIMIT 15"""))
+def _(spark, d):
+    return frequent.top_counts(jobs(spark, d), "company", 15)
+
+
+@query("agg_word_freq_threshold", """
+SELECT source, word, n, rank FROM (
+  SELECT source, word, count(*) AS n, row_number() OVER (PARTITION BY source ORDER BY count(*) DESC, word) AS rank
+  FROM (SELECT source, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS word FROM documents WHERE source IS NOT NULL)
+  WHERE word <> '' GROUP BY source, word) WHERE rank <= 50""")
+def _(spark, d):
+    words = F.explode(F.split(F.lower("text"), "[^a-z0-9]+")).alias("word")
+    rows = table(spark, d, "documents").select("source", words).filter("word <> ''")
+    return frequent.top_counts(rows, "word", 50, by=["source"], buckets=16_384, rank="rank")
+
+
 def _flat_summary(df):
     """One row per entry of the summary's maps."""
     roles = df.select(F.explode("role_distribution").alias("key", "n")).select(
