@@ -11,6 +11,7 @@ from vacantia.plans import board_a, board_b, dashboard, market
 from vacantia.operators.impute import ForestSpec
 from vacantia.sources import readers, writers
 from vacantia.streaming.collect import collect
+from vacantia.streaming.seen import SeenKeys
 
 LINES = [
     "﻿id;title;company",
@@ -309,3 +310,29 @@ def test_collect_stream(spark, tmp_path):
     (source / "2.json").unlink()
     put("3.json", ("9", "", "C", 9))
     assert run("new state") == [1, 3, 4, 6, 7, 9]
+    # A run that is missing in the index is read from the table.
+    for part in (tmp_path / "out_keys/filters").glob("run=*/_SUCCESS"):
+        part.unlink()
+    put("4.json", ("7", "x", "A", 10), ("11", "", "A", 11))
+    assert run("new state") == [1, 3, 4, 6, 7, 9, 11]
+
+
+def test_a_batch_reads_only_the_files_it_hits(spark, tmp_path):
+    index = SeenKeys(str(tmp_path / "index"), buckets=16)
+
+    def keys(*values):
+        return spark.createDataFrame([(v,) for v in values], "k string")
+
+    for run in range(4):
+        index.add(keys(None, *(f"{run}-{i}" for i in range(2000))), f"s-{run}")
+    runs = index.runs(spark)
+    assert runs == ["s-0", "s-1", "s-2", "s-3"]
+    one = index.places(keys("2-77", None), runs)
+    assert len(one) <= 2 and any("run=s-2/" in p for p in one)
+    assert {"2-77"} <= {r["key"] for r in index.among(keys("2-77"), runs).collect()}
+    # New keys hit nearly nothing, and every stored key is found again.
+    assert len(index.places(keys(*(f"new-{i}" for i in range(50))), runs)) < 16
+    stored = keys(*(f"{r}-{i}" for r in range(4) for i in range(0, 2000, 7)))
+    assert index.among(stored, runs).join(stored, F.col("key") == F.col("k"), "left_semi").count() == stored.count()
+    assert index.places(keys("2-77"), ["s-1"]) == [] or index.places(keys("2-77"), []) == []
+    assert index.among(keys(None), runs) is None
