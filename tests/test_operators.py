@@ -452,3 +452,18 @@ def test_histogram(spark):
     a = [r for r in got if r["salary_source"] == "a"]
     assert sum(r["n"] for r in a) == 41 and len(a) == 40 and a[-1]["bin"] == 39 and a[-1]["n"] == 2
     assert [(r["bin"], r["n"]) for r in got if r["salary_source"] == "b"] == [(0, 1)]
+
+
+def test_columns_of_the_user_survive_the_seen_filters(spark):
+    df = spark.createDataFrame([("a", 1, "mine"), ("a", 2, "yours"), (None, 3, "ours"), ("b", 4, "theirs")], "id string, at int, _key string")
+    first = dedup.drop_seen(df, ["at"], F.col("id"))
+    assert sorted((r["at"], r["_key"]) for r in first.collect()) == [(1, "mine"), (3, "ours"), (4, "theirs")]
+    fresh = dedup.drop_already_collected(df, spark.createDataFrame([("b",), (None,)], "k string"), F.col("id"))
+    assert fresh.columns == df.columns and sorted((r["at"], r["_key"]) for r in fresh.collect()) == [(1, "mine"), (2, "yours"), (3, "ours")]
+
+
+def test_equal_training_rows_are_repeated_in_stretches(spark, monkeypatch):
+    monkeypatch.setattr(impute, "TRAINING_PART", 1000)
+    df = spark.createDataFrame([("a", 1), ("b", 1000), ("c", 1001), ("d", 25_500)], "x string, _cell bigint")
+    got = impute._copies(df, 27_502).groupBy("x").agg(F.count("*").alias("n"), F.count_distinct("_copy").alias("kinds"), F.min("_copy").alias("low"), F.max("_copy").alias("high"))
+    assert sorted(map(tuple, got.collect())) == [(x, n, n, 1, n) for x, n in (("a", 1), ("b", 1000), ("c", 1001), ("d", 25_500))]

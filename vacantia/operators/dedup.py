@@ -53,19 +53,29 @@ def dedup_url(df: DataFrame, order: Sequence[str], url: str = "job_url") -> Data
     return keep_first(df, [url], order)
 
 
+def _free(df: DataFrame, name: str = "_key") -> str:
+    """A name that no column has."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def drop_seen(df: DataFrame, order: Sequence[str], key: Column) -> DataFrame:
     """First row per identity key; rows without a key are all kept."""
-    keyed = df.withColumn("_key", key)
-    first = keep_first(keyed.filter(F.col("_key").isNotNull()), ["_key"], order)
-    return first.unionByName(keyed.filter(F.col("_key").isNull())).drop("_key")
+    name = _free(df)
+    keyed = df.withColumn(name, key)
+    first = keep_first(keyed.filter(F.col(name).isNotNull()), [name], order)
+    return first.unionByName(keyed.filter(F.col(name).isNull())).drop(name)
 
 
 def drop_already_collected(df: DataFrame, seen: DataFrame, key: Column) -> DataFrame:
     """Rows whose key is not in ``seen(key)``; rows without a key are kept."""
-    keyed = df.withColumn("_key", key)
-    with_key, without = keyed.filter(F.col("_key").isNotNull()), keyed.filter(F.col("_key").isNull())
-    known = seen.select(F.col(seen.columns[0]).alias("_key")).filter(F.col("_key").isNotNull()).distinct()
-    fresh = with_key.join(known, "_key", "left_anti")
+    name = _free(df)
+    keyed = df.withColumn(name, key)
+    with_key, without = keyed.filter(F.col(name).isNotNull()), keyed.filter(F.col(name).isNull())
+    known = seen.select(F.col(seen.columns[0]).alias(name)).filter(F.col(name).isNotNull()).distinct()
+    fresh = with_key.join(known, name, "left_anti")
     return fresh.select(*df.columns).unionByName(without.select(*df.columns))
 
 

@@ -124,6 +124,22 @@ def _forest(spec: ForestSpec) -> Pipeline:
 TRAINING_PART = 50_000
 
 
+def _copies(rows: DataFrame, total: int) -> DataFrame:
+    """Repeat each row ``_cell`` times, numbered from 1 in ``_copy``.
+
+    A large cell is cut into stretches first, which are dealt out before they
+    are repeated, so no array and no task holds a whole cell.
+    """
+    one = F.lit(1).cast("bigint")
+    stretch = F.lit(TRAINING_PART).cast("bigint")
+    cut = rows.withColumn("_at", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_cell") - 1) / stretch))))
+    if total > TRAINING_PART:
+        cut = cut.repartition(-(-total // TRAINING_PART), *[F.col(f"`{c}`") for c in cut.columns])
+    first = F.col("_at") * stretch
+    last = F.least(F.col("_cell"), first + stretch)
+    return cut.withColumn("_copy", F.explode(F.sequence(first + one, last))).drop("_at")
+
+
 def training_rows(known: DataFrame, profile: DataFrame, spec: ForestSpec, *keep: str) -> DataFrame:
     """Features of the known values of supported roles, stored once.
 
@@ -138,7 +154,7 @@ def training_rows(known: DataFrame, profile: DataFrame, spec: ForestSpec, *keep:
     rows = settle(ready)
     total = rows.agg(F.coalesce(F.sum("_cell"), F.lit(0))).first()[0]
     content = [*spec.features, spec.value, *keep, "_copy"]
-    return settle_partitions(rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_cell")))).drop("_cell")
+    return settle_partitions(_copies(rows, total).drop("_cell")
                   .repartition(max(1, -(-total // TRAINING_PART)), *content).sortWithinPartitions(*content).drop("_copy"))
 
 
