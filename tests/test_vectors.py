@@ -56,3 +56,22 @@ def test_neighbours_of_unlike_vectors(spark, n, centres):
 def test_no_rows(spark):
     assert compared(spark, [], [(1, [1.0])], 3) == {}
     assert compared(spark, [(1, [1.0], "x")], [], 3) == {}
+
+
+def test_blocks_meet_in_numpy(spark, monkeypatch):
+    """Large clusters and many queries are cut into blocks; copies tie by key, as in one scan."""
+    monkeypatch.setattr(vectors, "ROWS", 16)
+    monkeypatch.setattr(vectors, "QUERIES", 8)
+    rng = random.Random(3)
+    data = [(i, [rng.gauss(0, 1) for _ in range(6)], "x") for i in range(200)]
+    data += [(1000 - i, data[0][1], "x") for i in range(60)] + [(2000, [1.0, 2.0], "x")]
+    asked = [(i, data[i][1]) for i in range(30)]
+    df = spark.createDataFrame(data, "id bigint, v array<double>, _n string")
+    rows, clusters = vectors.index(df, ["id"], "v", 2)
+    best, _ = vectors.nearest(spark.createDataFrame(asked, "q bigint, v array<double>"), ["q"], "v", rows, clusters, ["id"], 5)
+    got = {}
+    for r in best.collect():
+        got.setdefault(r["q"], []).append((r["rank"], r["id"]))
+    for q, v in asked:
+        wanted = sorted((-round(cosine(v, w), 10), i) for i, w, _ in data if len(w) == 6)[:5]
+        assert [i for _, i in sorted(got[q])] == [i for _, i in wanted]
