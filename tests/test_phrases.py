@@ -63,3 +63,16 @@ def test_nothing_to_find(spark, lexicon):
     assert phrases.phrases_in(df, ["id"], "t", table, "p").count() == 0
     assert [r["found"] for r in phrases.with_phrases(df, ["id"], "t", table, "p").collect()] == [[], []]
     assert phrases.phrases_in(df.limit(0), ["id"], "t", spark.createDataFrame([("a",)], "p string"), "p").count() == 0
+
+
+def test_a_small_lexicon_is_broadcast(spark, monkeypatch):
+    """Windows are made once and not exchanged; a lexicon above the limit finds the same."""
+    rng = random.Random(4)
+    df = frame(spark, texts(rng, 100))
+    lexicon = spark.createDataFrame([(p,) for p in ["c++", "power bi", "react native", ".net", "the", "r&d", "é"]], "p string")
+    small = phrases.phrases_in(df, ["id"], "t", lexicon, "p")
+    plan = small._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and plan.count("split(") == 1
+    monkeypatch.setattr(phrases, "SMALL", 3)
+    large = phrases.phrases_in(df, ["id"], "t", lexicon, "p")
+    assert set(map(tuple, small.collect())) == set(map(tuple, large.collect())) and small.count() > 100

@@ -4,8 +4,10 @@ A list in a plan grows the plan; a table is joined.  A text is cut into words
 and what stands between them.  Its windows of as many words as some phrase has
 are joined with the phrases by their words, and the symbols that a phrase
 begins or ends with are compared with what stands around the window.  So every
-phrase is met by equality, never by trying each phrase on each text.  Windows
-that are frequent in the corpus are answered from a broadcast.
+phrase is met by equality, never by trying each phrase on each text.  A table
+of at most ``SMALL`` phrases is broadcast, so that only what is found leaves
+the task; with a larger one, windows that are frequent in the corpus are
+answered from a broadcast and all others are exchanged.
 
 A phrase stands in a text as in ``skills.whole_words``: as whole words, with
 the characters between them as written; a boundary next to a symbol needs a
@@ -20,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.skills import TOKEN, W
-from ..functions.text import once
+from ..shared import settle
 from .skew import key_counts, lookup
 
 #: Words that a phrase may have.
@@ -29,12 +31,8 @@ MOST_WORDS = 16
 
 GAP = W.replace("[", "[^", 1) + "*"
 
-
-def _pieces(low: Column) -> Column:
-    """Words and what stands between them, in turn; the first and the last are no words, and may be empty."""
-    return F.concat(F.array(F.regexp_extract(low, f"^{GAP}", 0)), F.flatten(F.transform(
-        F.regexp_extract_all(low, F.lit(TOKEN + GAP), F.lit(0)),
-        lambda x: F.array(F.regexp_extract(x, f"^{TOKEN}", 0), F.regexp_extract(x, f"{GAP}$", 0)))))
+#: Phrases and symbols of a lexicon that is broadcast: their number and their characters.
+SMALL, SMALL_CHARS = 250_000, 20_000_000
 
 
 def prepared(lexicon: DataFrame, phrase: str) -> DataFrame:
@@ -54,19 +52,21 @@ def windows(df: DataFrame, keys: Sequence[str], text: str, sizes: Sequence[int])
     ``before`` and ``after`` are what stands between the window and the
     neighbouring word; null without one.
     """
-    def of(pieces: Column) -> Column:
-        # Words stand at the odd places, counted from 0.
-        last = F.size(pieces) - 1
-
-        def window(size: int) -> Column:
-            starts = F.filter(F.sequence(F.lit(1), F.greatest(last, F.lit(1)), F.lit(2)), lambda i: i + 2 * size - 1 <= last)
-            return F.transform(starts, lambda i: F.struct(
-                F.array_join(F.slice(pieces, i + 1, F.lit(2 * size - 1)), "").alias("core"),
-                F.when(i > 1, F.get(pieces, i - 1)).alias("before"),
-                F.when(i + 2 * size - 1 < last, F.get(pieces, i + 2 * size - 1)).alias("after")))
-        return F.concat(*[window(n) for n in sizes])
-
-    return df.select(*keys, F.explode(once(_pieces(F.lower(text)), of)).alias("_w")).select(*keys, "_w.*")
+    low = df.select(*keys, F.lower(text).alias("_low"))
+    # Word i stands between the gaps i and i + 1.
+    cut = low.select(*keys, F.regexp_extract_all("_low", F.lit(TOKEN), F.lit(0)).alias("_words"), F.split("_low", TOKEN).alias("_gaps"))
+    at = cut.select("*", F.explode(F.when(F.size("_words") > 0, F.sequence(F.lit(0), F.size("_words") - 1))).alias("_i"))
+    # Words and gaps are read where they are; only the window is copied.
+    each = at.select("*", F.explode(F.array(*[F.lit(n) for n in sizes])).alias("_size")).filter(F.col("_i") + F.col("_size") <= F.size("_words"))
+    core = F.lit(None).cast("string")
+    for size in sizes:
+        parts = [F.get("_words", F.col("_i"))]
+        for k in range(1, size):
+            parts += [F.get("_gaps", F.col("_i") + k), F.get("_words", F.col("_i") + k)]
+        core = F.when(F.col("_size") == size, F.concat(*parts)).otherwise(core)
+    end = F.col("_i") + F.col("_size")
+    return each.select(*keys, core.alias("core"), F.when(F.col("_i") > 0, F.get("_gaps", F.col("_i"))).alias("before"),
+                       F.when(end < F.size("_words"), F.get("_gaps", end)).alias("after"))
 
 
 def phrases_in(df: DataFrame, keys: Sequence[str], text: str, lexicon: DataFrame, phrase: str) -> DataFrame:
@@ -76,14 +76,20 @@ def phrases_in(df: DataFrame, keys: Sequence[str], text: str, lexicon: DataFrame
     without a word, find nothing.
     """
     keys = list(keys)
-    table = prepared(lexicon, phrase)
+    table = settle(prepared(lexicon, phrase))
+    n, chars = table.agg(F.coalesce(F.sum(F.size("phrases")), F.lit(0)), F.coalesce(
+        F.sum(F.length("core") + F.aggregate("phrases", F.lit(0), lambda m, p: m + F.length(p["phrase"]) * 2)), F.lit(0))).first()
     sizes = sorted(r[0] for r in table.select("words").distinct().limit(MOST_WORDS + 1).collect())
     if not sizes:
         return df.select(*keys, F.lit(None).cast("string").alias("phrase")).limit(0)
     if len(sizes) > MOST_WORDS or sizes[-1] > MOST_WORDS:
         raise ValueError(f"a phrase may have {MOST_WORDS} words")
     placed = windows(df, keys, text, sizes)
-    found = lookup(placed, table.select("core", "phrases"), ["core"], key_counts(placed, ["core"])).filter("phrases IS NOT NULL")
+    known = table.select("core", "phrases")
+    if n <= SMALL and chars <= SMALL_CHARS:
+        found = placed.join(F.broadcast(known), "core")
+    else:
+        found = lookup(placed, known, ["core"], key_counts(placed, ["core"])).filter("phrases IS NOT NULL")
     fits = F.filter("phrases", lambda p: ((p["head"] == "") | F.coalesce(p["head"] == F.col("before"), F.lit(False))) & (
         (p["tail"] == "") | F.coalesce(p["tail"] == F.col("after"), F.lit(False))))
     return found.select(*keys, F.explode(fits).alias("_p")).select(*keys, F.col("_p.phrase").alias("phrase")).distinct()
