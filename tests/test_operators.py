@@ -467,3 +467,20 @@ def test_equal_training_rows_are_repeated_in_stretches(spark, monkeypatch):
     df = spark.createDataFrame([("a", 1), ("b", 1000), ("c", 1001), ("d", 25_500)], "x string, _cell bigint")
     got = impute._copies(df, 27_502).groupBy("x").agg(F.count("*").alias("n"), F.count_distinct("_copy").alias("kinds"), F.min("_copy").alias("low"), F.max("_copy").alias("high"))
     assert sorted(map(tuple, got.collect())) == [(x, n, n, 1, n) for x, n in (("a", 1), ("b", 1000), ("c", 1001), ("d", 25_500))]
+
+
+def test_many_training_rows_become_weighted_points(spark, monkeypatch):
+    """Above the limit the points are bounded by the combinations of features; counts and sums stay those of all rows."""
+    monkeypatch.setattr(impute, "MOST_ROWS", 100)
+    spec = impute.ForestSpec(trees=3, min_leaf=2)
+    data = [(0, 0, 0, 1, 2e6 + i % 700, 1 + i % 3) for i in range(2000)] + [(1, 0, 0, 1, 5e6 + i, 1) for i in range(7)] + [(2, 0, 0, 1, 9e6, 100_000)]
+    df = spark.createDataFrame(data, "search_role_code long, job_level_code long, city_code long, skills_count int, salary_avg double, _cell long")
+    total = sum(r[-1] for r in data)
+    got = impute._points(df, total, spec).collect()
+    for role in range(3):
+        points, rows_ = [r for r in got if r["search_role_code"] == role], [r for r in data if r[0] == role]
+        assert len(points) == (7 if role == 1 else impute.MOST_POINTS)
+        assert sum(r["_weight"] for r in points) == sum(r[-1] for r in rows_)
+        assert sum(r["_weight"] * r["salary_avg"] for r in points) == pytest.approx(sum(r[-1] * r[-2] for r in rows_))
+    model = impute._forest(spec).fit(impute.training_rows(df, spec))
+    assert [round(r["_predicted"], -5) for r in model.transform(df.dropDuplicates(["search_role_code"]).orderBy("search_role_code")).collect()] == [2e6, 5e6, 9e6]
