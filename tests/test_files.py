@@ -336,3 +336,15 @@ def test_a_batch_reads_only_the_files_it_hits(spark, tmp_path):
     assert index.among(stored, runs).join(stored, F.col("key") == F.col("k"), "left_semi").count() == stored.count()
     assert index.places(keys("2-77"), ["s-1"]) == [] or index.places(keys("2-77"), []) == []
     assert index.among(keys(None), runs) is None
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 50])
+def test_stretches_of_a_read_part(spark, tmp_path, monkeypatch, stretch):
+    """Records, numbers and headers are the same however short the stretches are."""
+    path = tmp_path / "s.csv"
+    path.write_text("\n\na,b\n" + "".join(f'{i},"x\n""{i}"",\n\ny"\n' if i % 3 else f"{i},z\n" for i in range(200)))
+    whole = sorted(map(tuple, readers.quoted_records(spark, str(path), ",").collect()))
+    monkeypatch.setattr(readers, "STRETCH", stretch)
+    cut = readers.quoted_records(spark, str(path), ",")
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert "stretch" in plan and sorted(map(tuple, cut.collect())) == whole and len(whole) == 203

@@ -17,6 +17,8 @@ from ..shared import settle
 EXTRA = "_extra"
 #: Characters that one record may have within a read part.
 LONGEST = 1 << 24
+# Lines of a stretch of a file, which one task sorts.
+STRETCH = 65_536
 
 # Field texts that stand for a missing value.
 MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
@@ -198,8 +200,8 @@ def quoted_records(spark: SparkSession, path, sep: str = ";", longest: int = LON
     """(file, line_no, header_no, record) of every record, blank ones included; ``header_no`` is the first that is not blank.
 
     A record ends with a line at which no quoted field is open.  Each line maps
-    "open before" to "open after"; the maps of a read part of a file are
-    chained first, then those of the parts, so a large file is split among
+    "open before" to "open after"; the maps of a stretch of a read part are
+    chained first, then those of the stretches, so a large file is split among
     tasks and only records of several lines are gathered.  Lines end with a
     line feed; if a file's first line has a carriage return before it, so have
     the others, and line breaks in its fields become line feeds.
@@ -210,7 +212,9 @@ def quoted_records(spark: SparkSession, path, sep: str = ";", longest: int = LON
     """
     lines = _lines(spark, path, lineSep="\n").withColumns(
         {"to0": ends_quoted(F.col("value"), sep, False), "to1": ends_quoted(F.col("value"), sep, True)})
-    part = ["file", "block"]
+    # Stretches of a read part, so that no task sorts and holds a whole one.
+    lines = lines.withColumn("stretch", F.floor(F.col("at").bitwiseAND(F.lit((1 << 33) - 1)) / STRETCH))
+    part = ["file", "block", "stretch"]
     lines = _states(lines, part, "at")
     here = Window.partitionBy(*part).orderBy("at")
     lines = lines.withColumn("index", F.row_number().over(here))
@@ -219,27 +223,27 @@ def quoted_records(spark: SparkSession, path, sep: str = ";", longest: int = LON
     parts = lines.groupBy(*part).agg(
         F.max_by("after0", "at").alias("to0"), F.max_by("after1", "at").alias("to1"), F.count("*").alias("lines"),
         F.count_if(F.col("before0") == 0).alias("records0"), F.count_if(F.col("before1") == 0).alias("records1"),
-        F.min(F.when(filled, F.col("index"))).alias("filled"), F.min_by(F.col("value").endswith("\r"), "at").alias("returns"))
-    past = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    begun = _states(parts, ["file"], "block").withColumn("open", F.col("before0"))
+        F.min(F.when(filled, F.col("index"))).alias("filled"), F.min_by(F.col("value").endswith("\r"), "at").alias("returns")).withColumn("place", F.struct("block", "stretch"))
+    past = Window.partitionBy("file").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    begun = _states(parts, ["file"], "place").withColumn("open", F.col("before0"))
     begun = begun.withColumn("done", F.coalesce(F.sum(F.when(F.col("open") == 0, F.col("records0")).otherwise(F.col("records1"))).over(past), F.lit(0)))
     # Every line before the first that is not blank is a record of its own.
     first = F.when(F.col("filled").isNotNull(), F.coalesce(F.sum("lines").over(past), F.lit(0)) + F.col("filled"))
     begun = begun.withColumn("first", first).withColumns(
         {"header_no": F.min("first").over(Window.partitionBy("file")),
-         "returns": F.first("returns").over(Window.partitionBy("file").orderBy("block"))}).select(
-        F.col("file").alias("f"), F.col("block").alias("b"), "open", "done", "header_no", "returns")
-    placed = lines.join(begun, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+         "returns": F.first("returns").over(Window.partitionBy("file").orderBy("place"))}).select(
+        F.col("file").alias("f"), F.col("block").alias("b"), F.col("stretch").alias("s"), "open", "done", "header_no", "returns")
+    placed = lines.join(begun, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")) & (F.col("stretch") == F.col("s")))
     starts = F.when(F.col("open") == 0, F.col("before0")).otherwise(F.col("before1")) == 0
     placed = placed.withColumns({"starts": starts, "line_no": F.col("done") + F.sum(starts.cast("int")).over(here)})
     alone = F.col("starts") & (F.col("to0") == 0)
-    # Characters since the record began, within the part.
-    run = F.sum(F.when(~alone, F.length("value"))).over(Window.partitionBy(*part, "line_no").orderBy("at"))
+    # Characters since the record began, within the read part.
+    run = F.sum(F.length("value")).over(Window.partitionBy("file", "block", "line_no").orderBy("at"))
     unclosed = F.raise_error(F.concat(F.lit("quote not closed within the longest record: "), "file", F.lit(", record "), F.col("line_no").cast("string")))
-    placed = placed.withColumn("value", F.when(run > longest, unclosed).otherwise(F.col("value")))
     keys = ["file", "line_no", "header_no", "returns"]
     single = placed.filter(alone).select(*keys, F.col("value").alias("record"))
-    several = placed.filter(~alone).groupBy(*keys).agg(F.array_join(F.transform(
+    open_ = placed.filter(~alone).withColumn("run", run).withColumn("value", F.when(F.col("run") > longest, unclosed).otherwise(F.col("value")))
+    several = open_.groupBy(*keys).agg(F.array_join(F.transform(
         F.sort_array(F.collect_list(F.struct("block", "at", "value"))), lambda x: x["value"]), "\n").alias("record"))
     bare = F.when(F.col("returns"), F.regexp_replace(F.replace("record", F.lit("\r\n"), F.lit("\n")), "\r$", "")).otherwise(F.col("record"))
     return single.unionByName(several).withColumn(
