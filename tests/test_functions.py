@@ -23,6 +23,12 @@ def test_strip_takes_no_break_space(apply):
     assert apply(text.strip, [f"{NBSP} a b\t", "", None, f"{NBSP}"]) == ["a b", "", None, ""]
 
 
+def test_strip_takes_all_white_space_at_the_ends(apply):
+    spaces = [chr(i) for i in range(0x10000) if chr(i).isspace() and not 0x1C <= i <= 0x1F]
+    assert apply(text.strip, [f"{s}{s}a{s}b{s}\n" for s in spaces]) == [f"a{s}b" for s in spaces]
+    assert apply(text.strip, ["\x1ca\u200b", "\n\r\n"]) == ["\x1ca\u200b", ""]
+
+
 def test_sentinels(apply):
     assert apply(text.fill_sentinel, [None, "", "x"]) == [vocab.NOT_STATED, vocab.NOT_STATED, "x"]
     assert apply(text.replace_value, [vocab.NOT_STATED, "Bali", None]) == ["DKI Jakarta", "Bali", None]
@@ -67,6 +73,23 @@ def test_parse_list_as_a_literal(apply, raw):
     assert apply(text.parse_list, [raw]) == [[None if x is None else str(x) for x in value] if flat else []]
 
 
+def test_plain_lists_are_read_without_tokens(apply):
+    """Short cut and full reading agree; what is nearly plain takes the full one."""
+    raws = ["[]", "['']", "['a','b', 'c d']", "['é', '\"']", "['a' 'b']", "['a',  'b']", "['a',]", "['a\\'b']", "['a\nb']", "['a']\n", "['a'"]
+    full = [[], [""], ["a", "b", "c d"], ["é", '"'], ["ab"], ["a", "b"], ["a"], ["a'b"], [], ["a"], []]
+    assert apply(text.parse_list, raws) == full
+    assert apply(lambda c: c.rlike(text.PLAIN_LIST), raws) == [True] * 4 + [False] * 7
+    assert apply(lambda c: text.parse_list(text.format_list(c)), [["it's", "a\\b", None, "c"], []], "array<string>") == [["it's", "a\\b", "c"], []]
+
+
+def test_starting_letters_change_no_match(apply):
+    assert rules.starting("bandung|bekasi|kl\\b") == "(?=[bk])(?:bandung|bekasi|kl\\b)"
+    for kept in (r"\bmid\b|medior", "c[to]o", "a?b|c", "b*", "", "a|", "(x|y)z"):
+        assert rules.starting(kept) == kept
+    got = apply(lambda c: rules.classify_patterns(c, [("x", r"ab+|cd"), ("y", r"b\s*c")], "-"), ["zABB", "b c", "c", None, "xcd"])
+    assert got == ["x", "y", "-", "-", "x"]
+
+
 def test_parse_list_of_many_items(apply):
     items = [f"it's {i}" for i in range(5000)]
     assert apply(text.parse_list, [repr(items)]) == [items]

@@ -58,6 +58,13 @@ def test_imputation_reads_the_base_a_few_times(spark, name):
     assert len(re.findall(r"Relation \[o_orderkey", plan)) <= 2
 
 
+def test_board_b_reads_its_base_once(spark):
+    """Both copies of a posting come from one reading, and repeats go in one exchange by their key."""
+    plan = QUERIES["board_b_table"](spark, SF_DIR)._jdf.queryExecution()
+    assert len(re.findall(r"Relation \[o_orderkey", plan.optimizedPlan().toString())) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_id", plan.executedPlan().toString())) == 1
+
+
 def test_filter_reaches_the_scan(spark):
     plan = QUERIES["filt_range"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     scan = [line for line in plan.splitlines() if "FileScan" in line and "o_totalprice" in line][0]

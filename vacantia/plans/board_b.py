@@ -16,10 +16,12 @@ def clean(raw: DataFrame, order: Sequence[str]) -> DataFrame:
     """Trimmed, unique, standardised postings.
 
     ``order`` decides which copy is the last one.  Repeats go before rows
-    without title or company.
+    without title or company.  What decides about repeats is trimmed before,
+    all else in the copies that are left.
     """
-    unique = dedup.dedup_key(columns.trim_strings(raw), order)
-    kept = filters.required(unique, "title", "company")
+    deciding = ["id", "title", "company", *order]
+    unique = dedup.dedup_key(columns.trim_strings(raw, only=deciding), order)
+    kept = columns.trim_strings(filters.required(unique, "title", "company"), but=deciding)
     filled = kept.withColumns({
         "job_description": F.coalesce("job_description", F.lit("")),
         "salary": text.fill_sentinel(F.col("salary")),
