@@ -207,6 +207,24 @@ def test_output_gradients_match_differences(tiny):
     assert rise == pytest.approx(back[0, 0], rel=1e-3, abs=1e-5)
 
 
+def test_a_gate_lies_in_one_block(tiny):
+    """Steps run over memory without gaps, and windows are those of each document by itself."""
+    shape, vocabulary, weights = tiny
+    rng = np.random.default_rng(6)
+    docs, start = [rng.integers(0, len(vocabulary.class_of), n) for n in (1, 9, 4, 4, 30, 8, 7)], len(vocabulary.class_of)
+    read = {}
+    for inputs, targets, mask, rows, first in lm.windows(docs, start, shape):
+        _, (gates, _) = lm.forward(weights, inputs, np.zeros((len(rows), shape.hidden)))
+        assert gates[0, 0].flags.c_contiguous and gates.shape == (len(inputs), 2, len(rows), shape.hidden)
+        assert (inputs[~mask] == start).all() and not targets[~mask].any()
+        for lane, i in enumerate(rows):
+            assert first == (i not in read)
+            held = read.setdefault(i, ([], []))
+            held[0].extend(inputs[mask[:, lane], lane])
+            held[1].extend(targets[mask[:, lane], lane])
+    assert all(read[i] == ([start, *d[:-1]], list(d)) for i, d in enumerate(docs))
+
+
 def test_gradients_through_time_match_differences(tiny):
     """Recurrent and input weights, through all steps of a window that starts from a carried state."""
     shape, vocabulary, weights = tiny

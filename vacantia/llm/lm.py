@@ -37,6 +37,7 @@ import pickle
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -132,28 +133,37 @@ def initial(vocabulary: Vocabulary, shape: Shape) -> dict[str, np.ndarray]:
 
 
 def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, tuple]:
-    """States after each step of a window: inputs (steps, lanes) -> (steps + 1, lanes, hidden)."""
-    h = state.shape[1]
-    states = np.empty((len(inputs) + 1, *state.shape), dtype=state.dtype)
+    """States after each step of a window: inputs (steps, lanes) -> (steps + 1, lanes, hidden).
+
+    Each gate has a block of its own, so that every operation runs over memory without gaps.
+    """
+    steps, (lanes, h) = len(inputs), state.shape
+    states = np.empty((steps + 1, lanes, h), dtype=state.dtype)
     states[0] = state
-    gates = np.empty((len(inputs), len(state), 2 * h), dtype=state.dtype)
-    fresh = np.empty((len(inputs), len(state), h), dtype=state.dtype)
-    given = p["input"][inputs]
-    for t in range(len(inputs)):
-        before = states[t]
-        g = gates[t]
-        np.matmul(before, p["gates"], out=g)
-        g += given[t, :, :2 * h]
-        np.negative(g, out=g)
+    gates = np.empty((steps, 2, lanes, h), dtype=state.dtype)
+    fresh = np.empty((steps, lanes, h), dtype=state.dtype)
+    # Gates are 1 / (1 + exp(-x)); the sign is changed in the weights.
+    to_gates = -p["gates"]
+    for_gates = np.empty((2, steps, lanes, h), dtype=state.dtype)
+    for k in range(2):
+        np.take(-p["input"][:, k * h:(k + 1) * h], inputs, axis=0, out=for_gates[k], mode="clip")
+    for_fresh = np.take(np.ascontiguousarray(p["input"][:, 2 * h:]), inputs, axis=0)
+    both, reset = np.empty((lanes, 2 * h), state.dtype), np.empty_like(state)
+    blocks = both.reshape(lanes, 2, h).transpose(1, 0, 2)
+    for t in range(steps):
+        before, after, g, n = states[t], states[t + 1], gates[t], fresh[t]
+        np.matmul(before, to_gates, out=both)
+        np.add(blocks, for_gates[:, t], out=g)
         np.exp(g, out=g)
         g += 1
         np.reciprocal(g, out=g)
-        n = fresh[t]
-        np.matmul(g[:, :h] * before, p["state"], out=n)
-        n += given[t, :, 2 * h:]
+        np.multiply(g[0], before, out=reset)
+        np.matmul(reset, p["state"], out=n)
+        n += for_fresh[t]
         np.tanh(n, out=n)
-        np.multiply(g[:, h:], before - n, out=states[t + 1])
-        states[t + 1] += n
+        np.subtract(before, n, out=after)
+        after *= g[1]
+        after += n
     return states, (gates, fresh)
 
 
@@ -222,19 +232,16 @@ def windows(documents: list[np.ndarray], start: int, shape: Shape) -> Iterator[t
     for low in range(0, len(order), shape.lanes):
         group = order[low:low + shape.lanes]
         lengths = np.array([len(documents[i]) for i in group])
+        # All tokens of the group behind one another, a start before each document.
+        flat = np.concatenate([x for i in group for x in ((start,), documents[i])]).astype(np.int64)
+        heads = np.cumsum(lengths + 1) - lengths - 1
         for begin in range(0, lengths[0], shape.window):
             busy = int(np.searchsorted(-lengths, -begin, "left"))
             steps = min(shape.window, int(lengths[0]) - begin)
-            targets = np.zeros((steps, busy), dtype=np.int64)
-            inputs = np.full((steps, busy), start, dtype=np.int64)
-            mask = np.arange(begin, begin + steps)[:, None] < lengths[:busy]
-            for lane, i in enumerate(group[:busy]):
-                part = documents[i][begin:begin + steps]
-                targets[:len(part), lane] = part
-                inputs[1:len(part), lane] = part[:-1]
-                if begin:
-                    inputs[0, lane] = documents[i][begin - 1]
-            yield inputs, targets, mask, group[:busy], begin == 0
+            at = np.arange(begin, begin + steps)[:, None]
+            mask = at < lengths[:busy]
+            before = heads[:busy] + np.minimum(at, lengths[:busy] - 1)
+            yield np.where(mask, flat[before], start), np.where(mask, flat[before + 1], 0), mask, group[:busy], begin == 0
 
 
 def window_gradients(p: dict, vocabulary: Vocabulary, inputs: np.ndarray, targets: np.ndarray, mask: np.ndarray,
@@ -247,26 +254,26 @@ def window_gradients(p: dict, vocabulary: Vocabulary, inputs: np.ndarray, target
     flow = np.zeros((mask.size, h), state.dtype)
     flow[seen] = back
     flow = flow.reshape(*mask.shape, h)
-    old, r, z = states[:-1], gates[:, :, :h], gates[:, :, h:]
+    old, r, z = states[:-1], gates[:, 0], gates[:, 1]
     # What does not depend on later steps is computed for the whole window at once.
     by_fresh = (1 - z) * (1 - fresh * fresh)
     by_z = (old - fresh) * z * (1 - z)
     by_r = old * r * (1 - r)
-    given = np.empty((*mask.shape, 3 * h), state.dtype)
-    later = np.zeros_like(state)
+    given_gates, given_fresh = np.empty((*mask.shape, 2 * h), state.dtype), np.empty_like(fresh)
+    later, kept = np.zeros_like(state), np.empty_like(state)
     to_state, to_gates = p["state"].T.copy(), p["gates"].T.copy()
     for t in range(len(inputs) - 1, -1, -1):
         later += flow[t]
-        own = given[t]
-        np.multiply(later, by_fresh[t], out=own[:, 2 * h:])
-        kept = own[:, 2 * h:] @ to_state
+        own = given_gates[t]
+        np.multiply(later, by_fresh[t], out=given_fresh[t])
+        np.matmul(given_fresh[t], to_state, out=kept)
         np.multiply(kept, by_r[t], out=own[:, :h])
-        np.multiply(later, by_z[t], out=own[:, h:2 * h])
+        np.multiply(later, by_z[t], out=own[:, h:])
         later *= z[t]
         kept *= r[t]
         later += kept
-        later += own[:, :2 * h] @ to_gates
-    flat_given = given.reshape(-1, 3 * h)
+        later += np.matmul(own, to_gates, out=kept)
+    flat_given = np.concatenate([given_gates.reshape(-1, 2 * h), given_fresh.reshape(-1, h)], axis=1)
     gradients["gates"] = old.reshape(-1, h).T @ flat_given[:, :2 * h]
     gradients["state"] = (r * old).reshape(-1, h).T @ flat_given[:, 2 * h:]
     flat = inputs.ravel()[seen]
@@ -372,8 +379,7 @@ class Model:
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Positions in the frequent table, -1 for other words."""
-        find = self.frequent.get
-        return np.array([find(w, -1) for w in words], dtype=np.int64)
+        return np.fromiter(map(self.frequent.get, words, repeat(-1)), np.int64, len(words))
 
 
 def count_model(counts: DataFrame, shape: Shape, frequent: int = 65_536) -> Model:
@@ -400,6 +406,8 @@ def count_model(counts: DataFrame, shape: Shape, frequent: int = 65_536) -> Mode
 
 #: Training tokens of a shard at most, as an average over shards.
 SHARD_TOKENS = 500_000
+#: Training tokens for each task of scoring at most, as an average.
+SCORED_TOKENS = 3_000_000
 #: The wave of documents that are not learned from.
 UNTRAINED = -1
 
@@ -532,7 +540,9 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
         F.sum(F.col("times") * F.log10((c + 0.5) / model.base_total)).alias("more_base"),
         F.sum(F.col("times") * F.log10((c + 0.5) / model.rare_total)).alias("more_rare"))
-    logs = store(found.select("row", "ids").mapInArrow(run, "row long, logs double"), "logs")
+    # Few large tasks: each takes as many steps as its longest document has tokens.
+    tasks = max(2 * spark.sparkContext.defaultParallelism, parts(model.train_tokens, SCORED_TOKENS))
+    logs = store(found.select("row", "ids").coalesce(tasks).mapInArrow(run, "row long, logs double"), "logs")
     return found.drop("rest", "ids", "content", "shard", "wave").join(logs, "row").join(sums, "row", "left").select(
         "doc_id", "training", "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
@@ -541,7 +551,7 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
         (F.col("logs") + F.col("rare") + F.coalesce("more_rare", F.lit(0.0))).alias("score"))
 
 
-def gathered(batches: Iterator[pa.RecordBatch], size: int = 4_000_000) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterator[pa.RecordBatch], size: int = 16_000_000) -> Iterator[pa.RecordBatch]:
     """Batches put together, and cut, to about so many bytes of ids."""
     held, total = [], 0
     for batch in batches:
