@@ -9,10 +9,12 @@ from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from tests.llm.conftest import awkward_texts
 from tests.oracle import compare, connect
 from vacantia.llm import automata, components, lm, queries, repeats, simhash, suffixes, topk
 from vacantia.llm.common import documents
@@ -128,6 +130,23 @@ def test_lm_does_not_depend_on_partitions(spark):
     assert max(f[0] for f in found) - min(f[0] for f in found) < 0.001 and min(f[0] - f[1] for f in found) > 0.1
 
 
+def test_lm_words_and_rest_by_whole_columns():
+    """Words of a column without an object each: the same as cutting every text's bytes; other words once a row with their count."""
+    texts = [*awkward_texts(), "É\x85a\xa0B\x1cc\u3000d\x0be\x0cF\r\ng  \tİ ", " lead", "trail\n", "AbC abc ABC x AbC"]
+    plain = [(t or "").encode().lower().split() for t in texts]
+    words, begins = lm.words_of(pa.array(texts).slice(0))
+    assert [words[a:b].cast(pa.binary()).to_pylist() for a, b in zip(begins.tolist(), begins[1:].tolist())] == plain
+    sliced, cut = lm.words_of(pa.array(["before", *texts, "after"]).slice(1, len(texts)))
+    assert sliced.equals(words) and cut.tolist() == begins.tolist()
+    rows = np.repeat(np.arange(len(texts)), np.diff(begins))
+    rare = np.array([len(w) % 2 == 1 for w in words.to_pylist()])
+    joined, times = lm.rest_of(words.filter(pa.array(rare)), rows[rare], len(texts))
+    for own, line, n in zip(plain, joined.to_pylist(), times.to_pylist()):
+        wanted = Counter(w.decode() for w in own if len(w.decode()) % 2 == 1)
+        assert line is None if not wanted else dict(zip(line.split(" "), n, strict=True)) == wanted
+    assert [len(x) for x in lm.rest_of(pa.array([], pa.string()), np.zeros(0, np.int64), 2)] == [2, 2]
+
+
 def test_lm_waves_follow_the_tokens():
     """Small corpora alone are passed more than once; shards hold half to all of SHARD_TOKENS."""
     assert lm.passes(200) == 500 and lm.passes(100_000) == 1 and lm.waves(0) == 1

@@ -37,15 +37,15 @@ import pickle
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mixed, parts, remainder, row_ranges, store
+from .common import mixed, parts, remainder, row_ranges, store, stretches
 
 #: The end of a document; no word is empty or holds a space.
 END = " "
@@ -78,30 +78,30 @@ class Vocabulary:
         return self.class_of, self.begins, self.counts
 
 
-def tokens(text: str | None) -> list[bytes]:
-    return (text or "").encode().lower().split()
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The lower-cased words of all texts behind one another, and where each text's begin (one entry more); null has none."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    begins = lists.offsets.to_numpy().astype(np.int64)
+    words = lists.values
+    filled = pc.not_equal(pc.binary_length(words), 0)
+    # White space at an end of a text leaves an empty word.
+    return words.filter(filled), np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])[begins]
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
     """(word, c, n) of (text, training): occurrences in training texts and in all; the end of each counts as a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(counts: tuple[Counter, Counter]) -> Iterator[pa.RecordBatch]:
-            for held, words in zip((False, True), counts):
-                if words:
-                    n = pa.array(words.values(), pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()).cast(pa.string()), n if held else pa.array([0] * len(n), pa.int64()), n], ["word", "c", "n"])
-                    words.clear()
-
-        counts = Counter(), Counter()
         for batch in batches:
-            for text, training in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = counts[training]
-                words.update(tokens(text))
-                words[END.encode()] += 1
-                if len(words) >= 1_000_000:
-                    yield from flush(counts)
-        yield from flush(counts)
+            for part in stretches(batch, 0, 32_000_000):
+                words, begins = words_of(part.column(0))
+                training = part.column(1).to_numpy(zero_copy_only=False)
+                coded = words.dictionary_encode()
+                codes = coded.indices.to_numpy()
+                n = np.bincount(codes, minlength=len(coded.dictionary))
+                c = np.bincount(codes[np.repeat(training, np.diff(begins))], minlength=len(n))
+                yield pa.RecordBatch.from_arrays([pa.concat_arrays([coded.dictionary, pa.array([END])]),
+                                                  pa.array(np.append(c, training.sum())), pa.array(np.append(n, len(training)))], ["word", "c", "n"])
 
     return texts.mapInArrow(run, "word string, c long, n long").groupBy("word").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
 
@@ -169,18 +169,20 @@ def forward(p: dict, inputs: np.ndarray, state: np.ndarray) -> tuple[np.ndarray,
 
 def gradients_of(p: dict, vocabulary: Vocabulary, hidden: np.ndarray, targets: np.ndarray) -> tuple[dict, np.ndarray]:
     """Gradients of the targets' summed log-probability, of the weights and of the states; entries run down, tokens across."""
-    def missed(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    def missed(weights: np.ndarray, part: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+        x = weights.T @ part
+        x += bias[:, None]
         x -= x.max(axis=0)
         np.exp(x, out=x)
         x *= -1 / x.sum(axis=0)
-        x[own, np.arange(len(own))] += 1
+        x.reshape(-1)[own * len(own) + np.arange(len(own))] += 1
         return x
 
     classes = vocabulary.class_of[targets]
     order = np.argsort(classes.astype(np.int16), kind="stable")
     across = np.ascontiguousarray(hidden[order].T)
     classes, inner = classes[order], targets[order]
-    wrong = missed(p["class_w"].T @ across + p["class_b"][:, None], classes)
+    wrong = missed(p["class_w"], across, p["class_b"], classes)
     gradients = {"class_w": across @ wrong.T, "class_b": wrong.sum(axis=1),
                  "word_w": np.zeros_like(p["word_w"]), "word_b": np.zeros_like(p["word_b"])}
     down = p["class_w"] @ wrong
@@ -189,7 +191,7 @@ def gradients_of(p: dict, vocabulary: Vocabulary, hidden: np.ndarray, targets: n
         low, high = cuts[c], cuts[c + 1]
         if high > low and b - a > 1:
             weights, part = p["word_w"][:, a:b], across[:, low:high]
-            wrong = missed(weights.T @ part + p["word_b"][a:b, None], inner[low:high] - a)
+            wrong = missed(weights, part, p["word_b"][a:b], inner[low:high] - a)
             gradients["word_w"][:, a:b] = part @ wrong.T
             gradients["word_b"][a:b] = wrong.sum(axis=1)
             down[:, low:high] += weights @ wrong
@@ -200,9 +202,11 @@ def gradients_of(p: dict, vocabulary: Vocabulary, hidden: np.ndarray, targets: n
 
 def log_likelihood(p: dict, vocabulary: Vocabulary, hidden: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Log-probabilities of the targets alone; entries run down, tokens across, so sums are over rows."""
-    def chosen(x: np.ndarray, own: np.ndarray) -> np.ndarray:
+    def chosen(weights: np.ndarray, part: np.ndarray, bias: np.ndarray, own: np.ndarray) -> np.ndarray:
+        x = weights.T @ part
+        x += bias[:, None]
         high = x.max(axis=0)
-        out = x[own, np.arange(len(own))] - high
+        out = x.reshape(-1)[own * len(own) + np.arange(len(own))] - high
         x -= high
         np.exp(x, out=x)
         return out - np.log(x.sum(axis=0))
@@ -211,12 +215,12 @@ def log_likelihood(p: dict, vocabulary: Vocabulary, hidden: np.ndarray, targets:
     order = np.argsort(classes.astype(np.int16), kind="stable")
     across = np.ascontiguousarray(hidden[order].T)
     classes, inner = classes[order], targets[order]
-    out = chosen(p["class_w"].T @ across + p["class_b"][:, None], classes)
+    out = chosen(p["class_w"], across, p["class_b"], classes)
     cuts = np.searchsorted(classes, np.arange(len(vocabulary.begins)))
     for c, (a, b) in enumerate(zip(vocabulary.begins, vocabulary.begins[1:])):
         low, high = cuts[c], cuts[c + 1]
         if high > low and b - a > 1:
-            out[low:high] += chosen(p["word_w"][:, a:b].T @ across[:, low:high] + p["word_b"][a:b, None], inner[low:high] - a)
+            out[low:high] += chosen(p["word_w"][:, a:b], across[:, low:high], p["word_b"][a:b], inner[low:high] - a)
     back = np.empty(len(out))
     back[order] = out
     return back
@@ -259,28 +263,28 @@ def window_gradients(p: dict, vocabulary: Vocabulary, inputs: np.ndarray, target
     by_fresh = (1 - z) * (1 - fresh * fresh)
     by_z = (old - fresh) * z * (1 - z)
     by_r = old * r * (1 - r)
-    given_gates, given_fresh = np.empty((*mask.shape, 2 * h), state.dtype), np.empty_like(fresh)
+    given = np.empty((*mask.shape, 3 * h), state.dtype)
     later, kept = np.zeros_like(state), np.empty_like(state)
     to_state, to_gates = p["state"].T.copy(), p["gates"].T.copy()
     for t in range(len(inputs) - 1, -1, -1):
         later += flow[t]
-        own = given_gates[t]
-        np.multiply(later, by_fresh[t], out=given_fresh[t])
-        np.matmul(given_fresh[t], to_state, out=kept)
+        own, own_fresh = given[t, :, :2 * h], given[t, :, 2 * h:]
+        np.multiply(later, by_fresh[t], out=own_fresh)
+        np.matmul(own_fresh, to_state, out=kept)
         np.multiply(kept, by_r[t], out=own[:, :h])
         np.multiply(later, by_z[t], out=own[:, h:])
         later *= z[t]
         kept *= r[t]
         later += kept
         later += np.matmul(own, to_gates, out=kept)
-    flat_given = np.concatenate([given_gates.reshape(-1, 2 * h), given_fresh.reshape(-1, h)], axis=1)
+    flat_given = given.reshape(-1, 3 * h)
     gradients["gates"] = old.reshape(-1, h).T @ flat_given[:, :2 * h]
     gradients["state"] = (r * old).reshape(-1, h).T @ flat_given[:, 2 * h:]
     flat = inputs.ravel()[seen]
     order = np.argsort(flat.astype(np.int16) if len(p["input"]) < 32_768 else flat, kind="stable")
     flat = flat[order]
     begins = np.flatnonzero(np.diff(flat, prepend=-1))
-    gradients["input"] = np.add.reduceat(flat_given[seen][order], begins, axis=0)
+    gradients["input"] = np.add.reduceat(flat_given[np.flatnonzero(seen)[order]], begins, axis=0)
     return gradients, flat[begins], states[-1]
 
 
@@ -293,12 +297,15 @@ def train(p: dict, vocabulary: Vocabulary, documents: list[np.ndarray], shape: S
         state = np.zeros((len(rows), shape.hidden), np.float32) if first else state[:len(rows)]
         gradients, used, state = window_gradients(p, vocabulary, inputs, targets, mask, state)
         rows_gradient = gradients.pop("input") * size
-        squares["input"][used] += rows_gradient ** 2
-        p["input"][used] += rate * rows_gradient / np.sqrt(squares["input"][used])
+        steps = (squares["input"][used] + rows_gradient ** 2).astype(np.float32)
+        squares["input"][used] = steps
+        p["input"][used] += rate * rows_gradient / np.sqrt(steps)
         for name, gradient in gradients.items():
             gradient *= size
             squares[name] += gradient ** 2
-            p[name] += rate * gradient / np.sqrt(squares[name])
+            gradient *= rate
+            gradient /= np.sqrt(squares[name])
+            p[name] += gradient
 
 
 def score(p: dict, vocabulary: Vocabulary, documents: list[np.ndarray], shape: Shape, together: int = 32_768) -> np.ndarray:
@@ -365,7 +372,7 @@ class Model:
     shape: Shape
     vocabulary: Vocabulary
     weights: dict
-    frequent: dict[bytes, int]
+    frequent: pa.Array
     frequent_id: np.ndarray
     base_log: np.ndarray
     rare_log: np.ndarray
@@ -377,9 +384,9 @@ class Model:
     def base_total(self) -> float:
         return self.train_tokens + 0.5 * (self.distinct + 1)
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
+    def numbers(self, words: pa.Array) -> np.ndarray:
         """Positions in the frequent table, -1 for other words."""
-        return np.fromiter(map(self.frequent.get, words, repeat(-1)), np.int64, len(words))
+        return pc.index_in(words, value_set=self.frequent).fill_null(-1).to_numpy()
 
 
 def count_model(counts: DataFrame, shape: Shape, frequent: int = 65_536) -> Model:
@@ -399,7 +406,7 @@ def count_model(counts: DataFrame, shape: Shape, frequent: int = 65_536) -> Mode
     rare_total = n - c[~is_rare].sum() + 0.5 * (v - inside + 1)
     base_total = n + 0.5 * (v + 1)
     # Unseen words are at the last position, which -1 also means.
-    return Model(shape, vocabulary, initial(vocabulary, shape), {w.encode(): i for i, (w, _) in enumerate(top)},
+    return Model(shape, vocabulary, initial(vocabulary, shape), pa.array([w for w, _ in top], pa.string()),
                  np.append(ids, vocabulary.ids[RARE]), np.append(np.log10((c + 0.5) / base_total), 0.0),
                  np.append(np.where(is_rare, np.log10((c + 0.5) / rare_total), 0.0), 0.0), n, v, rare_total)
 
@@ -422,6 +429,17 @@ def passes(tokens_in_all: int) -> int:
     return parts(100_000, max(1, tokens_in_all))
 
 
+def rest_of(words: pa.Array, rows: np.ndarray, n: int) -> tuple[pa.Array, pa.Array]:
+    """The distinct words of each of n rows, joined by spaces (null if there are none), and how often each occurs."""
+    coded = words.dictionary_encode()
+    width = max(1, len(coded.dictionary))
+    keys, times = np.unique(rows * width + coded.indices.to_numpy(), return_counts=True)
+    begins = np.searchsorted(keys // width, np.arange(n + 1)).astype(np.int32)
+    lists = pa.ListArray.from_arrays(begins, coded.dictionary.take(pa.array(keys % width)))
+    return (pc.if_else(pa.array(np.diff(begins) > 0), pc.binary_join(lists, " "), pa.scalar(None, pa.string())),
+            pa.ListArray.from_arrays(begins, pa.array(times, pa.int32())))
+
+
 def numbered(rows: DataFrame, model: Model) -> DataFrame:
     """Word numbers and count sums of each row (doc_id, text, training, content), stored by training wave."""
     shipped = rows.sparkSession.sparkContext.broadcast(pickle.dumps(model))
@@ -431,48 +449,37 @@ def numbered(rows: DataFrame, model: Model) -> DataFrame:
         from pyspark import TaskContext
 
         own = pickle.loads(shipped.value)
-        end = END.encode()
+        end = own.numbers(pa.array([END]))[0]
         row = TaskContext.get().partitionId() << 33
         known_count = np.append(own.base_log[:-1] > np.log10(0.5 / own.base_total) + 1e-12, False)
-        held: list[tuple] = []
-        size = 0
-
-        def flush() -> pa.RecordBatch:
-            nonlocal row, size
-            columns = list(zip(*held))
-            rest = columns.pop()
-            words = [w for r in rest for w in r]
-            kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
-            arrays.append(pa.MapArray.from_arrays(np.cumsum([0, *map(len, rest)]).astype(np.int32), pa.array(words, pa.binary()).cast(pa.string()),
-                                                  pa.array([n for r in rest for n in r.values()], pa.int64())))
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(range(row, row + len(held)), pa.int64()), *arrays],
-                ["row", "doc_id", "training", "content", "shard", "wave", "ids", "n_tokens", "n_known", "base", "rare", "rest"])
-            row, size = row + len(held), 0
-            held.clear()
-            return batch
-
+        frequent_id = own.frequent_id.astype("<u2")
         for batch in batches:
+            content = batch.column("content").to_numpy()
+            # Rows repeated as they are go to different shards.
             copies: Counter = Counter()
-            for key, body, is_training, content in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                words = [*tokens(body), end]
+            nth = np.empty(len(content), np.uint64)
+            for i, key in enumerate(content.tolist()):
+                nth[i] = copies[key]
+                copies[key] += 1
+            place = (mixed(content.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * nth) % shards).astype(np.int64)
+            wave = np.where(batch.column("training").to_numpy(zero_copy_only=False), np.frexp(place + 1)[1] - 1, UNTRAINED)
+            batch = batch.append_column("shard", pa.array(place)).append_column("wave", pa.array(wave, pa.int32()))
+            for part in stretches(batch, 1, 8_000_000):
+                words, begins = words_of(part.column("text"))
                 at = own.numbers(words)
-                other = Counter([words[i] for i in np.flatnonzero(at < 0).tolist()])
-                # Rows repeated as they are go to different shards.
-                place = int(mixed(np.uint64((content + 0x9E3779B97F4A7C15 * copies[content]) % 2 ** 64)) % shards)
-                copies[content] += 1
-                held.append((key, is_training, content, place, (place + 1).bit_length() - 1 if is_training else UNTRAINED,
-                             own.frequent_id[at].astype("<u2").tobytes(), len(words), int(known_count[at].sum()),
-                             float(own.base_log[at].sum()), float(own.rare_log[at].sum()), other))
-                size += len(words)
-                if size >= 500_000:
-                    yield flush()
-        if held:
-            yield flush()
+                rest = rest_of(words.filter(pa.array(at < 0)), np.repeat(np.arange(len(part)), np.diff(begins))[at < 0], len(part))
+                at = np.insert(at, begins[1:], end)
+                begins += np.arange(len(begins))
+                ids = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer((2 * begins).astype(np.int32)), pa.py_buffer(frequent_id[at])])
+                known, base, rare = (np.add.reduceat(x[at], begins[:-1]) for x in (known_count.astype(np.int64), own.base_log, own.rare_log))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(row, row + len(part))), part.column("doc_id").cast(pa.int64()), *(part.column(c) for c in ("training", "content", "shard", "wave")), ids,
+                     *map(pa.array, (np.diff(begins), known, base, rare)), *rest],
+                    ["row", "doc_id", "training", "content", "shard", "wave", "ids", "n_tokens", "n_known", "base", "rare", "rest", "times"])
+                row += len(part)
 
     schema = ("row long, doc_id long, training boolean, content long, shard long, wave int, ids binary, n_tokens long, n_known long, "
-              "base double, rare double, rest map<string,bigint>")
+              "base double, rare double, rest string, times array<int>")
     return store(rows.mapInArrow(run, schema), "numbered", "wave")
 
 
@@ -534,7 +541,8 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(score(weights, vocabulary, ids, own_shape) / LOG10)], ["row", "logs"])
 
     # Words outside the frequent table: their counts come by a join, summed per document.
-    rest = found.select("row", F.explode("rest").alias("word", "times")).join(counts.select("word", "c"), "word", "left")
+    rest = found.select("row", F.inline(F.arrays_zip(F.split("rest", " ").alias("word"), "times"))).join(
+        counts.where("c > 0").select("word", "c"), "word", "left")
     c = F.coalesce("c", F.lit(0))
     sums = rest.groupBy("row").agg(
         F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("more_known"),
@@ -543,7 +551,7 @@ def score_documents(docs: DataFrame, training: Column, doc_id: str = "doc_id", t
     # Few large tasks: each takes as many steps as its longest document has tokens.
     tasks = max(2 * spark.sparkContext.defaultParallelism, parts(model.train_tokens, SCORED_TOKENS))
     logs = store(found.select("row", "ids").coalesce(tasks).mapInArrow(run, "row long, logs double"), "logs")
-    return found.drop("rest", "ids", "content", "shard", "wave").join(logs, "row").join(sums, "row", "left").select(
+    return found.drop("rest", "times", "ids", "content", "shard", "wave").join(logs, "row").join(sums, "row", "left").select(
         "doc_id", "training", "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(model.train_tokens).cast("long").alias("train_tokens"),
