@@ -80,10 +80,12 @@ class Vocabulary:
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The lower-cased words of all texts behind one another, and where each text's begin (one entry more); null has none."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
     begins = lists.offsets.to_numpy().astype(np.int64)
     words = lists.values
     filled = pc.not_equal(pc.binary_length(words), 0)
+    if pc.all(filled).as_py():
+        return words, begins
     # White space at an end of a text leaves an empty word.
     return words.filter(filled), np.concatenate([[0], np.cumsum(filled.to_numpy(zero_copy_only=False))])[begins]
 
@@ -93,7 +95,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in stretches(batch, 0, 32_000_000):
+            for part in stretches(batch, 0, 8_000_000):
                 words, begins = words_of(part.column(0))
                 training = part.column(1).to_numpy(zero_copy_only=False)
                 coded = words.dictionary_encode()
@@ -464,7 +466,7 @@ def numbered(rows: DataFrame, model: Model) -> DataFrame:
             place = (mixed(content.view(np.uint64) + np.uint64(0x9E3779B97F4A7C15) * nth) % shards).astype(np.int64)
             wave = np.where(batch.column("training").to_numpy(zero_copy_only=False), np.frexp(place + 1)[1] - 1, UNTRAINED)
             batch = batch.append_column("shard", pa.array(place)).append_column("wave", pa.array(wave, pa.int32()))
-            for part in stretches(batch, 1, 8_000_000):
+            for part in stretches(batch, 1, 4_000_000):
                 words, begins = words_of(part.column("text"))
                 at = own.numbers(words)
                 rest = rest_of(words.filter(pa.array(at < 0)), np.repeat(np.arange(len(part)), np.diff(begins))[at < 0], len(part))
